@@ -1,0 +1 @@
+"""Empty on purpose: every load is a bounded region + month batch, so no streaming operator exists."""

@@ -1,0 +1,55 @@
+"""A Spark result against the SQL oracle: columns, kinds of types, rows, values."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+
+def duck(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    return con
+
+
+KINDS = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def norm(v):
+    if isinstance(v, float):
+        return "NaN" if math.isnan(v) else v + 0.0
+    return v
+
+
+def differences(df, sql: str, con: duckdb.DuckDBPyConnection) -> list[str]:
+    """What differs, exactly (values are rounded on both sides already)."""
+    out = []
+    cur = con.execute(sql)
+    their_types = {d[0]: str(d[1]) for d in cur.description}
+    rows = cur.fetchall()
+    names = [d[0] for d in cur.description]
+    cols = sorted(df.columns)
+    if cols != sorted(names):
+        return [f"columns {cols} != {sorted(names)}"]
+    described = dict((r[0], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall())
+    for c, t in df.dtypes:
+        if KINDS.get(t) != described[c]:
+            out.append(f"type of {c}: {t} != {described[c]}")
+    pick = [names.index(c) for c in cols]
+    theirs = Counter(tuple(norm(r[i]) for i in pick) for r in rows)
+    ours = Counter(tuple(norm(r[c]) for c in cols) for r in df.collect())
+    if sum(ours.values()) != sum(theirs.values()):
+        out.append(f"rows {sum(ours.values())} != {sum(theirs.values())}")
+    if ours != theirs:
+        a, b = ours - theirs, theirs - ours
+        out.append(f"{sum(a.values())} rows differ of {sum(theirs.values())}\n {cols}\n ours {list(a)[:3]}\n duck {list(b)[:3]}")
+    return out
