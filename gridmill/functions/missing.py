@@ -26,13 +26,13 @@ def nan_to_null(c: Column | str) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def mask_fill(c: Column | str, fill: float | str | None = None, dtype: T.DataType | None = None) -> Column:
-    """Fill values become NULL, whatever else the row holds stays.
+def not_fill(c: Column | str, fill: float | str | None = None, dtype: T.DataType | None = None) -> Column:
+    """True for values that are neither a fill nor NaN.
 
-    A declared numeric ``fill`` is matched exactly and nothing else is masked, in the precision
-    of the data: pass the column's ``dtype`` so that a float column is compared as float.
-    Without a usable declaration every value from 9e35 upwards is a fill; NaN sorts above all
-    numbers in Spark and goes the same way.
+    A declared numeric ``fill`` is matched exactly and nothing else counts as one, in the
+    precision of the data: pass the column's ``dtype`` so that a float column is compared as
+    float. Without a usable declaration every value from 9e35 upwards is a fill; NaN sorts above
+    all numbers in Spark and goes the same way.
     """
     c = _col(c)
     try:
@@ -40,11 +40,16 @@ def mask_fill(c: Column | str, fill: float | str | None = None, dtype: T.DataTyp
     except (TypeError, ValueError):
         value = None
     if value is None:
-        return F.when(c < F.lit(FILL_FALLBACK), c)
+        return c < F.lit(FILL_FALLBACK)
     literal = F.lit(value)
     if isinstance(dtype, T.FloatType):
         literal = literal.cast("float")
-    return nan_to_null(F.when(c != literal, c))
+    return (c != literal) & ~F.isnan(c)
+
+
+def mask_fill(c: Column | str, fill: float | str | None = None, dtype: T.DataType | None = None) -> Column:
+    """Fill values become NULL, whatever else the row holds stays."""
+    return F.when(not_fill(c, fill, dtype), _col(c))
 
 
 def mask_range(c: Column | str, low: float, high: float) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+DOMAINS = {"360": (0.0, 360.0), "pm180": (-180.0, 180.0)}
+
 
 def _col(c: Column | str | float) -> Column:
     if isinstance(c, Column):
@@ -23,7 +25,7 @@ def lon_pm180(lon: Column | str | float) -> Column:
 
 
 def in_domain(lon: Column | str | float, domain: str) -> Column:
-    if domain not in ("360", "pm180"):
+    if domain not in DOMAINS:
         raise ValueError(f"unknown longitude domain {domain!r}")
     return lon_360(lon) if domain == "360" else lon_pm180(lon)
 
@@ -66,8 +68,10 @@ def lon_in(
     """
     lon = _col(lon)
     lo, hi = in_domain(lon_min, domain), in_domain(lon_max, domain)
+    first, last = (F.lit(v) for v in DOMAINS[domain])
     whole = _col(lon_max) - _col(lon_min) >= F.lit(360.0)
-    return whole | ((lo <= hi) & lon.between(lo, hi)) | ((lo > hi) & ((lon >= lo) | (lon <= hi)))
+    split = lon.between(lo, last) | lon.between(first, hi)
+    return whole | ((lo <= hi) & lon.between(lo, hi)) | ((lo > hi) & split)
 
 
 def box_contains(lat, lon, lat_min, lat_max, lon_min, lon_max, domain: str = "360") -> Column:

@@ -13,27 +13,31 @@ CELL = ("region_id", "lat", "lon")
 
 
 def cell_days(rows: DataFrame) -> DataFrame:
-    """Every (cell, day) between a region's first and last day: what a dense result must hold.
+    """Every (cell, day) a dense result must hold: the region's days, gaps included, per month.
+
+    Days run from the first to the last one a region has in a month; a region-month is the unit
+    of loading, so the result does not depend on how many months are loaded together.
 
     One aggregate to cells reads only coordinates and time. The days per region come from the
     cells, so both sides of the join are far smaller than the rows, and the region side is so
     small that Spark broadcasts it from its measured size.
     """
-    cells = rows.groupBy(*CELL).agg(F.min("date").alias("cell_first"), F.max("date").alias("cell_last"))
-    spans = cells.groupBy("region_id").agg(
+    month = F.trunc("date", "month").alias("month")
+    cells = rows.groupBy(*CELL, month).agg(F.min("date").alias("cell_first"), F.max("date").alias("cell_last"))
+    spans = cells.groupBy("region_id", "month").agg(
         F.min("cell_first").alias("region_first"), F.max("cell_last").alias("region_last")
     )
     # a cell's own days lie inside the region's; naming them keeps the two uses of ``cells``
     # alike, so its shuffle is computed once and reused
     days = day_array(F.least("cell_first", "region_first"), F.greatest("cell_last", "region_last"))
-    return cells.join(spans, "region_id").select(*CELL, F.explode(days).alias("date"))
+    return cells.join(spans, ["region_id", "month"]).select(*CELL, F.explode(days).alias("date"))
 
 
 def daily_mean(rows: DataFrame, measures: Mapping[str, str], dense: bool = True) -> DataFrame:
     """Mean per (region_id, date, lat, lon) over a UTC day, missing values skipped.
 
     ``measures`` maps input to output columns. A cell-day with only missing values yields a row
-    of NULLs. With ``dense`` so do whole days absent between a region's first and last day: the
+    of NULLs. With ``dense`` so do whole days absent between a region's first and last day of a month: the
     wanted cell-days join the input as rows without measures, which a mean skips, so densifying
     costs no join with the data and the one aggregate stays (with map-side partial means).
     """

@@ -8,6 +8,7 @@ import logging
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +84,11 @@ def require_requests(
     store: Store, requests: Iterable[Request], regions: DataFrame, source: Source, today: dt.date | None = None
 ) -> None:
     """Raise if a request has a wrong month or year or an unknown region."""
-    frame = store.spark.createDataFrame(list(requests), "region_id string, year int, month int")
+    ids, years, months = zip(*requests)
+    frame = store.spark.createDataFrame(
+        pa.table([pa.array(ids, pa.string()), pa.array(years, pa.int32()), pa.array(months, pa.int32())],
+                 ["region_id", "year", "month"])
+    )
     bad = check_requests(frame, regions, source, today).where(~F.col("valid")).collect()
     if bad:
         raise ValueError("; ".join(f"{r.region_id} {r.year}-{r.month}: {r.reason}" for r in bad))
@@ -122,6 +127,8 @@ def ingest(
     first, before the run is tracked.
     """
     requests = list(requests)
+    if not requests:
+        raise ValueError("no requests")
     known = regions if regions is not None else regions_frame(store.spark)
     require_requests(store, requests, known, source, today)
     windows = month_windows(requests)

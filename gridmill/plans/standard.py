@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmill.functions.days import composite_end, composite_start, in_utc_window, utc_day
-from gridmill.functions.missing import mask_fill, mask_range, to_number
+from gridmill.functions.missing import not_fill, to_number
 from gridmill.functions.space import in_domain
 from gridmill.operators.checks import guard_non_nulls, require_columns
 from gridmill.operators.daily import daily_mean
@@ -40,14 +40,15 @@ def clean_measures(rows: DataFrame, source: Source, fills: Mapping[str, object]
     cleaned = {}
     for raw, out in source.measures.items():
         dtype = rows.schema[raw].dataType
-        if isinstance(dtype, T.FloatType):
-            # a fill is compared in the precision of the data
-            value = mask_fill(raw, fills.get(raw), dtype).cast("double")
+        if isinstance(dtype, T.FractionalType):
+            value = F.col(raw)
         else:
-            value = mask_fill(to_number(raw, dtype), fills.get(raw))
+            value, dtype = to_number(raw, dtype), T.DoubleType()
+        # one condition for all reasons to drop a value, so one CASE per measure
+        keep = not_fill(value, fills.get(raw), dtype)
         if out in source.ranges:
-            value = mask_range(value, *source.ranges[out])
-        cleaned[out] = value
+            keep &= value.between(*[F.lit(bound) for bound in source.ranges[out]])
+        cleaned[out] = F.when(keep, value.cast("double"))
     return rows.withColumns(cleaned).drop(*[raw for raw, out in source.measures.items() if raw != out])
 
 

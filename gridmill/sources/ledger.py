@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from gridmill.sources.store import Store
 log = logging.getLogger(__name__)
 
 COLUMNS = [name for name, _, _ in PIPELINE_RUNS]
+ARROW_TYPES = {"STRING": pa.string(), "INT64": pa.int64(), "TIMESTAMP": pa.timestamp("us", tz="UTC")}
 
 
 def log_run(
@@ -35,13 +37,11 @@ def log_run(
 
     try:
         row = (run_id, job_name, utc(start_ts), utc(end_ts), status, int(rows_written), notes)
-        schema = "run_id string, job_name string, start_ts timestamp, end_ts timestamp, status string, " \
-                 "rows_written bigint, notes string"
+        one = pa.table([pa.array([v], ARROW_TYPES[kind]) for v, (_, kind, _) in zip(row, PIPELINE_RUNS)], COLUMNS)
         (
-            store.spark.createDataFrame([row], schema)
+            store.spark.createDataFrame(one)
             .withColumn("notes", F.coalesce(F.left("notes", F.lit(NOTES_CHARS)), F.lit("")))
             .withColumn("run_date", F.to_date("start_ts"))
-            .coalesce(1)
             .write.insertInto(store.runs)
         )
         return True

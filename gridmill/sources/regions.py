@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmill.schemas import REGION_SCHEMA, REGIONS
 
 
 def regions_frame(spark: SparkSession, regions: Iterable[tuple] = REGIONS) -> DataFrame:
-    """Region boxes given in code: (region_id, name, lat_min, lat_max, lon_min, lon_max)."""
-    rows = [(r[0], r[1], *[float(v) for v in r[2:]]) for r in regions]
-    return spark.createDataFrame(rows, REGION_SCHEMA)
+    """Region boxes given in code: (region_id, name, lat_min, lat_max, lon_min, lon_max).
+
+    From an Arrow table the plan holds the rows themselves, so the optimizer knows how few they
+    are and broadcasts them in joins.
+    """
+    columns = list(zip(*regions))
+    types = [pa.string()] * 2 + [pa.float64()] * 4
+    arrays = [pa.array(c, t) for c, t in zip(columns or [()] * 6, types)]
+    return spark.createDataFrame(pa.table(arrays, ["region_id", "name", "lat_min", "lat_max", "lon_min", "lon_max"]))
 
 
 def read_regions(spark: SparkSession, path: str) -> DataFrame:

@@ -22,6 +22,7 @@ from gridmill.schemas import PIPELINE_RUNS, SOURCES, SPARK_TYPES, Source
 
 PARTITION = ("region_id", "ym")
 COMPLETE = "gridmill.complete"
+NULL_KEY = "__HIVE_DEFAULT_PARTITION__"    # how a partition folder spells NULL
 
 # (region_id, first day, last day) to be replaced
 Window = tuple[str, dt.date, dt.date]
@@ -107,24 +108,36 @@ class Store:
         """Coerced rows in table order with the partition key."""
         rows = coerce(rows.select(*source.columns), source.schema)
         data = [c for c in source.columns if c not in PARTITION]
-        return rows.withColumn("ym", month_key(source.day_column)).select(*data, *PARTITION)
+        keys = {"region_id": F.col("region_id"), "ym": month_key(source.day_column)}
+        return rows.select(*data, *[c.alias(k) for k, c in keys.items()])
 
-    def _laid_out(self, rows: DataFrame, source: Source, seen: Observation | None = None) -> DataFrame:
+    @staticmethod
+    def _keys_present(rows: DataFrame) -> DataFrame:
+        """Keys that cannot be NULL spare the writer its own handling of empty strings, which
+        would put a second sort, by the keys alone, in place of the sort by day."""
+        return rows.withColumns({k: F.coalesce(k, F.lit(NULL_KEY)) for k in PARTITION})
+
+    def _laid_out(self, rows: DataFrame, source: Source, seen: Observation) -> DataFrame:
         """Rows gathered by partition and sorted by day.
 
         ``rebalance`` lets the adaptive planner split a partition that holds far more than the
-        others over several tasks (and files) and merge small ones. Rows are counted after that
-        shuffle, in the stage that writes: its tasks count once even if they are retried.
+        others over several tasks (and files). Rows are counted after that shuffle, in the stage
+        that writes: its tasks count once even if they are retried.
         """
-        rows = rows.hint("rebalance", *PARTITION)
-        if seen is not None:
-            rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        return rows.sortWithinPartitions(*PARTITION, source.day_column, "lat", "lon")
+        rows = self._keys_present(rows)
+        counted = rows.hint("rebalance", *PARTITION).observe(seen, F.count(F.lit(1)).alias("rows"))
+        return counted.sortWithinPartitions(*PARTITION, source.day_column, "lat", "lon")
 
     def append(self, source: Source, rows: DataFrame) -> int:
         """Append rows under the table's schema; returns their number."""
+        return self._insert(self.standard(source), self._keyed(rows, source), source)
+
+    def _insert(self, table: str, keyed: DataFrame, source: Source) -> int:
         seen = Observation()
-        self._laid_out(self._keyed(rows, source), source, seen).write.insertInto(self.standard(source))
+        # the hash by partition decides the number of files; merging reduce tasks by size would
+        # only make few tasks write many small files one after the other
+        with self._settings({"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+            self._laid_out(keyed, source, seen).write.insertInto(table)
         return seen.get["rows"]
 
     def dry_run(self, rows: DataFrame) -> int:
@@ -171,21 +184,21 @@ class Store:
         hit = self._partitions(old.where(predicate))
 
         self._create_standard(staging, source)
-        seen = Observation()
-        self._laid_out(self._keyed(rows, source), source, seen).write.insertInto(staging)
+        written = self._insert(staging, self._keyed(rows, source), source)
         affected = hit | self._partitions(self.spark.table(staging))
-        stays = old.where(self._in_partitions(affected)).where(~F.coalesce(predicate, F.lit(False)))
-        self._laid_out(stays, source).write.insertInto(staging)
+        if affected:
+            stays = old.where(self._in_partitions(affected)).where(~F.coalesce(predicate, F.lit(False)))
+            self._insert(staging, stays, source)
+        emptied = hit - self._partitions(self.spark.table(staging))
         self.spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('{COMPLETE}' = 'true')")
 
         self._publish(table, staging, source)
-        emptied = hit - self._partitions(self.spark.table(staging))
         if emptied:
             specs = ", ".join(f"PARTITION (region_id = '{r}', ym = '{m}')" for r, m in sorted(emptied))
             self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
         self.spark.sql(f"DROP TABLE {staging}")
         self.spark.catalog.refreshTable(table)
-        return seen.get["rows"]
+        return written
 
     def _finish_interrupted(self, table: str, staging: str, source: Source) -> None:
         if not self.spark.catalog.tableExists(staging):
@@ -197,20 +210,21 @@ class Store:
 
     def _publish(self, table: str, staging: str, source: Source) -> None:
         """Copy staged partitions over the table's: a narrow job, files already have their size."""
-        staged = self.spark.table(staging).sortWithinPartitions(*PARTITION, source.day_column, "lat", "lon")
-        with self._dynamic_overwrite():
+        staged = self._keys_present(self.spark.table(staging)).sortWithinPartitions(*PARTITION, source.day_column, "lat", "lon")
+        with self._settings({"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
             staged.write.mode("overwrite").insertInto(table)
 
     @contextmanager
-    def _dynamic_overwrite(self) -> Iterator[None]:
-        # insertInto takes the mode from the session only
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic")
+    def _settings(self, wanted: dict[str, str]) -> Iterator[None]:
+        """Session settings for one write; ``insertInto`` takes them from nowhere else."""
+        before = {key: self.spark.conf.get(key) for key in wanted}
+        for key, value in wanted.items():
+            self.spark.conf.set(key, value)
         try:
             yield
         finally:
-            self.spark.conf.set(key, before)
+            for key, value in before.items():
+                self.spark.conf.set(key, value)
 
     @staticmethod
     def _partitions(rows: DataFrame) -> set[tuple[str, str]]:

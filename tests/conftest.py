@@ -1,0 +1,40 @@
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+
+from gridmill.session import configure  # noqa: E402
+
+DATA = "/root/testdata"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    builder = (
+        SparkSession.builder.master("local[*]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataValueLength", "10000")  # plan tests read pushed filters
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    )
+    session = configure(builder.getOrCreate())
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    """An empty store with names of its own."""
+    import uuid
+
+    from gridmill.sources.store import Store
+
+    return Store(spark, str(tmp_path / "store"), f"t{uuid.uuid4().hex[:8]}_").create()

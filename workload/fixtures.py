@@ -118,6 +118,9 @@ SELECT c_custkey AS box_id, 'box' AS name,
 FROM {customer}
 """
 
+# added before rounding, see ``queries.r6``
+OFF_TIES = 3.1e-9
+
 TABLE = re.compile(r"\{(\w+)\}")
 
 

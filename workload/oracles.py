@@ -11,7 +11,7 @@ def _cte(**texts: str) -> str:
 
 
 def r6(expr: str, name: str) -> str:
-    return f"round({expr}, 6) + 0.0 AS {name}"
+    return f"round({expr} + {fx.OFF_TIES}, 6) + 0.0 AS {name}"
 
 
 L = dict(l_sst=fx.L_SST, l_waves=fx.L_WAVES, l_chl=fx.L_CHL_DUCK)

@@ -22,7 +22,7 @@ from gridmill.sources.landing import triage
 from gridmill.sources.ledger import read_runs
 from gridmill.sources.regions import regions_frame
 from gridmill.sources.store import Store
-from workload.fixtures import C_BOXES, E_HOURLY, G_BOXES, G_POINTS, Inputs
+from workload.fixtures import C_BOXES, E_HOURLY, G_BOXES, G_POINTS, OFF_TIES, Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,8 +41,13 @@ def query(f: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
 
 
 def r6(c: str | Column) -> Column:
-    """Six decimals, never negative zero: engines differ in the last bits only."""
-    return F.round(c, 6) + F.lit(0.0)
+    """Six decimals, never negative zero: engines differ in the last bits only.
+
+    Means of values with few decimals often end exactly on half a unit, where the last bit
+    decides. Both engines first move all values by the same small amount off those ties.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c + F.lit(OFF_TIES), 6) + F.lit(0.0)
 
 
 def rounded(df: DataFrame) -> DataFrame:
