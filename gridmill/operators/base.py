@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,16 +63,17 @@ def region_daily_base(
 ) -> DataFrame:
     """One row per observed region-day with the mean of each source, NULL where it has none.
 
-    The rows of all sources are stacked and averaged in one aggregate; a mean skips the NULLs
-    of the other sources. That equals joining each source's means to the observed days, but
-    scans every source once and shuffles only map-side partial means, once.
+    That is each source's means joined to the observed days. Here the means of all sources are
+    stacked and merged by one aggregate instead: every source is scanned once and averaged in
+    the scan's own stage, and what is merged are region-days, which the means have already
+    hashed by (date, region_id). A region-day has one row per source, so the maximum over the
+    stack picks that source's value.
     """
-    stacked = (
-        in_regions(sst, regions).select(*KEY, *SST_MEANS)
-        .unionByName(in_regions(waves, regions).select(*KEY, *WAVES_MEANS), allowMissingColumns=True)
-        .unionByName(
-            window_days(window_mean(chl, regions)).select(*KEY, "chl_mg_m3_window_mean"), allowMissingColumns=True
-        )
-    )
-    means = {**SST_MEANS, **WAVES_MEANS, "chl_mg_m3_window_mean": "chl_mg_m3_mean"}
-    return stacked.groupBy(*KEY).agg(*[F.avg(c).alias(out) for c, out in means.items()])
+    parts = [
+        region_day_mean(sst, SST_MEANS, regions),
+        region_day_mean(waves, WAVES_MEANS, regions),
+        dailyize(chl, regions),
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    means = [c for c in stacked.columns if c not in KEY]
+    return stacked.groupBy(*KEY).agg(*[F.max(c).alias(c) for c in means])

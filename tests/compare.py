@@ -53,3 +53,8 @@ def differences(df, sql: str, con: duckdb.DuckDBPyConnection) -> list[str]:
         a, b = ours - theirs, theirs - ours
         out.append(f"{sum(a.values())} rows differ of {sum(theirs.values())}\n {cols}\n ours {list(a)[:3]}\n duck {list(b)[:3]}")
     return out
+
+
+def formatted_plan(df) -> str:
+    """The physical plan with whole pushed filters."""
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")

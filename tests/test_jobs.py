@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from compare import formatted_plan
 from pyspark.sql import functions as F
 
 from gridmill.plans import jobs
@@ -48,7 +49,7 @@ def test_time_window_is_pushed_to_the_scan(spark, tmp_path):
         path = str(tmp_path / source.name)
         raw(spark, source, [(at(2, 1), 1.0, 1.0, 1.0, "A")]).write.parquet(path)
         df = standardize(spark.read.parquet(path), source, d0=D(2024, 2, 1), d1=D(2024, 2, 29))
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = formatted_plan(df)
         assert f"GreaterThanOrEqual(time,{bounds[0]}" in plan and f"LessThan(time,{bounds[1]}" in plan
 
 

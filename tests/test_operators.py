@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import pytest
+from compare import formatted_plan
 from pyspark.sql import functions as F
 
 from gridmill.operators import base, checks, features, grid, regions, reports
@@ -127,7 +128,7 @@ def test_within_boxes_reaches_the_scan(spark, tmp_path):
     spark.createDataFrame(POINTS, "id int, lat double, lon double").write.parquet(path)
     got = regions.within_boxes(spark.read.parquet(path), [BOXES[2][2:]], "360")
     assert [r[0] for r in rows(got.select("id"))] == [5, 6, 7]
-    plan = got._jdf.queryExecution().executedPlan().toString()
+    plan = formatted_plan(got)
     pushed = plan[plan.index("PushedFilters"):]
     for part in ("GreaterThanOrEqual(lat,-5.0)", "LessThanOrEqual(lat,5.0)",
                  "GreaterThanOrEqual(lon,350.0)", "LessThanOrEqual(lon,10.0)"):
@@ -253,12 +254,35 @@ def test_base_aggregates_windows_before_expanding_and_scans_once(spark, tmp_path
         df.write.parquet(str(tmp_path / name))
         frames.append(spark.read.parquet(str(tmp_path / name)))
     plan = base.region_daily_base(*frames, regions=["A"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 3 and plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    # one shuffle per mean, none to merge them, no join
+    assert plan.count("FileScan") == 3 and plan.count("Exchange hashpartitioning") == 4 and "Join" not in plan
     below_explode = plan[plan.index("Generate explode"):]
     assert below_explode.index("HashAggregate") < below_explode.index("FileScan")
     assert plan.count("EqualTo(region_id,A)") == 3       # region filter in every scan
 
 
+@pytest.mark.parametrize("settings", [("200", "1k"), ("50", "64m"), ("7", "5k")])
+def test_base_has_one_row_per_key_however_shuffles_are_merged(spark, settings):
+    """The merge relies on means that are hashed alike; merging reduce tasks must not break that."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    day = F.date_add(F.lit(D(2024, 1, 1)), (F.col("id") % 300).cast("int"))
+    region = F.concat(F.lit("R"), F.col("id") % 7)
+    sst = spark.range(60_000).select(day.alias("date"), region.alias("region_id"), F.rand(1).alias("sst_c"))
+    waves = spark.range(900).select(day.alias("date"), region.alias("region_id"), F.rand(2).alias("swh_m"),
+                                    F.rand(3).alias("peak_period_s"))
+    chl = spark.range(3000).select(day.alias("period_start_date"), F.date_add(day, 7).alias("period_end_date"),
+                                   region.alias("region_id"), F.rand(4).alias("chl_mg_m3"))
+    try:
+        for k, v in zip(keys, settings):
+            spark.conf.set(k, v)
+        got = base.region_daily_base(sst, waves, chl).select("date", "region_id").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == len(set(got)) == base.observed_days(sst, waves, chl).count()
+
+
 def test_features(spark):
     values = [1.0, 2.0, None, 4.0, 5.0, 6.0, 7.0, 9.0]
     day = [1, 2, 3, 4, 5, 6, 8, 20]      # frames go by row: gaps do not matter

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from compare import formatted_plan
 from pyspark.sql import functions as F
 
 from gridmill.plans.features import build_base, build_features
@@ -57,11 +58,10 @@ def test_scan_prunes_folders_and_row_groups(store, spark):
     store.append(SST, sst_rows(spark, [(D(2024, m, d), r, 1.0) for m in (1, 2, 3) for d in (1, 15) for r in "AB"]))
     df = store.scan(SST, ["A"], D(2024, 1, 10), D(2024, 2, 10))
     assert sorted(r.date for r in df.collect()) == [D(2024, 1, 15), D(2024, 2, 1)]
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "(region_id" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
-    assert "2024-02" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
-    assert "GreaterThanOrEqual(date,2024-01-10)" in plan
-    assert len(df.inputFiles()) >= 2 and all("region_id=A" in f for f in df.where("true").select("date").inputFiles()) or True
+    plan = formatted_plan(df)
+    folders = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "region_id" in folders and "ym#" in folders and "2024-02" in folders
+    assert "GreaterThanOrEqual(date,2024-01-10)" in plan and "LessThanOrEqual(date,2024-02-10)" in plan
 
 
 def test_files_are_sorted_by_day(store, spark):
@@ -101,8 +101,7 @@ def test_replace_days(store, spark):
     kept = [old[0], old[3], old[4]]
     for _ in range(2):      # a second time changes nothing
         assert store.replace_days(SST, sst_rows(spark, new), [("A", *FEB)]) == 2
-        assert content(store) == sorted(kept + new, key=str) or set(content(store)) == set(kept + new)
-        assert len(content(store)) == 5
+        assert content(store) == sorted(kept + new)
 
 
 def test_replace_with_nothing_empties_the_month_only(store, spark):
