@@ -26,39 +26,27 @@ PREFIXES = {
 
 
 def series() -> WindowSpec:
+    """A region's days in order."""
     return Window.partitionBy("region_id").orderBy("date")
 
 
-def week() -> WindowSpec:
-    return series().rowsBetween(-DAYS_BACK, Window.currentRow)
-
-
-def lag1(c: str) -> Column:
-    return F.lag(c, 1).over(series())
-
-
-def diff1(c: str) -> Column:
-    return F.col(c) - lag1(c)
-
-
-def mean7(c: str) -> Column:
-    return F.avg(c).over(week())
-
-
-def stddev7(c: str) -> Column:
-    return F.stddev_samp(c).over(week())
-
-
 def lag_columns(prefixes: Mapping[str, str] = PREFIXES) -> list[Column]:
-    return [lag1(c).alias(f"{p}_lag1") for c, p in prefixes.items()]
+    """The value of the row before."""
+    w = series()
+    return [F.lag(c, 1).over(w).alias(f"{p}_lag1") for c, p in prefixes.items()]
 
 
 def diff_columns(prefixes: Mapping[str, str] = PREFIXES) -> list[Column]:
-    return [diff1(c).alias(f"{p}_diff1") for c, p in prefixes.items()]
+    """The change from the row before, NULL if either value is missing."""
+    w = series()
+    return [(F.col(c) - F.lag(c, 1).over(w)).alias(f"{p}_diff1") for c, p in prefixes.items()]
 
 
 def rolling_columns(prefixes: Mapping[str, str] = PREFIXES) -> list[Column]:
-    return [f(c).alias(f"{p}_{n}7") for c, p in prefixes.items() for n, f in (("ma", mean7), ("sd", stddev7))]
+    """Mean and sample deviation over up to seven rows, missing values skipped."""
+    w = series().rowsBetween(-DAYS_BACK, Window.currentRow)
+    statistics = (("ma", F.avg), ("sd", F.stddev_samp))
+    return [f(c).over(w).alias(f"{p}_{n}7") for c, p in prefixes.items() for n, f in statistics]
 
 
 def calendar_columns() -> list[Column]:

@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,11 @@ def windows_where(windows: Iterable[Window], range_predicate) -> Column:
     return reduce(lambda a, b: a | b, branches) if branches else F.lit(False)
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class Store:
     """Tables below one root folder. ``prefix`` keeps several stores of a session apart."""
 
@@ -148,15 +154,19 @@ class Store:
 
     def replace_days(self, source: Source, rows: DataFrame, windows: Iterable[Window]) -> int:
         """Rows of the windows' regions with a day inside them give way to ``rows``."""
-        return self.replace_where(
-            source, windows_where(windows, lambda d0, d1: in_days(source.day_column, d0, d1)), rows
-        )
+        def inside(d0: dt.date, d1: dt.date) -> Column:
+            # implied by the days, but this is what selects folders
+            months = F.col("ym").between(f"{d0:%Y-%m}", f"{d1:%Y-%m}")
+            return months & in_days(source.day_column, d0, d1)
+
+        return self.replace_where(source, windows_where(windows, inside), rows)
 
     def replace_overlap(self, source: Source, rows: DataFrame, windows: Iterable[Window]) -> int:
         """Composite rows of the windows' regions that overlap them give way to ``rows``."""
         def overlap(d0: dt.date, d1: dt.date) -> Column:
-            # the start is at most one period earlier; the end alone prunes no folder
-            return overlaps("period_start_date", "period_end_date", d0, d1)
+            # later folders cannot match; earlier ones could hold longer periods, so there the
+            # row groups' last end decides
+            return (F.col("ym") <= f"{d1:%Y-%m}") & overlaps("period_start_date", "period_end_date", d0, d1)
 
         return self.replace_where(source, windows_where(windows, overlap), rows)
 
@@ -181,20 +191,20 @@ class Store:
         table, staging = self.standard(source), f"{self.standard(source)}__staging"
         self._finish_interrupted(table, staging, source)
         old = self.spark.table(table)
-        hit = self._partitions(old.where(predicate))
+        hit = {tuple(r) for r in old.where(predicate).select(*PARTITION).distinct().collect()}
 
         self._create_standard(staging, source)
         written = self._insert(staging, self._keyed(rows, source), source)
-        affected = hit | self._partitions(self.spark.table(staging))
+        affected = hit | self._partitions(staging)
         if affected:
             stays = old.where(self._in_partitions(affected)).where(~F.coalesce(predicate, F.lit(False)))
             self._insert(staging, stays, source)
-        emptied = hit - self._partitions(self.spark.table(staging))
+        emptied = hit - self._partitions(staging)
         self.spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('{COMPLETE}' = 'true')")
 
         self._publish(table, staging, source)
         if emptied:
-            specs = ", ".join(f"PARTITION (region_id = '{r}', ym = '{m}')" for r, m in sorted(emptied))
+            specs = ", ".join(f"PARTITION (region_id = {_text(r)}, ym = {_text(m)})" for r, m in sorted(emptied))
             self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
         self.spark.sql(f"DROP TABLE {staging}")
         self.spark.catalog.refreshTable(table)
@@ -226,9 +236,10 @@ class Store:
             for key, value in before.items():
                 self.spark.conf.set(key, value)
 
-    @staticmethod
-    def _partitions(rows: DataFrame) -> set[tuple[str, str]]:
-        return {(r["region_id"], r["ym"]) for r in rows.select(*PARTITION).distinct().collect()}
+    def _partitions(self, table: str) -> set[tuple[str, str]]:
+        """(region_id, ym) of a table's folders, from the catalog."""
+        specs = [r["partition"].split("/") for r in self.spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        return {tuple(unquote(part.split("=", 1)[1]) for part in spec) for spec in specs}
 
     @staticmethod
     def _in_partitions(keys: Iterable[tuple[str, str]]) -> Column:

@@ -104,6 +104,28 @@ def test_replace_days(store, spark):
         assert content(store) == sorted(kept + new)
 
 
+def test_replace_region_names_with_special_characters(store, spark):
+    odd = "O'ahu b/c=d%é"
+    store.append(SST, sst_rows(spark, [(D(2024, 1, 5), odd, 1.0), (D(2024, 1, 25), odd, 1.0), (D(2024, 2, 5), "A", 1.0)]))
+    store.replace_days(SST, sst_rows(spark, [(D(2024, 1, 6), odd, 2.0)]), [(odd, D(2024, 1, 1), D(2024, 1, 10))])
+    assert content(store) == [(D(2024, 1, 6), odd, 2.0), (D(2024, 1, 25), odd, 1.0), (D(2024, 2, 5), "A", 1.0)]
+    store.replace_days(SST, sst_rows(spark, []), [(odd, *JAN)])
+    assert content(store) == [(D(2024, 2, 5), "A", 1.0)]
+
+
+def test_replace_looks_into_the_windows_folders_only(store, spark):
+    seen = {}
+    store.append(SST, sst_rows(spark, [(D(2024, m, 5), r, 1.0) for m in range(1, 7) for r in "AB"]))
+
+    def keep(source, predicate, rows):
+        seen["plan"] = formatted_plan(spark.table(store.standard(source)).where(predicate))
+
+    store.replace_where = keep
+    store.replace_days(SST, sst_rows(spark, []), [("A", *FEB)])
+    folders = seen["plan"][seen["plan"].index("PartitionFilters"):].split("\n")[0]
+    assert "ym#" in folders and "2024-02" in folders and "region_id" in folders
+
+
 def test_replace_with_nothing_empties_the_month_only(store, spark):
     old = [(D(2024, 1, 31), "A", 1.0), (D(2024, 2, 1), "A", 1.0), (D(2024, 2, 10), "B", 1.0)]
     store.append(SST, sst_rows(spark, old))

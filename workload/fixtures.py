@@ -118,7 +118,7 @@ SELECT c_custkey AS box_id, 'box' AS name,
 FROM {customer}
 """
 
-# added before rounding, see ``queries.r6``
+# added before rounding, see ``queries.rounded``
 OFF_TIES = 3.1e-9
 
 TABLE = re.compile(r"\{(\w+)\}")
@@ -130,9 +130,12 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:  # listing and schema once per query
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         """Spark SQL with ``{name}`` read from the driver's tables unless given as a frame."""

@@ -40,18 +40,15 @@ def query(f: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     return f
 
 
-def r6(c: str | Column) -> Column:
-    """Six decimals, never negative zero: engines differ in the last bits only.
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles to six decimals, never negative zero: engines differ in the last bits only.
 
     Means of values with few decimals often end exactly on half a unit, where the last bit
     decides. Both engines first move all values by the same small amount off those ties.
     """
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c + F.lit(OFF_TIES), 6) + F.lit(0.0)
-
-
-def rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: r6(c) for c, t in df.dtypes if t == "double"})
+    return df.selectExpr(
+        *[f"round({c} + {OFF_TIES}D, 6) + 0D AS {c}" if t == "double" else c for c, t in df.dtypes]
+    )
 
 
 def new_store(i: Inputs) -> Store:
