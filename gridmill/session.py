@@ -19,9 +19,22 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Put a running session into the state the engine expects (UTC days, adaptive plans)."""
-    for key, value in SETTINGS.items():
+# Shuffled bytes a reduce task should get at most; the adaptive planner merges smaller ones.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Put a running session into the state the engine expects (UTC days, adaptive plans).
+
+    ``shuffle_bytes``, a guess at the largest shuffle, raises the number of shuffle partitions
+    so that each fits a task. The adaptive planner can merge partitions that turn out small but
+    never makes more. For hourly input the largest shuffle is about a twentieth of it.
+    """
+    wanted = dict(SETTINGS)
+    if shuffle_bytes is not None:
+        key = "spark.sql.shuffle.partitions"
+        wanted[key] = str(max(int(spark.conf.get(key)), -(-shuffle_bytes // TASK_BYTES)))
+    for key, value in wanted.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

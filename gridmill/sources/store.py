@@ -29,13 +29,33 @@ NULL_KEY = "__HIVE_DEFAULT_PARTITION__"    # how a partition folder spells NULL
 Window = tuple[str, dt.date, dt.date]
 
 
+def merged_windows(windows: Iterable[Window]) -> dict[tuple, list[str]]:
+    """Day ranges -> regions: a region's touching windows are one range, regions with the same
+    ranges share an entry. Any number of months of any number of regions makes one entry."""
+    by_region: dict[str, list] = {}
+    for region_id, d0, d1 in sorted(windows):
+        ranges = by_region.setdefault(region_id, [])
+        if ranges and d0 <= ranges[-1][1] + dt.timedelta(days=1):
+            ranges[-1] = (ranges[-1][0], max(d1, ranges[-1][1]))
+        else:
+            ranges.append((d0, d1))
+    by_ranges: dict[tuple, list[str]] = {}
+    for region_id, ranges in by_region.items():
+        by_ranges.setdefault(tuple(ranges), []).append(region_id)
+    return by_ranges
+
+
 def windows_where(windows: Iterable[Window], range_predicate) -> Column:
-    """One predicate for many windows: regions that share a day range go into one branch."""
-    by_range: dict[tuple, list] = {}
-    for region_id, d0, d1 in windows:
-        by_range.setdefault((d0, d1), []).append(region_id)
-    branches = [F.col("region_id").isin(ids) & range_predicate(d0, d1) for (d0, d1), ids in by_range.items()]
-    return reduce(lambda a, b: a | b, branches) if branches else F.lit(False)
+    """One small predicate for many windows; ``range_predicate(d0, d1)`` tests one day range."""
+    branches = [
+        F.col("region_id").isin(ids) & _any(range_predicate(d0, d1) for d0, d1 in ranges)
+        for ranges, ids in merged_windows(windows).items()
+    ]
+    return _any(branches)
+
+
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
 def _text(value: str) -> str:
@@ -140,9 +160,9 @@ class Store:
 
     def _insert(self, table: str, keyed: DataFrame, source: Source) -> int:
         seen = Observation()
-        # the hash by partition decides the number of files; merging reduce tasks by size would
-        # only make few tasks write many small files one after the other
-        with self._settings({"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        # the hash by partition decides the number of files; merging small reduce tasks further
+        # would only make few tasks write many files one after the other
+        with self._settings({"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}):
             self._laid_out(keyed, source, seen).write.insertInto(table)
         return seen.get["rows"]
 
@@ -249,8 +269,7 @@ class Store:
             months_of.setdefault(region_id, []).append(ym)
         for region_id, months in months_of.items():
             by_months.setdefault(tuple(months), []).append(region_id)
-        branches = [F.col("region_id").isin(ids) & F.col("ym").isin(list(ms)) for ms, ids in by_months.items()]
-        return reduce(lambda a, b: a | b, branches) if branches else F.lit(False)
+        return _any(F.col("region_id").isin(ids) & F.col("ym").isin(list(ms)) for ms, ids in by_months.items())
 
     def create_or_replace(self, table: str, rows: DataFrame) -> str:
         """A feature table made new from ``rows``, which may read the old one.

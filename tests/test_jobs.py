@@ -10,6 +10,7 @@ from gridmill.plans import jobs
 from gridmill.plans.jobs import ingest, run_tracked
 from gridmill.plans.standard import clean_measures, standardize
 from gridmill.schemas import CHL, SST, WAVES
+from gridmill.session import configure
 from gridmill.sources.landing import triage
 from gridmill.sources.ledger import log_run, read_runs
 from gridmill.sources.regions import regions_frame
@@ -209,3 +210,15 @@ def test_triage(spark, tmp_path):
 def test_regions_frame_is_a_local_relation(spark):
     assert "LocalTableScan" in regions_frame(spark)._jdf.queryExecution().executedPlan().toString()
     assert regions_frame(spark, []).count() == 0
+
+
+def test_configure_only_raises_shuffle_partitions(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        configure(spark, 1)
+        assert spark.conf.get(key) == before
+        configure(spark, 100 * 128 * 1024 * 1024 + 1)
+        assert spark.conf.get(key) == "101"
+    finally:
+        spark.conf.set(key, before)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridmill.plans.features import build_base, build_features
 from gridmill.plans.quality import loaded, quality
 from gridmill.schemas import CHL, SST, WAVES
+from gridmill.sources.store import merged_windows
 
 D = dt.date
 STAMP = dt.datetime(2024, 2, 1)
@@ -153,6 +154,16 @@ def test_replace_many_windows_at_once(store, spark):
     assert content(store) == sorted([r for r in old if r[:2] not in gone] + new)
 
 
+def test_windows_merge():
+    months = [(D(2024, m, 1), D(2024, m + 1, 1) - dt.timedelta(1)) for m in range(1, 12)]
+    every = [(f"R{k}", *m) for k in range(500) for m in months]
+    assert [(r, len(ids)) for r, ids in merged_windows(every).items()] == [(((D(2024, 1, 1), D(2024, 11, 30)),), 500)]
+    assert merged_windows([("B", *MAR), ("A", *JAN), ("A", *MAR), ("A", D(2024, 1, 5), D(2024, 1, 9)), ("B", *JAN)]) == {
+        (JAN, MAR): ["A", "B"]
+    }
+    assert merged_windows([("A", *JAN), ("B", *FEB)]) == {(JAN,): ["A"], (FEB,): ["B"]}
+
+
 def centres(first, last):
     """Every 8 days from 4 January."""
     day, out = D(2024, 1, 4), []
@@ -211,7 +222,7 @@ def test_dry_run_writes_nothing(store, spark):
 
 
 def test_settings_are_restored(store, spark):
-    keys = ("spark.sql.sources.partitionOverwriteMode", "spark.sql.adaptive.coalescePartitions.enabled")
+    keys = ("spark.sql.sources.partitionOverwriteMode", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
     before = [spark.conf.get(k) for k in keys]
     store.replace_days(SST, sst_rows(spark, [(D(2024, 1, 1), "A", 1.0)]), [("A", *JAN)])
     assert [spark.conf.get(k) for k in keys] == before
