@@ -162,7 +162,11 @@ class Store:
         seen = Observation()
         # the hash by partition decides the number of files; merging small reduce tasks further
         # would only make few tasks write many files one after the other
-        with self._settings({"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}):
+        cores = str(self.spark.sparkContext.defaultParallelism)
+        with self._settings({
+            "spark.sql.adaptive.coalescePartitions.minPartitionNum": cores,
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+        }):
             self._laid_out(keyed, source, seen).write.insertInto(table)
         return seen.get["rows"]
 
@@ -247,14 +251,17 @@ class Store:
     @contextmanager
     def _settings(self, wanted: dict[str, str]) -> Iterator[None]:
         """Session settings for one write; ``insertInto`` takes them from nowhere else."""
-        before = {key: self.spark.conf.get(key) for key in wanted}
+        before = {key: self.spark.conf.get(key, None) for key in wanted}
         for key, value in wanted.items():
             self.spark.conf.set(key, value)
         try:
             yield
         finally:
             for key, value in before.items():
-                self.spark.conf.set(key, value)
+                if value is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, value)
 
     def _partitions(self, table: str) -> set[tuple[str, str]]:
         """(region_id, ym) of a table's folders, from the catalog."""

@@ -222,10 +222,11 @@ def test_dry_run_writes_nothing(store, spark):
 
 
 def test_settings_are_restored(store, spark):
-    keys = ("spark.sql.sources.partitionOverwriteMode", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
-    before = [spark.conf.get(k) for k in keys]
+    parts = "spark.sql.adaptive.coalescePartitions"
+    keys = ("spark.sql.sources.partitionOverwriteMode", f"{parts}.minPartitionSize", f"{parts}.minPartitionNum")
+    before = [spark.conf.get(k, None) for k in keys]
     store.replace_days(SST, sst_rows(spark, [(D(2024, 1, 1), "A", 1.0)]), [("A", *JAN)])
-    assert [spark.conf.get(k) for k in keys] == before
+    assert [spark.conf.get(k, None) for k in keys] == before
 
 
 def test_create_or_replace(store, spark):
