@@ -48,28 +48,19 @@ def run_tracked(
     A failing job is logged as FAILED with no rows and its error, which is raised again.
     """
     run_id = run_id or str(uuid.uuid4())
-    start_ts = clock()
-    status, rows_written, notes = "FAILED", 0, ""
+    record = {"run_id": run_id, "job_name": job_name, "start_ts": clock()}
     log.info("run_started run_id=%s job=%s", run_id, job_name)
     try:
         rows_written, notes = job()
-        status = "SUCCESS"
-        return rows_written
-    except Exception as error:
+    except BaseException as error:
         text = f"{type(error).__name__}: {error}"[:ERROR_CHARS]
-        notes = f"job={job_name} run_id={run_id} err={text}"
-        raise
-    finally:
         log_run(
-            store,
-            run_id=run_id,
-            job_name=job_name,
-            start_ts=start_ts,
-            end_ts=clock(),
-            status=status,
-            rows_written=rows_written,
-            notes=notes,
+            store, **record, end_ts=clock(), status="FAILED", rows_written=0,
+            notes=f"job={job_name} run_id={run_id} err={text}",
         )
+        raise
+    log_run(store, **record, end_ts=clock(), status="SUCCESS", rows_written=rows_written, notes=notes)
+    return rows_written
 
 
 def month_windows(requests: Iterable[Request]) -> list[Window]:
