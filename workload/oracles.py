@@ -276,14 +276,14 @@ SELECT 'run-' || k AS run_id, 'ingest_waves' AS job_name,
        '2024-02-0' || k || 'T03:04:05.123456Z' AS start_text
 FROM k, n""",
     # a line is a head of 3 to 6 bytes, 12 digits and a line feed
-    "landing_triage": """WITH c AS (SELECT event_id // 500 AS chunk, event_id FROM events),
-     f AS (SELECT chunk, count(*) FILTER (WHERE chunk % 7 <> 5 AND (chunk % 5 <> 3 OR event_id % 500 < 20)) AS n
-           FROM c GROUP BY chunk),
-     s AS (SELECT chunk, CASE WHEN n > 0 THEN n * (13 + [4, 6, 3, 3, 3][chunk % 5 + 1]) END AS size FROM f)
-SELECT chunk, size, COALESCE(size >= 1024 AND chunk % 5 <> 1, FALSE) AS ok,
+    "landing_triage": """WITH c AS (SELECT event_id // 500 AS chunk, CAST(event_id % 500 >= 20 AS INTEGER) AS part FROM events),
+     n AS (SELECT chunk, part, count(*) AS n FROM c GROUP BY chunk, part),
+     f AS (SELECT chunk, part, n * (13 + [4, 6, 3, 3, 3][chunk % 5 + 1]) AS size FROM n
+           UNION ALL SELECT DISTINCT chunk, 2, NULL FROM c WHERE chunk % 7 = 5)
+SELECT chunk * 3 + part AS file, size, COALESCE(size >= 1024 AND chunk % 5 <> 1, FALSE) AS ok,
        CASE WHEN size >= 1024 AND chunk % 5 = 0 THEN 'netcdf4_hdf5'
             WHEN size >= 1024 AND chunk % 5 > 1 THEN 'netcdf_classic' END AS kind,
        CASE WHEN size IS NULL THEN 'missing' WHEN size < 1024 THEN 'too_small'
             WHEN chunk % 5 = 1 THEN 'bad_header' END AS reason
-FROM s""",
+FROM f""",
 }

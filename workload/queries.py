@@ -500,19 +500,20 @@ def load_jobs(i: Inputs) -> DataFrame:
 
 @query
 def landing_triage(i: Inputs) -> DataFrame:
-    """Files of 500 events each: good ones of both kinds, error pages, cut-off and absent ones."""
+    """All events as landed files: per 500 events a short and a long one, some expected third ones absent."""
     folder = shared_dir(i.spark)
     chunk = F.floor(F.col("event_id") / 500)
     head = (
         F.when(chunk % 5 == 0, F.lit(b"\x89HDF").cast("string")).when(chunk % 5 == 1, "<html>").otherwise("CDF")
     )
     lines = i.e.select(
-        chunk.alias("chunk"), F.concat(head, F.format_string("%012d", "event_id")).alias("value"), "event_id"
+        (chunk * 3 + F.when(F.col("event_id") % 500 < 20, 0).otherwise(1)).alias("file"),
+        F.concat(head, F.format_string("%012d", "event_id")).alias("value"),
     )
-    landed = lines.where((F.col("chunk") % 7 != 5) & ((F.col("chunk") % 5 != 3) | (F.col("event_id") % 500 < 20)))
     (
-        landed.repartition("chunk").sortWithinPartitions("chunk", "event_id").drop("event_id")
-        .write.partitionBy("chunk").text(folder)
+        lines.repartition("file").sortWithinPartitions("file", "value")
+        .write.partitionBy("file").text(folder)
     )
-    number = F.regexp_extract("path", r"chunk=(\d+)", 1).cast("bigint").alias("chunk")
-    return triage(i.spark, folder, expected=lines.select("chunk").distinct(), key=number, glob="*.txt")
+    absent = i.e.where(chunk % 7 == 5).select((chunk * 3 + 2).alias("file"))
+    number = F.regexp_extract("path", r"file=(\d+)", 1).cast("bigint").alias("file")
+    return triage(i.spark, folder, expected=lines.select("file").union(absent), key=number, glob="*.txt")
