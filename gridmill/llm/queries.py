@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import bpe
+from gridmill.llm import bpe, langid, mixing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,3 +35,80 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def remainder(divisor: int):
+    """crc32 of the id as text, modulo a divisor; null ids have none."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    # a row without an id cannot be told to be a training row, so it is held out
+    held_out = F.coalesce(remainder(4) == 2, F.lit(True))
+    prototypes = langid.learn(docs.where(~held_out))
+    return langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), prototypes)
+
+
+@query
+def op8_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return mixing.assign(docs).select(
+        F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target",
+        F.aggregate("copies", F.lit(0).cast("long"), lambda n, c: n + c["words"]).alias("taken"),
+        F.try_element_at("copies", F.lit(1))["position"].alias("position"),
+    ).orderBy("position", "doc_id")
+
+
+SQL["op8_curriculum_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS k,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), laid AS (
+  SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY k, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+  FROM sized
+), sums AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i
+  FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [5, 2, 1][(i % 3 + 1)::INT]::DOUBLE AS w, [-1, 0, 1][(i % 3 + 1)::INT]::DOUBLE / 2::DOUBLE AS tilt, 2 * source_size AS stop
+  FROM sums
+), ranked AS (
+  SELECT *, coalesce(sum(stop) OVER before, 0)::DOUBLE AS stopped, coalesce(sum(w) OVER before, 0)::DOUBLE AS gone,
+         (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget, sum(w) OVER () AS weights
+  FROM weighed WINDOW before AS (ORDER BY stop / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), goals AS (
+  SELECT source, source_size, tilt,
+         least(stop::DOUBLE, coalesce((SELECT arg_min((budget - stopped) / (weights - gone), (stop / w, i)) FROM ranked
+               WHERE stop / w >= (budget - stopped) / (weights - gone)) * w, stop::DOUBLE)) AS target
+  FROM ranked
+), copies AS (
+  SELECT laid.*, source_size, target, tilt, floor(target)::BIGINT AS goal, e,
+         greatest(0, least(size, floor(target)::BIGINT - start - e * source_size))::BIGINT AS words
+  FROM laid JOIN goals ON laid.source IS NOT DISTINCT FROM goals.source, (VALUES (0), (1)) AS passes(e)
+), placed AS (
+  SELECT *, least(1::DOUBLE, ((start + e * source_size)::DOUBLE + words::DOUBLE / 2::DOUBLE) / goal::DOUBLE) AS q FROM copies
+)
+SELECT doc_id, size, source_size, target, sum(words)::BIGINT AS taken,
+       min(2::DOUBLE * q / ((1::DOUBLE - tilt) + sqrt((1::DOUBLE - tilt) * (1::DOUBLE - tilt) + 4::DOUBLE * tilt * q))) FILTER (words > 0) AS position
+FROM placed GROUP BY doc_id, k, start, size, source_size, target
+"""
+
+
+def quality_model(spark: SparkSession, folder: str):
+    """Learned from the labelled rows that are not held out."""
+    labels = table(spark, folder, "labels").where(remainder(5) != 0).select("doc_id", F.col("quality").alias("label"))
+    return quality.fit(table(spark, folder, "documents"), labels)
+
+
+@query
+def op10_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.coalesce(remainder(5) == 0, F.lit(True)).alias("held_out"))
+    return quality.score(docs, quality_model(spark, folder))
+
+
+@query
+def op4_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
