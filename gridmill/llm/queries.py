@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import bpe, langid, mixing, quality, simhash
+from gridmill.llm import bpe, langid, mixing, quality, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -112,3 +112,8 @@ def op10_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.digests(table(spark, folder, "documents").select("doc_id", "text"))
