@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import bpe, langid, mixing, quality, simhash, substrings
+from gridmill.llm import ann, bpe, langid, mixing, quality, simhash, substrings, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,3 +117,13 @@ def op4_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digests(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_adaptive_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op7_dual_tree_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)

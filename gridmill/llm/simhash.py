@@ -14,7 +14,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -212,9 +211,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked too, but are never the smallest; a component of such rows only has a null id. Repeated
     rows give repeated rows. An empty table gives an empty one.
     """
-    rows = written(fingerprints(docs))
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
-    found = written(components(links(distinct)))
+    spark = docs.sparkSession
+    rows = written(spark, lambda: fingerprints(docs))
+    distinct = written(spark, lambda: rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
+    found = components(links(distinct))
     label = F.coalesce("label", "fp")
     classes = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", label)
     smallest = classes.where("rows > 1 OR label <> fp OR first IS NULL").select("label").distinct()

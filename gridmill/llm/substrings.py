@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.arrays import CHUNK, chunks, runs
+from gridmill.llm.arrays import chunks, runs
 from gridmill.llm.steps import written
 
 WINDOW = 20
@@ -85,10 +85,11 @@ def _order() -> Column:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors of texts: of equal anchors one row, and the others as known to occur elsewhere."""
+    """Anchors of texts. Of equal ones one keeps its hash, the others are spread; those known to occur
+    elsewhere have ``~pos``. Rows stay in the order of the texts, which compresses best."""
     for batch in batches:
         texts, ids = batch.column(1).to_pylist(), batch.column(0).to_numpy()
-        for part in chunks(texts, 4 * CHUNK):
+        for part in chunks(texts):
             words = Words(texts[part[0]:part[-1] + 1])
             of = np.repeat(np.arange(len(part)), words.counts)
             pos = np.arange(len(of)) - words.first[of]
@@ -96,28 +97,30 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             here = (size >= WINDOW) & (pos + ANCHOR <= size) & np.isin(pos % PERIOD, COVER)
             at = np.flatnonzero(here)
             hashes, text, pos = words.hashes(at, ANCHOR), ids[part[0]:part[-1] + 1][of[at]], pos[at]
-            order = np.lexsort((pos, text, hashes))
-            hashes, text, pos = hashes[order], text[order], pos[order]
-            if not len(order):
+            if not len(at):
                 continue
-            other = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+            order = np.lexsort((pos, text, hashes))
+            h, t, p = hashes[order], text[order], pos[order]
+            other = np.concatenate([[True], h[1:] != h[:-1]])
             # the same place of an equal text is no other occurrence
-            copy = ~other & np.concatenate([[False], (text[1:] == text[:-1]) & (pos[1:] == pos[:-1])])
+            copy = ~other & np.concatenate([[False], (t[1:] == t[:-1]) & (p[1:] == p[:-1])])
             group = np.cumsum(other) - 1
             known = np.bincount(group, ~copy)[group] > 1
-            keep = ~copy
+            hashes[order] = np.where(other, h, _mixed(h + np.arange(len(h), dtype=np.uint64)))
+            pos[order] = np.where(known, ~p, p)
+            keep = np.sort(order[~copy])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(other, hashes, _mixed(hashes + np.arange(len(hashes), dtype=np.uint64)))[keep].view(np.int64)),
-                 pa.array(text[keep]), pa.array(pos[keep].astype(np.int32)), pa.array(known[keep]), pa.array(other[keep])],
-                names=["hash", "content", "pos", "known", "first"])
+                [pa.array(hashes[keep].view(np.int64)), pa.array(text[keep]), pa.array(pos[keep].astype(np.int32))],
+                names=["hash", "content", "pos"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows around anchors: the earliest of equal ones, and the others as known to be later."""
+    """Windows around anchors. The earliest of equal ones keeps its hash; the others are known to be
+    later, which ``~pos`` says."""
     for batch in batches:
         texts, ids, contents = batch.column("text").to_pylist(), batch.column("ord").to_numpy(), batch.column("content").to_numpy()
         places = batch.column("places")
-        for part in chunks(texts, 4 * CHUNK):
+        for part in chunks(texts):
             rows = slice(part[0], part[-1] + 1)
             words = Words(texts[rows])
             flags = places.slice(part[0], len(part))
@@ -133,15 +136,16 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = words.hashes(start, WINDOW), words.hashes(start, WINDOW, 1)
             doc, content, pos = ids[rows][of], contents[rows][of], start - words.first[of]
             order = np.lexsort((pos, doc, b, a))
-            a, b, doc, content, pos = a[order], b[order], doc[order], content[order], pos[order]
-            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            x, y, d, p = a[order], b[order], doc[order], pos[order]
+            new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
             lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-            later = (doc > doc[lead]) | (pos > pos[lead])
+            later = (d > d[lead]) | (p > p[lead])
             # later ones are settled and need no group; spread them
-            a = np.where(later, _mixed(a + np.arange(len(a), dtype=np.uint64)), a)
+            a[order] = np.where(later, _mixed(x + np.arange(len(x), dtype=np.uint64)), x)
+            pos[order] = np.where(later, ~p, p)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(doc), pa.array(content),
-                 pa.array(pos.astype(np.int32)), pa.array(later)], names=["a", "b", "ord", "content", "pos", "later"])
+                 pa.array(pos.astype(np.int32))], names=["a", "b", "ord", "content", "pos"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -150,26 +154,34 @@ def repeats(docs: DataFrame) -> DataFrame:
     ``ord`` is the id (a null id counts as the largest number) and ``content`` a hash of the text;
     ``whole`` marks a copy of a whole text with a smaller id. Rows without any are left out.
     """
+    spark = docs.sparkSession
     texts = docs.where("text IS NOT NULL").select(_order().alias("ord"), _text_hash().alias("content"), "text")
     # copies of a whole text: the one of the smallest id stands for all
     twin = F.struct(F.col("content"), F.xxhash64(F.lit("twin"), "text").alias("more"))
-    ids = written(texts.select("ord", twin.alias("twin")).distinct())
+    ids = written(spark, lambda: texts.select("ord", twin.alias("twin")).distinct())
     models = ids.groupBy("twin").agg(F.min("ord").alias("model"), F.count("*").alias("rows"))
     copies = ids.join(models.where("rows > 1"), "twin").where("ord > model").select("ord", F.col("twin.content").alias("content"))
 
-    anchors = texts.select("content", "text").mapInArrow(_anchors, "hash long, content long, pos int, known boolean, first boolean")
-    group = Window.partitionBy("hash")
-    spread = F.col("known") | (F.min("content").over(group) < F.max("content").over(group)) | (F.min("pos").over(group) < F.max("pos").over(group))
-    places = anchors.withColumn("hit", spread).where("hit").groupBy("content").agg(F.collect_set("pos").alias("places"))
-    first = models.groupBy("twin.content").agg(F.min("model").alias("ord"))
-    places = written(places.join(first, "content"))
-
-    windows = texts.join(places, ["ord", "content"]).select("ord", "content", "text", "places").mapInArrow(
-        _windows, "a long, b long, ord long, content long, pos int, later boolean")
-    same = Window.partitionBy("a", "b")
-    found = windows.withColumn("least", F.min(F.struct("ord", "pos")).over(same)).where("later OR struct(ord, pos) > least")
-    starts = written(found.groupBy("ord", "content").agg(F.collect_set("pos").alias("starts")))
-    return starts.select("ord", "content", "starts", F.lit(False).alias("whole")).union(
+    def places() -> DataFrame:
+        """(ord, content, places): anchors that also occur elsewhere, of one text of each content."""
+        group = Window.partitionBy("hash")
+        place = F.expr("IF(pos < 0, ~pos, pos)")
+        anchors = texts.select("content", "text").mapInArrow(_anchors, "hash long, content long, pos int")
+        spread = F.expr("pos < 0") | (F.min("content").over(group) < F.max("content").over(group)) | (F.min(place).over(group) < F.max(place).over(group))
+        hits = anchors.withColumn("hit", spread).where("hit").groupBy("content").agg(F.collect_set(place).alias("places"))
+        return hits.join(models.groupBy("twin.content").agg(F.min("model").alias("ord")), "content")
+
+    def starts() -> DataFrame:
+        """(ord, content, starts): windows that start earlier too."""
+        same = Window.partitionBy("a", "b")
+        windows = texts.join(anchored, ["ord", "content"]).select("ord", "content", "text", "places").mapInArrow(
+            _windows, "a long, b long, ord long, content long, pos int")
+        least = F.min(F.struct("ord", F.expr("IF(pos < 0, ~pos, pos)").alias("pos"))).over(same)
+        found = windows.withColumn("least", least).where("pos < 0 OR struct(ord, pos) > least")
+        return found.groupBy("ord", "content").agg(F.collect_set(F.expr("IF(pos < 0, ~pos, pos)")).alias("starts"))
+
+    anchored = written(spark, places)
+    return written(spark, starts).select("ord", "content", "starts", F.lit(False).alias("whole")).union(
         copies.select("ord", "content", F.lit(None).cast("array<int>"), F.lit(True)))
 
 
