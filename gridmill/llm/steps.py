@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +16,17 @@ def written(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
     """What ``make`` returns, as a table in the shared folder: a lost executor costs no earlier step.
 
     Spark removes shuffle files of a step when the JVM collects what refers to them. So the frame is
-    made in here and let go before the JVM is asked to collect.
+    made in here and let go before the JVM is asked to collect; a moment later what the first request
+    has set free goes too.
     """
     df, folder = make(), shared_dir(spark)
     schema = df.schema
     df.write.parquet(folder)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
     return spark.read.schema(schema).parquet(folder)
 
 
