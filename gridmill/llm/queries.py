@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import ann, bpe, langid, mixing, quality, simhash, substrings, topk
+from gridmill.llm import ann, bpe, html, langid, mixing, quality, simhash, substrings, tokenfile, topk
+from gridmill.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 # Where the public vocabularies are; a parameter of every operator that needs one.
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):
@@ -127,3 +129,15 @@ def op5_adaptive_ann(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_dual_tree_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query
+def op3_tag_path_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    store = shared_dir(spark)
+    tokenfile.write(table(spark, folder, "documents").select("doc_id", "text"), store, BYTE_BPE, end=0)
+    return tokenfile.read(spark, store).drop("ids")
