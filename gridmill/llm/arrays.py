@@ -7,9 +7,11 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Code points worked on at a time. A longer text is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 # White space by Unicode's White_Space property (fixed values).
 BLANKS = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -54,6 +56,24 @@ def chunks(texts: list[str], limit: int = CHUNK) -> Iterator[range]:
         yield range(start, len(texts))
 
 
+def slices(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[slice, list[str]]]:
+    """(rows, their texts) of neighbours with at most ``limit`` bytes together, or one longer text; a
+    null is an empty text. Only these texts are Python objects at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start = size = 0
+    for i, own in enumerate(sizes.tolist()):
+        if i > start and size + own > limit:
+            yield slice(start, i), [t or "" for t in column.slice(start, i - start).to_pylist()]
+            start, size = i, 0
+        size += own
+    if start < len(sizes):
+        yield slice(start, len(sizes)), [t or "" for t in column.slice(start).to_pylist()]
+
+
+def cut(batch: pa.RecordBatch, rows: slice) -> pa.RecordBatch:
+    return batch.slice(rows.start, rows.stop - rows.start)
+
+
 def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each run, end to end."""
     ends = np.cumsum(lengths)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gridmill.llm.arrays import BLANK, CHUNK, OTHER, chunks, codepoints, kinds, runs
+from gridmill.llm.arrays import BLANK, CHUNK, OTHER, chunks, codepoints, cut, kinds, runs, slices
 
 # States: what the code point before belongs to. ONE and TWO: a short form with as many letters to go.
 FRESH, LETTERS, NUMBERS, OTHERS, SPACE, BLANKS, ONE, TWO = range(8)
@@ -169,22 +169,26 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return number, first
 
 
-Encoder = Callable[[list[bytes]], list]
+# ids of pieces, little-endian, 32 bits each
+Encoder = Callable[[list[bytes]], list[bytes]]
 
 
 class Cache:
     """Ids of pieces, kept up to a number of pieces; ``encode`` gets the unknown ones."""
 
-    def __init__(self, encode: Encoder, most: int = 1 << 18):
+    def __init__(self, encode: Encoder, most: int = 1 << 19):
         self.encode, self.most, self.known = encode, most, {}
 
-    def ids(self, pieces: list[bytes]) -> list:
-        new = [p for p in pieces if p not in self.known]
-        found = dict(zip(new, self.encode(new)))
-        out = [self.known[p] if p in self.known else found[p] for p in pieces]
+    def ids(self, pieces: list[bytes]) -> list[bytes]:
+        out = list(map(self.known.get, pieces))
+        missing = [i for i, x in enumerate(out) if x is None]
+        new = [pieces[i] for i in missing]
+        found = self.encode(new)
+        for i, x in zip(missing, found):
+            out[i] = x
         if len(self.known) + len(found) > self.most:
             self.known = {}
-        self.known.update((p, x) for p, x in found.items() if len(p) <= 64)
+        self.known.update((p, x) for p, x in zip(new, found) if len(p) <= 64)
         return out
 
 
@@ -226,8 +230,8 @@ def _pieces(joined: str, points: np.ndarray, starts: np.ndarray, skip: np.ndarra
     number, first = distinct(data, begin, end)
     raw = data.tobytes()
     found = cache.ids([raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())])
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    flat = np.frombuffer(b"".join(found), "<u4")
     each = sizes[number]
     counts[real] = each
     return flat[runs((np.cumsum(sizes) - sizes)[number], each)], counts
@@ -316,15 +320,15 @@ class Merger:
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.of[at], self.NEVER)
 
-    def __call__(self, pieces: list[bytes]) -> list:
+    def __call__(self, pieces: list[bytes]) -> list[bytes]:
         out: list = [None] * len(pieces)
         batch = []
         for i, piece in enumerate(pieces):
             rank = self.ranks.get(piece)
             if rank is not None:
-                out[i] = (rank,)
+                out[i] = rank.to_bytes(4, "little")
             elif len(piece) > self.LONGEST:
-                out[i] = merge(piece, self.ranks)
+                out[i] = np.array(merge(piece, self.ranks), "<u4").tobytes()
             else:
                 batch.append(i)
         if batch:
@@ -346,9 +350,9 @@ class Merger:
             going = best >> 32 < self.NEVER
             if not going.all():
                 done = np.flatnonzero(~going)
-                flat = ids[runs(starts[done], sizes[done])].tolist()
+                flat = ids[runs(starts[done], sizes[done])].astype("<u4").tobytes()
                 stop = 0
-                for where, size in zip(owner[done].tolist(), sizes[done].tolist()):
+                for where, size in zip(owner[done].tolist(), (4 * sizes[done]).tolist()):
                     out[where] = flat[stop:stop + size]
                     stop += size
             at = best[going] & 0xFFFFFFFF
@@ -411,15 +415,14 @@ def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("ids", "en
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, vocabulary = codec(ranks_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            for part in chunks(texts, 4 * CHUNK):
-                found = encode_texts(texts[part[0]:part[-1] + 1], cache)
+            for part, texts in slices(batch.column(text)):
+                found = encode_texts(texts, cache)
                 made = {
                     "ids": lambda: [x.tobytes() for x in found],
                     "ends": lambda: [vocabulary.offsets(x).astype("<u8").tobytes() for x in found],
                     "decoded": lambda: [vocabulary.decode(x) for x in found],
                 }
-                rows = batch.slice(part[0], len(part))
+                rows = cut(batch, part)
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(c) for c in names), *(pa.array(made[k](), pa.binary()) for k in keep)],
                     names=[*names, *keep])

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmill.llm.arrays import chunks, codepoints, lower
+from gridmill.llm.arrays import codepoints, lower, slices
 
 DIMENSIONS = 512
 SEED = 20
@@ -81,10 +81,10 @@ def learn(docs: DataFrame) -> dict[str, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for part in chunks(texts):
-                owner, number, grams = trigrams(texts[part[0]:part[-1] + 1])
-                which, names = pd.factorize(np.array(langs[part[0]:part[-1] + 1], object))
+            langs = np.array(batch.column(1).to_pylist(), object)
+            for part, texts in slices(batch.column(0)):
+                owner, number, grams = trigrams(texts)
+                which, names = pd.factorize(langs[part])
                 for name, vector in zip(names, bundles(which[owner], len(names), number, grams)):
                     total[name] = total.get(name, 0) + vector.astype(np.float64)
         for name, vector in total.items():
@@ -113,21 +113,20 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             langs, scores = [], []
-            for part in chunks(texts):
-                owner, number, grams = trigrams(texts[part[0]:part[-1] + 1])
-                vectors = bundles(owner, len(part), number, grams).astype(np.float64)
+            for _, texts in slices(batch.column("text")):
+                owner, number, grams = trigrams(texts)
+                vectors = bundles(owner, len(texts), number, grams).astype(np.float64)
                 lengths = np.linalg.norm(vectors, axis=1)
-                lettered = np.bincount(owner, minlength=len(part)) > 0
+                lettered = np.bincount(owner, minlength=len(texts)) > 0
                 cosines = vectors @ matrix / np.where(lengths > 0, lengths, 1)[:, None]
                 if names:
                     best = cosines.argmax(axis=1)
                     langs += [names[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
-                    scores += np.where(lettered, np.clip(cosines[np.arange(len(part)), best], 0, 1), 0.0).tolist()
+                    scores += np.where(lettered, np.clip(cosines[np.arange(len(texts)), best], 0, 1), 0.0).tolist()
                 else:
-                    langs += [UNKNOWN] * len(part)
-                    scores += [0.0] * len(part)
+                    langs += [UNKNOWN] * len(texts)
+                    scores += [0.0] * len(texts)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmill.llm.arrays import LETTER, NUMBER, chunks, codepoints, kinds, lower
+from gridmill.llm.arrays import LETTER, NUMBER, codepoints, cut, kinds, lower, slices
 
 LETTER_COLUMNS, SHAPE_COLUMNS, MARKS = 768, 1024, 32
 COLUMNS = LETTER_COLUMNS + SHAPE_COLUMNS + MARKS
@@ -129,12 +129,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for part in chunks(texts):
-                terms = features(texts[part[0]:part[-1] + 1]).astype(np.float16)
+            for part, texts in slices(batch.column(1)):
+                terms, rows = features(texts).astype(np.float16), cut(batch, part)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part[0], len(part)), pa.array([t.tobytes() for t in terms], pa.binary()),
-                     batch.column(2).slice(part[0], len(part))], names=["doc_id", "terms", "label"])
+                    [rows.column(0), pa.array([t.tobytes() for t in terms], pa.binary()), rows.column(2)], names=["doc_id", "terms", "label"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").mapInArrow(
         run, "doc_id long, terms binary, label double").collect()
@@ -165,8 +163,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = shared.value
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            scores = np.concatenate([np.zeros(0), *(learned.vote(features(texts[p[0]:p[-1] + 1])) for p in chunks(texts, 1 << 19))])
+            scores = np.concatenate([np.zeros(0), *(learned.vote(features(texts)) for _, texts in slices(batch.column("text")))])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names=schema.names)
 

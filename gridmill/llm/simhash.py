@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmill.llm.arrays import slices
 from gridmill.llm.steps import components, written
 
 SEED = 42
@@ -55,7 +56,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp), fp as a signed 64-bit number. Null and empty texts have 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t or "") for t in batch.column(1).to_pylist()], np.uint64)
+            found = np.array([fingerprint(t) for _, texts in slices(batch.column(1)) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType())])

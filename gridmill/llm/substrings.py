@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.arrays import chunks, runs
+from gridmill.llm.arrays import runs, slices
 from gridmill.llm.steps import written
 
 WINDOW = 20
@@ -88,15 +88,15 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors of texts. Of equal ones one keeps its hash, the others are spread; those known to occur
     elsewhere have ``~pos``. Rows stay in the order of the texts, which compresses best."""
     for batch in batches:
-        texts, ids = batch.column(1).to_pylist(), batch.column(0).to_numpy()
-        for part in chunks(texts):
-            words = Words(texts[part[0]:part[-1] + 1])
-            of = np.repeat(np.arange(len(part)), words.counts)
+        ids = batch.column(0).to_numpy()
+        for part, texts in slices(batch.column(1)):
+            words = Words(texts)
+            of = np.repeat(np.arange(len(texts)), words.counts)
             pos = np.arange(len(of)) - words.first[of]
             size = words.counts[of]
             here = (size >= WINDOW) & (pos + ANCHOR <= size) & np.isin(pos % PERIOD, COVER)
             at = np.flatnonzero(here)
-            hashes, text, pos = words.hashes(at, ANCHOR), ids[part[0]:part[-1] + 1][of[at]], pos[at]
+            hashes, text, pos = words.hashes(at, ANCHOR), ids[part][of[at]], pos[at]
             if not len(at):
                 continue
             order = np.lexsort((pos, text, hashes))
@@ -118,14 +118,13 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows around anchors. The earliest of equal ones keeps its hash; the others are known to be
     later, which ``~pos`` says."""
     for batch in batches:
-        texts, ids, contents = batch.column("text").to_pylist(), batch.column("ord").to_numpy(), batch.column("content").to_numpy()
+        ids, contents = batch.column("ord").to_numpy(), batch.column("content").to_numpy()
         places = batch.column("places")
-        for part in chunks(texts):
-            rows = slice(part[0], part[-1] + 1)
-            words = Words(texts[rows])
-            flags = places.slice(part[0], len(part))
+        for rows, texts in slices(batch.column("text")):
+            words = Words(texts)
+            flags = places.slice(rows.start, len(texts))
             at = flags.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            of = np.repeat(np.arange(len(part)), np.fromiter((len(x) for x in flags), np.int64, len(part)))
+            of = np.repeat(np.arange(len(texts)), np.fromiter((len(x) for x in flags), np.int64, len(texts)))
             low = np.maximum(at - PERIOD + 1, 0)
             high = np.minimum(at, words.counts[of] - WINDOW)
             of, low, high = of[high >= low], low[high >= low], high[high >= low]

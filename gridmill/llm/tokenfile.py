@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.arrays import chunks
+from gridmill.llm.arrays import cut, slices
 from gridmill.llm.bpe import Cache, encode_texts
 
 SAMPLE, SAMPLE_BYTES = 1024, 1 << 15  # documents to train on, and bytes of each, at most
@@ -45,30 +46,33 @@ def encoder(path: str) -> Cache:
 
     def encode(pieces: list[bytes]) -> list:
         texts = [p.decode("utf-8", "surrogatepass") for p in pieces]
-        return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Cache(encode, most=1 << 19)
+    return Cache(encode)
 
 
-def encode(docs: DataFrame, path: str, end: int) -> DataFrame:
-    """(ord, ids): ids of each text and then ``end``, as little-endian unsigned 32-bit integers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = encoder(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for part in chunks(texts):
-                ids = [np.append(x, np.uint32(end)).astype("<u4").tobytes() for x in encode_texts(texts[part[0]:part[-1] + 1], cache)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part[0], len(part)), pa.array(ids, pa.binary())], names=["ord", "ids"])
+def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """(first column, ids of the texts in the second, each followed by ``end``), some rows at a time."""
+    cache = encoder(path)
+    for batch in batches:
+        for part, texts in slices(batch.column(1)):
+            yield cut(batch, part).column(0), [np.append(x, np.uint32(end)) for x in encode_texts(texts, cache)]
 
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), "text").mapInArrow(run, "ord long, ids binary")
+
+def _ordered(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), "text")
 
 
 def train(docs: DataFrame, path: str, end: int) -> bytes:
     """A dictionary from a bounded sample of documents, the first by a hash of the id."""
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).distinct()
     some = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = encode(some, path, end).select(F.substring("ids", 1, 2 * SAMPLE_BYTES).alias("ids")).limit(SAMPLE).collect()
-    samples = sorted(np.frombuffer(bytes(r.ids), "<u4").astype("<u2").tobytes() for r in rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, ids in encoded(batches, path, end):
+            yield pa.RecordBatch.from_arrays([pa.array([x.astype("<u2").tobytes()[:SAMPLE_BYTES] for x in ids], pa.binary())], names=["ids"])
+
+    samples = sorted(bytes(r.ids) for r in _ordered(some).mapInArrow(run, "ids binary").collect())[:SAMPLE]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too little to train on
@@ -98,13 +102,12 @@ def write(docs: DataFrame, folder: str, path: str, end: int = 0) -> None:
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw), write_content_size=True)
-        for batch in batches:
-            own = np.searchsorted(bounds, batch.column(0).to_numpy(), side="right").astype(np.int32)
-            ids = [np.frombuffer(x, "<u4") for x in batch.column(1).to_pylist()]
-            if any(len(x) and x.max() >= 1 << 16 for x in ids):
+        for ords, ids in encoded(batches, path, end):
+            own = np.searchsorted(bounds, ords.to_numpy(), side="right").astype(np.int32)
+            if any(x.max() >= 1 << 16 for x in ids):
                 raise ValueError("an id does not fit 16 bits")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own), batch.column(0), pa.array([len(x) for x in ids], pa.int64()),
+                [pa.array(own), ords, pa.array([len(x) for x in ids], pa.int64()),
                  pa.array([squeeze.compress(x.astype("<u2").tobytes()) for x in ids], pa.binary())], names=["part", "ord", "tokens", "frame"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +134,7 @@ def write(docs: DataFrame, folder: str, path: str, end: int = 0) -> None:
 
     schema = pa.schema([("part", pa.int32()), ("record", pa.int32()), ("hash", pa.string()), ("low", pa.int64()), ("high", pa.int64()), ("total", pa.int64()),
                         ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("data", pa.binary())])
-    frames = encode(docs, path, end).mapInArrow(compress, "part int, ord long, tokens long, frame binary")
+    frames = _ordered(docs).mapInArrow(compress, "part int, ord long, tokens long, frame binary")
     frames.repartition(parts, "part").sortWithinPartitions("part", "ord", "tokens", "frame").mapInArrow(
         pack, "part int, record int, hash string, low long, high long, total long, ids array<long>, tokens array<long>, offsets array<long>, data binary"
     ).write.parquet(f"{folder}/shards")
