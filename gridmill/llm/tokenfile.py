@@ -2,7 +2,7 @@
 
 A store is a folder with two Parquet tables. ``dictionary`` holds the dictionary, its SHA-256 and the
 width of an id. ``shards`` holds records of neighbouring documents in id order: the dictionary's hash,
-the document ids, how many tokens each has, the offset of each compressed document, and the compressed
+the ids and token counts of its documents, where it starts in its part of the id range, the offset of each compressed document, and the compressed
 documents end to end. One document is read by finding its record (smallest and largest id are columns,
 so Parquet skips the others) and decompressing its own few bytes.
 """
@@ -27,7 +27,7 @@ from gridmill.llm.bpe import Cache, encode_texts
 SAMPLE, SAMPLE_BYTES = 1024, 1 << 15  # documents to train on, and bytes of each, at most
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
-RECORD_BYTES = 1 << 20  # compressed documents in a record, about
+RECORD_BYTES = 1 << 18  # compressed documents in a record, about
 PART_ROWS = 1 << 15  # documents in a part of the id range, about
 LAST = 2**63 - 1  # where rows without an id stand in the order
 
@@ -48,7 +48,7 @@ def encoder(path: str) -> Cache:
         texts = [p.decode("utf-8", "surrogatepass") for p in pieces]
         return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Cache(encode)
+    return Cache(encode, most=1 << 19)
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -111,32 +111,33 @@ def write(docs: DataFrame, folder: str, path: str, end: int = 0) -> None:
                  pa.array([squeeze.compress(x.astype("<u2").tobytes()) for x in ids], pa.binary())], names=["part", "ord", "tokens", "frame"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, held, size = None, 0, [], 0
+        part, number, held, size, start = None, 0, [], 0, 0
 
         def record() -> pa.RecordBatch:
             frames = [f for _, _, f in held]
             ends = np.cumsum([len(f) for f in frames])
             return pa.RecordBatch.from_pylist([{
-                "part": part, "record": number, "hash": digest, "low": held[0][0], "high": held[-1][0], "total": sum(n for _, n, _ in held),
+                "part": part, "record": number, "hash": digest, "low": held[0][0], "high": held[-1][0], "start": start, "total": sum(n for _, n, _ in held),
                 "ids": [i for i, _, _ in held], "tokens": [n for _, n, _ in held], "offsets": [0, *ends.tolist()], "data": b"".join(frames)}], schema)
 
         for batch in batches:
             for p, i, n, frame in zip(*(batch.column(c).to_pylist() for c in range(4))):
                 if held and (p != part or size >= RECORD_BYTES):
                     yield record()
+                    start += sum(n for _, n, _ in held)
                     held, size, number = [], 0, number + 1
                 if p != part:
-                    part, number = p, 0
+                    part, number, start = p, 0, 0
                 held.append((i, n, frame))
                 size += len(frame)
         if held:
             yield record()
 
-    schema = pa.schema([("part", pa.int32()), ("record", pa.int32()), ("hash", pa.string()), ("low", pa.int64()), ("high", pa.int64()), ("total", pa.int64()),
+    schema = pa.schema([("part", pa.int32()), ("record", pa.int32()), ("hash", pa.string()), ("low", pa.int64()), ("high", pa.int64()), ("start", pa.int64()), ("total", pa.int64()),
                         ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("data", pa.binary())])
     frames = _ordered(docs).mapInArrow(compress, "part int, ord long, tokens long, frame binary")
     frames.repartition(parts, "part").sortWithinPartitions("part", "ord", "tokens", "frame").mapInArrow(
-        pack, "part int, record int, hash string, low long, high long, total long, ids array<long>, tokens array<long>, offsets array<long>, data binary"
+        pack, "part int, record int, hash string, low long, high long, start long, total long, ids array<long>, tokens array<long>, offsets array<long>, data binary"
     ).write.parquet(f"{folder}/shards")
 
 
@@ -166,18 +167,16 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     """
     digest, data = _open(spark, folder)
     shards = spark.read.parquet(f"{folder}/shards")
-    # starts of parts, from one row per part, then of records inside their part
+    # a record knows its start inside its part; starts of parts come from one row per PART_ROWS documents
     totals = shards.groupBy("part").agg(F.sum("total").alias("size"))
-    before = totals.withColumn("base", F.sum("size").over(Window.orderBy("part")) - F.col("size")).select(F.col("part").alias("p"), "base")
-    inside = Window.partitionBy("part").orderBy("record")
-    places = shards.select("part", "record", "total").join(F.broadcast(before), F.expr("part = p")).select(
-        F.col("part").alias("p"), F.col("record").alias("r"), (F.col("base") + F.sum("total").over(inside) - F.col("total")).alias("base"))
-    rows = shards.join(places, F.expr("part = p AND record = r")).select("base", "hash", "ids", "tokens", "offsets", "data")
+    before = totals.select(F.col("part").alias("p"), (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))
+    rows = shards.join(F.broadcast(before), F.expr("part = p")).select(
+        (F.col("before") + F.col("start")).alias("base"), "hash", "ids", "tokens", "offsets", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = _reader(digest, data)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 frames = [expand(row["data"][a:b], row["hash"]) for a, b in zip(row["offsets"], row["offsets"][1:])]
                 tokens = np.array(row["tokens"], np.int64)
                 if [len(f) for f in frames] != row["tokens"]:
@@ -200,7 +199,7 @@ def fetch(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand, some = _reader(digest, data), set(wanted)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 at = [i for i, d in enumerate(row["ids"]) if d in some]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["ids"][i] for i in at], pa.int64()),
