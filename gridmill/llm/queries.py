@@ -140,4 +140,4 @@ def op3_tag_path_text(spark: SparkSession, folder: str) -> DataFrame:
 def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
     store = shared_dir(spark)
     tokenfile.write(table(spark, folder, "documents").select("doc_id", "text"), store, BYTE_BPE, end=0)
-    return tokenfile.read(spark, store).drop("ids")
+    return tokenfile.read(spark, store, ids=False).drop("ids")

@@ -48,7 +48,7 @@ def encoder(path: str) -> Cache:
         texts = [p.decode("utf-8", "surrogatepass") for p in pieces]
         return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Cache(encode, most=1 << 19)
+    return Cache(encode)
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -160,10 +160,11 @@ def _reader(digest: str, data: bytes):
     return ids
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
+def read(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, ids) of every document, from the files alone.
 
-    ``start`` counts the ids of all documents before it; ``ids`` is little-endian, 32 bits each.
+    ``start`` counts the ids of all documents before it; ``ids`` is little-endian, 32 bits each, and
+    null if not asked for.
     """
     digest, data = _open(spark, folder)
     shards = spark.read.parquet(f"{folder}/shards")
@@ -174,6 +175,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("before") + F.col("start")).alias("base"), "hash", "ids", "tokens", "offsets", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()  # a worker that has written before needs its pieces no more
         expand = _reader(digest, data)
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
@@ -184,7 +186,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 raw = [f.tobytes() for f in frames]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([None if i == LAST else i for i in row["ids"]], pa.int64()), pa.array(row["base"] + np.cumsum(tokens) - tokens),
-                     pa.array(tokens), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(raw, pa.binary())],
+                     pa.array(tokens), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(raw if ids else [None] * len(raw), pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
     return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
