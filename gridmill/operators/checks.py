@@ -19,7 +19,7 @@ def require_columns(df: DataFrame, required: Iterable[str], label: str) -> DataF
     """Raise, before any job runs, if columns are missing."""
     missing = set(required) - set(df.columns)
     if missing:
-        raise ValueError(f"{label} missing columns: {sorted(missing)}. Got: {sorted(df.columns)}")
+        raise ValueError(f"{label}: no columns {sorted(missing)} among {sorted(df.columns)}")
     return df
 
 
@@ -47,7 +47,7 @@ def null_error(df: DataFrame, columns: Iterable[str], label: str) -> ValueError
     rows = bad_rows(df, columns).collect()
     if not rows:
         return None
-    return ValueError(f"{label} nulls in required columns:\n" + "\n".join(str(r.asDict()) for r in rows))
+    return ValueError(f"{label}: required values are missing, as in\n" + "\n".join(str(r.asDict()) for r in rows))
 
 
 def require_non_nulls(df: DataFrame, columns: Iterable[str], label: str) -> DataFrame:
@@ -65,7 +65,7 @@ def guard_non_nulls(df: DataFrame, columns: Iterable[str], label: str) -> DataFr
     separate pass over the data.
     """
     def guarded(name: str) -> Column:
-        message = F.lit(f"{label} nulls in required columns: {name}")
+        message = F.lit(f"{label}: required values are missing: {name}")
         failed = F.raise_error(message).cast(df.schema[name].dataType)
         return F.when(_missing(df, name), failed).otherwise(F.col(name))
 
@@ -82,9 +82,9 @@ def check_requests(
     """
     last_year = (today or dt.date.today()).year + source.years_ahead
     reason = (
-        F.when(F.col("month").isNull() | ~F.col("month").between(1, 12), "month must be between 1 and 12")
-        .when(F.col("year").isNull() | ~F.col("year").between(source.first_year, last_year), "year seems out of range")
-        .when(~F.col("region_known"), F.concat(F.lit("unknown region "), F.coalesce("region_id", F.lit("null"))))
+        F.when(F.col("month").isNull() | ~F.col("month").between(1, 12), "no such month")
+        .when(F.col("year").isNull() | ~F.col("year").between(source.first_year, last_year), "year not covered")
+        .when(~F.col("region_known"), F.concat(F.lit("no region "), F.coalesce("region_id", F.lit("null"))))
     )
     known = lookup_regions(requests, regions.select("region_id"))
     return known.select(

@@ -27,7 +27,8 @@ def grid_to_long(grids: DataFrame, measures: Sequence[str], level: str | None =
     """Dense grids to one row per (time, [level], lat, lon), missing cells kept as NULL.
 
     Each input row is one grid: arrays ``time``, ``lat``, ``lon`` (and ``level``) for the axes
-    and one flat array per measure, laid out time-major with longitude running fastest. Columns
+    and one flat array per measure, laid out time-major with longitude running fastest. A NULL array is
+    a grid of missing cells; an array that does not fill its grid fails the job. Columns
     besides those are repeated for each cell. A Generate and a Project in one codegen stage, no
     shuffle. A grid row should hold a time chunk that fits a task, not a whole archive.
     """
@@ -35,8 +36,11 @@ def grid_to_long(grids: DataFrame, measures: Sequence[str], level: str | None =
     axes = ["time", *([level] if level else []), "lat", "lon"]
     kept = [c for c in grids.columns if c not in axes and c not in measures]
 
-    cells = F.arrays_zip(*[F.coalesce(F.col(m), F.array().cast("array<double>")).alias(m) for m in measures])
-    exploded = grids.select(*kept, *axes, F.posexplode(cells).alias("pos", "cell"))
+    size = reduce(lambda n, a: n * F.size(a), axes, F.lit(1))
+    wrong = reduce(lambda a, b: a | b, [F.col(m).isNotNull() & (F.size(m) != size) for m in measures])
+    message = F.lit("a measure's values do not fill its grid")
+    places = F.when(wrong, F.raise_error(message).cast("array<int>")).when(size > 0, F.sequence(F.lit(0), size - 1))
+    exploded = grids.select(*kept, *axes, *measures, F.explode(places).alias("pos"))
 
     columns = []
     for i, axis in enumerate(axes):
@@ -44,7 +48,7 @@ def grid_to_long(grids: DataFrame, measures: Sequence[str], level: str | None =
         inner = reduce(lambda n, a: n * F.size(a), axes[i + 1:], F.lit(1))
         index = F.col("pos") if axis == "lon" else F.floor(F.col("pos") / inner)
         columns.append(F.col(axis)[(index % F.size(axis)).cast("int")].alias(axis))
-    return exploded.select(*kept, *columns, *[F.col(f"cell.{m}").alias(m) for m in measures])
+    return exploded.select(*kept, *columns, *[F.get(m, F.col("pos")).alias(m) for m in measures])
 
 
 def align_measures(frames: Mapping[str, DataFrame], keys: Sequence[str] = KEYS) -> DataFrame:

@@ -75,14 +75,14 @@ def standardize(
     "360" or "pm180"; by default they stay as the source has them.
     """
     rows = select_level(standard_axes(raw), source.level)
-    require_columns(rows, ["time", "lat", "lon", *source.measures], f"{source.name} raw_df")
+    require_columns(rows, ["time", "lat", "lon", *source.measures], f"{source.name} input")
     if d0 is not None and d1 is not None:
         rows = rows.where(time_window(source, d0, d1))
     if region_id is not None:
         rows = rows.withColumn("region_id", F.lit(region_id))
     elif regions is not None:
         rows = assign_regions(rows, regions)
-    require_columns(rows, ["region_id"], f"{source.name} raw_df")
+    require_columns(rows, ["region_id"], f"{source.name} input")
     if within is not None:
         rows = rows.where(within)
 
@@ -100,6 +100,6 @@ def standardize(
     rows = rows.withColumns({"source": F.lit(source.label), "ingested_at": stamp})
     if lon_domain is not None:
         rows = rows.withColumn("lon", in_domain("lon", lon_domain))
-    require_columns(rows, source.columns, f"{source.name} standardized_df")
+    require_columns(rows, source.columns, f"{source.name} table rows")
     rows = rows.select(*source.columns)
-    return guard_non_nulls(rows, source.required, f"{source.name} standardized_df") if guard else rows
+    return guard_non_nulls(rows, source.required, f"{source.name} table rows") if guard else rows

@@ -46,7 +46,7 @@ def log_run(
         )
         return True
     except Exception as error:
-        log.error("pipeline_runs_log_failed err=%s: %s", type(error).__name__, error)
+        log.error("the run could not be recorded: %s: %s", type(error).__name__, error)
         return False
 
 

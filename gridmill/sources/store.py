@@ -8,6 +8,7 @@ are sorted by day, so a day range skips row groups. ``ym`` is derived and stays
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
@@ -281,13 +282,23 @@ class Store:
     def create_or_replace(self, table: str, rows: DataFrame) -> str:
         """A feature table made new from ``rows``, which may read the old one.
 
-        The new table is written in full beside the old and takes its name at the end, so a
-        failed job leaves the old table as it was.
+        Each build has a folder of its own, and the name is a view on the last one that was written in
+        full. One catalog call moves the view, so there is no time without a table, and a build that
+        fails or stops at any step leaves the old one in place. Then builds go but this one and the one
+        before, which readers may still have open.
         """
-        name, fresh = self.name("features", table), self.name("features", f"{table}__next")
-        self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-        rows.write.format("parquet").saveAsTable(fresh)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-        self.spark.catalog.refreshTable(name)
+        name = self.name("features", table)
+        builds = f"{self.root}/features/{table}_builds"
+        build = f"{builds}/{uuid.uuid4().hex}"
+        rows.write.parquet(build)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{build}`")
+        self._drop_old(builds, build)
         return name
+
+    def _drop_old(self, builds: str, newest: str) -> None:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(builds)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        others = [f for f in files.listStatus(path) if f.getPath().getName() != newest.rsplit("/", 1)[1]]
+        for old in sorted(others, key=lambda f: f.getModificationTime())[:-1]:
+            files.delete(old.getPath(), True)

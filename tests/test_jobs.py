@@ -88,9 +88,9 @@ def test_lon_domain(spark):
 
 def test_missing_raw_columns_raise_without_a_job(spark):
     df = raw(spark, SST, [(at(1, 1), 20.0, 199.0, 1.0, "A")])
-    with pytest.raises(ValueError, match=r"sst raw_df missing columns: \['sst'\]"):
+    with pytest.raises(ValueError, match=r"sst input: no columns \['sst'\]"):
         standardize(df.drop("sst"), SST)
-    with pytest.raises(ValueError, match=r"missing columns: \['region_id'\]"):
+    with pytest.raises(ValueError, match=r"no columns \['region_id'\]"):
         standardize(df.drop("region_id"), SST)
 
 
@@ -147,13 +147,13 @@ def test_bad_requests_raise_before_tracking(store, spark):
 @pytest.mark.parametrize("how", ["append", "replace", "dry_run"])
 def test_null_keys_fail_the_job_and_write_nothing(store, spark, how):
     data = [(at(1, d), float("nan") if d > 5 else 1.0, 1.0, 1.0, "NTT") for d in range(1, 20)]
-    with pytest.raises(ValueError, match="sst standardized_df nulls in required columns") as error:
+    with pytest.raises(ValueError, match="sst table rows: required values are missing") as error:
         ingest(store, SST, raw(spark, SST, data), [("NTT", 2024, 1)], replace=how == "replace", dry_run=how == "dry_run",
                today=TODAY)
     assert len(str(error.value).splitlines()) == 11
     assert store.scan(SST).count() == 0
     assert ledger(store) == [("ingest_sst", "FAILED", 0)]
-    assert "err=ValueError: sst standardized_df nulls" in read_runs(store).first().notes
+    assert "err=ValueError: sst table rows: required" in read_runs(store).first().notes
 
 
 def test_tracked_failure_is_logged_and_raised(store):

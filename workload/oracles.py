@@ -21,34 +21,33 @@ DAYS = "CAST(unnest(generate_series(period_start_date, period_end_date, INTERVAL
 
 
 def _base_ctes(sst: str, waves: str, chl: str) -> dict[str, str]:
-    """Means per source and their outer combination by left joins on the observed days."""
+    """All values of all sources as (measure, day, region, value), and from that one row per region-day,
+    numbered, with the rows of each seven-row frame averaged."""
+    pivot = ", ".join(f"avg(value) FILTER (measure = '{k}') AS {c}" for k, c in MEANS.items())
+    frame = ", ".join(f"avg(y.{c}) AS {k}_avg, stddev_samp(y.{c}) AS {k}_dev" for k, c in MEANS.items())
     return dict(
-        sst=f"SELECT date, region_id, avg(sst_c) AS sst_c_mean FROM {sst} GROUP BY ALL",
-        waves=f"""SELECT date, region_id, avg(swh_m) AS swh_m_mean, avg(peak_period_s) AS peak_period_s_mean
-                  FROM {waves} GROUP BY ALL""",
-        chl_window=f"""SELECT region_id, period_start_date, period_end_date, avg(chl_mg_m3) AS window_mean
-                       FROM {chl} GROUP BY ALL""",
-        chl_day=f"""SELECT date, region_id, avg(window_mean) AS chl_mg_m3_mean
-                    FROM (SELECT {DAYS} AS date, region_id, window_mean FROM chl_window) GROUP BY ALL""",
-        cal="""SELECT date, region_id FROM sst UNION SELECT date, region_id FROM waves
-               UNION SELECT date, region_id FROM chl_day""",
-        base="""SELECT date, region_id, sst_c_mean, swh_m_mean, peak_period_s_mean, chl_mg_m3_mean
-                FROM cal LEFT JOIN sst USING (date, region_id) LEFT JOIN waves USING (date, region_id)
-                LEFT JOIN chl_day USING (date, region_id)""",
+        composites=f"""SELECT region_id, period_start_date, period_end_date, avg(chl_mg_m3) AS value FROM {chl}
+                       GROUP BY region_id, period_start_date, period_end_date""",
+        stacked=f"""SELECT 'sst' AS measure, date, region_id, sst_c AS value FROM {sst}
+                    UNION ALL SELECT 'swh', date, region_id, swh_m FROM {waves}
+                    UNION ALL SELECT 'peak_period', date, region_id, peak_period_s FROM {waves}
+                    UNION ALL SELECT 'chl', {DAYS}, region_id, value FROM composites""",
+        base=f"SELECT date, region_id, {pivot} FROM stacked GROUP BY date, region_id",
+        numbered="SELECT *, (SELECT count(*) FROM base b WHERE b.region_id = a.region_id AND b.date <= a.date) AS i FROM base a",
+        framed=f"""SELECT x.region_id, x.i, {frame} FROM numbered x JOIN numbered y
+                   ON y.region_id = x.region_id AND y.i > x.i - 7 AND y.i <= x.i GROUP BY x.region_id, x.i""",
     )
 
 
 MEANS = {"sst": "sst_c_mean", "swh": "swh_m_mean", "peak_period": "peak_period_s_mean", "chl": "chl_mg_m3_mean"}
-BASE_COLS = ", ".join(r6(c, c) for c in MEANS.values())
-LAGS = ", ".join(r6(f"lag({c}) OVER w", f"{p}_lag1") for p, c in MEANS.items())
-DIFFS = ", ".join(r6(f"{c} - lag({c}) OVER w", f"{p}_diff1") for p, c in MEANS.items())
-ROLLS = ", ".join(
-    r6(f"avg({c}) OVER w7", f"{p}_ma7") + ", " + r6(f"stddev_samp({c}) OVER w7", f"{p}_sd7") for p, c in MEANS.items()
-)
-CALENDAR = "dayofyear(date) AS doy, month(date) AS month"
-WINDOWS = """WINDOW w AS (PARTITION BY region_id ORDER BY date),
-w7 AS (PARTITION BY region_id ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
-FEATURES = f"SELECT date, region_id, {BASE_COLS}, {LAGS}, {DIFFS}, {ROLLS}, {CALENDAR} FROM base {WINDOWS}"
+BASE_COLS = ", ".join(r6(f"x.{c}", c) for c in MEANS.values())
+LAGS = ", ".join(r6(f"p.{c}", f"{k}_lag1") for k, c in MEANS.items())
+DIFFS = ", ".join(r6(f"x.{c} - p.{c}", f"{k}_diff1") for k, c in MEANS.items())
+ROLLS = ", ".join(r6(f"f.{k}_avg", f"{k}_ma7") + ", " + r6(f"f.{k}_dev", f"{k}_sd7") for k in MEANS)
+CALENDAR = "dayofyear(x.date) AS doy, month(x.date) AS month"
+AROUND = """FROM numbered x JOIN framed f ON f.region_id = x.region_id AND f.i = x.i
+LEFT JOIN numbered p ON p.region_id = x.region_id AND p.i = x.i - 1"""
+FEATURES = f"SELECT x.date, x.region_id, {BASE_COLS}, {LAGS}, {DIFFS}, {ROLLS}, {CALENDAR} {AROUND}"
 
 L_BASE = _cte(**L, **_base_ctes("l_sst", "l_waves", "l_chl"))
 
@@ -92,22 +91,26 @@ SEAM = f"""SELECT box_id, lon_max - lon_min >= 360 AS whole, {_mod360('lon_min')
 
 SQL: dict[str, str] = {
     "region_daily_features": f"{L_BASE}\n{FEATURES}",
-    "region_daily_base": f"{L_BASE}\nSELECT date, region_id, {BASE_COLS} FROM base",
+    "region_daily_base": f"{L_BASE}\nSELECT date, region_id, {BASE_COLS} FROM base x",
     "features_end_to_end": E_FEATURES,
     "load_jobs": E_FEATURES,
-    "create_or_replace": f"{L_BASE}\nSELECT date, region_id, {BASE_COLS} FROM base",
-    "sst_region_daily_mean": f"{L_BASE}\nSELECT date, region_id, {r6('sst_c_mean', 'sst_c_mean')} FROM sst",
+    "create_or_replace": f"{L_BASE}\nSELECT date, region_id, {BASE_COLS} FROM base x",
+    "sst_region_daily_mean": f"{L_BASE}\nSELECT date, region_id, {r6('avg(value)', 'sst_c_mean')} FROM stacked WHERE measure = 'sst' GROUP BY date, region_id",
     "one_region_daily_mean":
-        f"{L_BASE}\nSELECT date, region_id, {r6('sst_c_mean', 'sst_c_mean')} FROM sst WHERE region_id = 'NTT'",
+        f"""{L_BASE}
+SELECT date, region_id, {r6('avg(value)', 'sst_c_mean')} FROM stacked
+WHERE measure = 'sst' AND region_id = 'NTT' GROUP BY date, region_id""",
     "waves_region_daily_mean": f"""{L_BASE}
-SELECT date, region_id, {r6('swh_m_mean', 'swh_m_mean')}, {r6('peak_period_s_mean', 'peak_period_s_mean')} FROM waves""",
+SELECT date, region_id, {r6("avg(value) FILTER (measure = 'swh')", 'swh_m_mean')},
+       {r6("avg(value) FILTER (measure = 'peak_period')", 'peak_period_s_mean')}
+FROM stacked WHERE measure IN ('swh', 'peak_period') GROUP BY date, region_id""",
     "chl_window_mean": f"""{L_BASE}
-SELECT region_id, period_start_date, period_end_date, {r6('window_mean', 'chl_mg_m3_window_mean')} FROM chl_window""",
-    "chl_dailyize": f"{L_BASE}\nSELECT date, region_id, {r6('chl_mg_m3_mean', 'chl_mg_m3_mean')} FROM chl_day",
-    "observed_calendar": f"{L_BASE}\nSELECT date, region_id FROM cal",
-    "lag_diff": f"{L_BASE}\nSELECT date, region_id, {LAGS}, {DIFFS} FROM base {WINDOWS}",
-    "rolling_7": f"{L_BASE}\nSELECT date, region_id, {ROLLS} FROM base {WINDOWS}",
-    "calendar_signals": f"{L_BASE}\nSELECT date, region_id, {CALENDAR} FROM cal",
+SELECT region_id, period_start_date, period_end_date, {r6('value', 'chl_mg_m3_window_mean')} FROM composites""",
+    "chl_dailyize": f"{L_BASE}\nSELECT date, region_id, {r6('avg(value)', 'chl_mg_m3_mean')} FROM stacked WHERE measure = 'chl' GROUP BY date, region_id",
+    "observed_calendar": f"{L_BASE}\nSELECT DISTINCT date, region_id FROM stacked",
+    "lag_diff": f"{L_BASE}\nSELECT x.date, x.region_id, {LAGS}, {DIFFS} {AROUND}",
+    "rolling_7": f"{L_BASE}\nSELECT x.date, x.region_id, {ROLLS} {AROUND}",
+    "calendar_signals": f"{L_BASE}\nSELECT date, region_id, {CALENDAR} FROM base x",
     "sst_standard": f"""{_cte(**E)}
 SELECT CAST(time AS DATE) AS date, region_id, latitude AS lat, longitude AS lon,
        {r6('CASE WHEN sst < 9e35 THEN sst END', 'sst_c')}, 'NOAA_OISST_v2_1_via_ERDDAP' AS source
@@ -208,9 +211,9 @@ SELECT TRY_CAST(date AS DATE) AS date, {r6('TRY_CAST(quantity AS DOUBLE)', 'quan
        count(*) FILTER (WHERE l_linenumber <= 4 OR l_suppkey % 10 = 3) AS bad_rows FROM lineitem""",
     "request_check": """WITH r AS (SELECT DISTINCT ['NTT', 'HAWAII', 'ATLANTIS'][o_custkey % 3 + 1] AS region_id,
            year(o_orderdate) + o_custkey % 5 * 9 - 18 AS year, o_orderkey % 15 AS month FROM orders),
-     c AS (SELECT *, CASE WHEN month NOT BETWEEN 1 AND 12 THEN 'month must be between 1 and 12'
-                          WHEN year < 1980 OR year > 2010 THEN 'year seems out of range'
-                          WHEN region_id = 'ATLANTIS' THEN 'unknown region ATLANTIS' END AS reason,
+     c AS (SELECT *, CASE WHEN month NOT BETWEEN 1 AND 12 THEN 'no such month'
+                          WHEN year < 1980 OR year > 2010 THEN 'year not covered'
+                          WHEN region_id = 'ATLANTIS' THEN 'no region ATLANTIS' END AS reason,
                   CASE WHEN month BETWEEN 1 AND 12 THEN make_date(year, month, 1) END AS d0 FROM r)
 SELECT region_id, year, month, d0, last_day(d0) AS d1, reason IS NULL AS valid, reason FROM c""",
     "qa_sst": f"""{_cte(**L)}
