@@ -28,7 +28,7 @@ SAMPLE, SAMPLE_BYTES = 1024, 1 << 15  # documents to train on, and bytes of each
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 RECORD_BYTES = 1 << 18  # compressed documents in a record, about
-PART_ROWS = 1 << 15  # documents in a part of the id range, about
+PART_ROWS = 1 << 13  # documents in a part of the id range, about
 LAST = 2**63 - 1  # where rows without an id stand in the order
 
 
@@ -48,7 +48,7 @@ def encoder(path: str) -> Cache:
         texts = [p.decode("utf-8", "surrogatepass") for p in pieces]
         return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Cache(encode)
+    return Cache(encode, most=1 << 19)
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
