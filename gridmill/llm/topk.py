@@ -111,6 +111,9 @@ class Best:
         if not some.any():
             return
         at, scores = at[some], scores[some]
+        # rows that no query can use need no sorting
+        used = (scores >= self.least[at][:, None]).any(axis=0)
+        of, scores = of[used], scores[:, used]
         scores = np.concatenate([self.scores[at], scores], axis=1)
         ids = np.concatenate([self.found[at], np.broadcast_to(self.ids[of], (len(at), len(of)))], axis=1)
         order = np.lexsort((ids, -scores), axis=1)[:, :self.k]
