@@ -27,6 +27,7 @@ from gridmill.llm.bpe import Cache, encode_texts
 SAMPLE, SAMPLE_BYTES = 1024, 1 << 15  # documents to train on, and bytes of each, at most
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
+CALL = 1 << 12  # pieces given to the library at once, since what it returns is much larger than the ids
 RECORD_BYTES = 1 << 18  # compressed documents in a record, about
 PART_ROWS = 1 << 13  # documents in a part of the id range, about
 LAST = 2**63 - 1  # where rows without an id stand in the order
@@ -45,8 +46,11 @@ def encoder(path: str) -> Cache:
     library.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def encode(pieces: list[bytes]) -> list:
-        texts = [p.decode("utf-8", "surrogatepass") for p in pieces]
-        return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+        out = []
+        for i in range(0, len(pieces), CALL):
+            texts = [p.decode("utf-8", "surrogatepass") for p in pieces[i:i + CALL]]
+            out += [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+        return out
 
     return Cache(encode, most=1 << 19)
 
