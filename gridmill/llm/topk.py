@@ -27,7 +27,7 @@ from gridmill.llm.vectors import first_copies, matrix, sample, usable
 SAMPLE = 1 << 13  # vectors from which centres are picked, at most
 MOST_CENTRES = 1 << 10
 ROWS, QUERIES = 1 << 13, 1 << 11  # a task's block of rows and of queries
-LEAF = 128
+LEAF = 512
 CHILDREN = 32
 SCALE = 64  # components are floor(SCALE * x)
 MARGIN = 1e-6  # relative, for rounding of the bounds
@@ -107,18 +107,18 @@ class Best:
     def compare(self, at: np.ndarray, of: np.ndarray) -> None:
         scores = self.q[at] @ self.rows[of].T
         scores[self.q_ids[at][:, None] == self.ids[of][None, :]] = -np.inf
-        some = (scores >= self.least[at][:, None]).any(axis=1)
-        if not some.any():
+        # only pairs that can be results are sorted, with the results so far of their queries
+        i, j = np.nonzero((scores >= self.least[at][:, None]) & (scores > -np.inf))
+        if not len(i):
             return
-        at, scores = at[some], scores[some]
-        # rows that no query can use need no sorting
-        used = (scores >= self.least[at][:, None]).any(axis=0)
-        of, scores = of[used], scores[:, used]
-        scores = np.concatenate([self.scores[at], scores], axis=1)
-        ids = np.concatenate([self.found[at], np.broadcast_to(self.ids[of], (len(at), len(of)))], axis=1)
-        order = np.lexsort((ids, -scores), axis=1)[:, :self.k]
-        self.scores[at] = np.take_along_axis(scores, order, axis=1)
-        self.found[at] = np.take_along_axis(ids, order, axis=1)
+        at, i, scores, ids = *np.unique(at[i], return_inverse=True), scores[i, j], self.ids[of[j]]
+        i = np.concatenate([i, np.repeat(np.arange(len(at)), self.k)])
+        scores = np.concatenate([scores, self.scores[at].ravel()])
+        ids = np.concatenate([ids, self.found[at].ravel()])
+        order = np.lexsort((ids, -scores, i))
+        starts = np.searchsorted(i[order], np.arange(len(at)))
+        best = order[starts[:, None] + np.arange(self.k)]  # each query has k at least, empty ones last
+        self.scores[at], self.found[at] = scores[best], ids[best]
         self.least[at] = np.maximum(self.least[at], self.scores[at, -1])
 
 
