@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from gridmill.functions.days import in_days, month_key, overlaps
 from gridmill.operators.base import in_regions
+from gridmill.operators.checks import guard_non_nulls
 from gridmill.operators.coerce import coerce
 from gridmill.schemas import PIPELINE_RUNS, SOURCES, SPARK_TYPES, Source
 
@@ -132,8 +133,10 @@ class Store:
     # -- writing ----------------------------------------------------------------------------
 
     def _keyed(self, rows: DataFrame, source: Source) -> DataFrame:
-        """Coerced rows in table order with the partition key."""
+        """Coerced rows in table order with the partition key. A required value that is missing,
+        or that coercion could not read, fails the write."""
         rows = coerce(rows.select(*source.columns), source.schema)
+        rows = guard_non_nulls(rows, source.required, f"{source.name} table rows")
         data = [c for c in source.columns if c not in PARTITION]
         keys = {"region_id": F.col("region_id"), "ym": month_key(source.day_column)}
         return rows.select(*data, *[c.alias(k) for k, c in keys.items()])

@@ -55,6 +55,14 @@ def test_append_coerces_counts_and_adds(store, spark):
     assert len(content(store)) == 4
 
 
+@pytest.mark.parametrize("column, value", [("date", "'bad day'"), ("lat", "CAST(NULL AS DOUBLE)"), ("source", "CAST(NULL AS STRING)")])
+def test_append_of_a_missing_required_value_writes_nothing(store, spark, column, value):
+    rows = sst_rows(spark, [(D(2024, 1, 1), "A", 1.0)])
+    with pytest.raises(Exception, match=f"required values are missing: {column}"):
+        store.append(SST, rows.withColumn(column, F.expr(value)))
+    assert content(store) == []
+
+
 def test_scan_prunes_folders_and_row_groups(store, spark):
     store.append(SST, sst_rows(spark, [(D(2024, m, d), r, 1.0) for m in (1, 2, 3) for d in (1, 15) for r in "AB"]))
     df = store.scan(SST, ["A"], D(2024, 1, 10), D(2024, 2, 10))
