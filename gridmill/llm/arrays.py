@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import unicodedata
 from collections.abc import Iterator
 
@@ -74,6 +76,16 @@ def cut(batch: pa.RecordBatch, rows: slice) -> pa.RecordBatch:
     return batch.slice(rows.start, rows.stop - rows.start)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system. Workers live on between stages and their allocators keep
+    what they once held, which on a shared machine is missing for others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each run, end to end."""
     ends = np.cumsum(lengths)

@@ -21,14 +21,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.arrays import cut, slices
+from gridmill.llm.arrays import cut, give_back, slices
 from gridmill.llm.bpe import Cache, encode_texts
 
 SAMPLE, SAMPLE_BYTES = 1024, 1 << 15  # documents to train on, and bytes of each, at most
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
-CALL = 1 << 12  # pieces given to the library at once, since what it returns is much larger than the ids
+CALL = 1 << 10  # pieces given to the library at once, since what it returns is much larger than the ids
 RECORD_BYTES = 1 << 18  # compressed documents in a record, about
+SLICE = 1 << 18  # bytes of text that are encoded at a time, about
 PART_ROWS = 1 << 13  # documents in a part of the id range, about
 LAST = 2**63 - 1  # where rows without an id stand in the order
 
@@ -59,8 +60,9 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[
     """(first column, ids of the texts in the second, each followed by ``end``), some rows at a time."""
     cache = encoder(path)
     for batch in batches:
-        for part, texts in slices(batch.column(1)):
+        for part, texts in slices(batch.column(1), SLICE):
             yield cut(batch, part).column(0), [np.append(x, np.uint32(end)) for x in encode_texts(texts, cache)]
+        give_back()
 
 
 def _ordered(docs: DataFrame) -> DataFrame:
@@ -180,6 +182,7 @@ def read(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder.cache_clear()  # a worker that has written before needs its pieces no more
+        give_back()
         expand = _reader(digest, data)
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
