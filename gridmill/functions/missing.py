@@ -6,15 +6,18 @@ every number. So each measure passes ``nan_to_null`` before anything is computed
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmill.schemas import FILL_FALLBACK
 
-# What counts as a number in text. Java's parser would also take "1d", "1f" and hex floats.
+# What counts as a number in text. Java's parser would also take "1d", "1f" and hex floats; only text
+# with one of their letters is held against the pattern.
 NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
-INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
+JAVA_LETTERS = "dDfFxX"
 
 
 def _col(c: Column | str) -> Column:
@@ -62,7 +65,8 @@ def to_number(c: Column | str, dtype: T.DataType) -> Column:
     """Any column as double; what is not a number becomes NULL."""
     c = _col(c)
     if isinstance(dtype, T.StringType):
-        c = F.when(c.rlike(NUMBER_TEXT), F.trim(c).try_cast("double"))
+        odd = reduce(lambda a, b: a | b, [c.contains(x) for x in JAVA_LETTERS])
+        c = F.when(~odd | c.rlike(NUMBER_TEXT), c.try_cast("double"))
     elif isinstance(dtype, (T.NumericType, T.BooleanType)):
         c = c.cast("double")
     else:
@@ -79,7 +83,7 @@ def to_integer(c: Column | str, dtype: T.DataType) -> Column:
     integral = F.when(number == F.floor(number), number.try_cast("bigint"))
     if isinstance(dtype, T.StringType):
         # digits only: no detour over double, which is exact up to 2**53 only
-        return F.when(c.rlike(INTEGER_TEXT), F.trim(c).try_cast("bigint")).otherwise(integral)
+        return F.coalesce(c.try_cast("bigint"), integral)
     return integral
 
 

@@ -12,38 +12,35 @@ from gridmill.functions.days import day_array, utc_day
 CELL = ("region_id", "lat", "lon")
 
 
-def cell_days(rows: DataFrame) -> DataFrame:
-    """Every (cell, day) a dense result must hold: the region's days, gaps included, per month.
-
-    Days run from the first to the last one a region has in a month; a region-month is the unit
-    of loading, so the result does not depend on how many months are loaded together.
-
-    One aggregate to cells reads only coordinates and time. The days per region come from the
-    cells, so both sides of the join are far smaller than the rows, and the region side is so
-    small that Spark broadcasts it from its measured size.
+def dense_days(daily: DataFrame, measures: list[str]) -> DataFrame:
+    """Cell-days with the absent ones added: rows of NULLs for every day between the first and the
+    last one the cell's region has in a month.
+
+    A region-month is the unit of loading, so the result does not depend on how many months are
+    loaded together. A cell's month is one row with at most 31 days in it. The days per region come
+    from those rows, whose shuffle is computed once and used by both sides of the join; the region
+    side is so small that Spark broadcasts it from its measured size.
     """
-    month = F.trunc("date", "month").alias("month")
-    cells = rows.groupBy(*CELL, month).agg(F.min("date").alias("cell_first"), F.max("date").alias("cell_last"))
-    spans = cells.groupBy("region_id", "month").agg(
-        F.min("cell_first").alias("region_first"), F.max("cell_last").alias("region_last")
+    day = F.struct("date", F.struct(*measures).alias("values"))
+    months = daily.groupBy(*CELL, F.trunc("date", "month").alias("month")).agg(F.collect_list(day).alias("held"))
+    spans = months.groupBy("region_id", "month").agg(
+        F.min(F.array_min("held.date")).alias("first"), F.max(F.array_max("held.date")).alias("last")
+    )
+    each = months.join(spans, ["region_id", "month"]).select(
+        *CELL, F.map_from_entries("held").alias("held"), F.explode(day_array("first", "last")).alias("date")
     )
-    # a cell's own days lie inside the region's; naming them keeps the two uses of ``cells``
-    # alike, so its shuffle is computed once and reused
-    days = day_array(F.least("cell_first", "region_first"), F.greatest("cell_last", "region_last"))
-    return cells.join(spans, ["region_id", "month"]).select(*CELL, F.explode(days).alias("date"))
+    values = F.try_element_at("held", F.col("date"))
+    return each.select("region_id", "date", "lat", "lon", *[values[m].alias(m) for m in measures])
 
 
 def daily_mean(rows: DataFrame, measures: Mapping[str, str], dense: bool = True) -> DataFrame:
     """Mean per (region_id, date, lat, lon) over a UTC day, missing values skipped.
 
     ``measures`` maps input to output columns. A cell-day with only missing values yields a row
-    of NULLs. With ``dense`` so do whole days absent between a region's first and last day of a month: the
-    wanted cell-days join the input as rows without measures, which a mean skips, so densifying
-    costs no join with the data and the one aggregate stays (with map-side partial means).
+    of NULLs. With ``dense`` so do whole days absent between a region's first and last day of a month.
+    The rows are read once, with map-side partial means; only cell-days are densified.
     """
-    rows = rows.withColumn("date", utc_day("time")).select(*CELL, "date", *measures)
-    if dense:
-        rows = rows.unionByName(cell_days(rows), allowMissingColumns=True)
-    return rows.groupBy("region_id", "date", "lat", "lon").agg(
+    daily = rows.withColumn("date", utc_day("time")).groupBy("region_id", "date", "lat", "lon").agg(
         *[F.avg(raw).alias(out) for raw, out in measures.items()]
     )
+    return dense_days(daily, list(measures.values())) if dense else daily

@@ -12,10 +12,10 @@ from gridmill.functions.space import box_contains, lon_360, lon_intervals
 
 # A box table is broadcast up to this many (box, tile) rows: about 20 MB as a hash relation.
 MAX_BROADCAST_TILES = 200_000
-# Tile edges in degrees, finest first. Each divides 360.
-TILE_DEGREES = (1, 3, 10, 30, 90)
-# Copies of the box side when the join shuffles, so that one crowded tile goes to many tasks.
-SALTS = 16
+# Tile edges in degrees, finest first. Each divides 360, and the fractions are exact.
+TILE_DEGREES = (0.125, 0.25, 0.5, 1, 3, 10, 30, 90)
+# Tiles that a box should take on average; a few boxes together may take more.
+TILES_PER_BOX, FREE_TILES = 9, 50_000
 
 
 def region_intervals(regions: DataFrame) -> DataFrame:
@@ -37,24 +37,24 @@ def within_boxes(points: DataFrame, boxes: Sequence[tuple], lon_domain: str = "3
     return points.where(reduce(lambda a, b: a | b, inside))
 
 
-def _span(lo: str, hi: str, degrees: int):
+def _span(lo: str, hi: str, degrees: float):
     return F.floor(F.col(lo) / degrees).cast("int"), F.floor(F.col(hi) / degrees).cast("int")
 
 
-def _tile_degrees(intervals: DataFrame) -> tuple[int, int]:
-    """Finest tile size whose (box, tile) rows stay broadcastable, and how many rows that is.
+def _tile_degrees(intervals: DataFrame) -> tuple[float, int]:
+    """The finest tile size at which boxes take few tiles each, and how many (box, tile) rows that is.
 
-    One small aggregate over the box table; the points are not touched.
+    Tiles follow the size of the boxes and not their number: about as large as a box or smaller,
+    so that a point meets little more than the boxes that hold it. One small aggregate over the box
+    table; the points are not touched.
     """
-    def tiles(degrees: int):
+    def tiles(degrees: float):
         (y0, y1), (x0, x1) = _span("lat_lo", "lat_hi", degrees), _span("lon_lo", "lon_hi", degrees)
-        return F.coalesce(F.sum(((y1 - y0 + 1) * (x1 - x0 + 1)).cast("bigint")), F.lit(0))
+        return F.coalesce(F.sum((y1 - y0 + 1).cast("bigint") * (x1 - x0 + 1)), F.lit(0))
 
-    counts = intervals.agg(*[tiles(d).alias(str(d)) for d in TILE_DEGREES]).first()
-    for degrees in TILE_DEGREES:
-        if counts[str(degrees)] <= MAX_BROADCAST_TILES:
-            return degrees, counts[str(degrees)]
-    return TILE_DEGREES[-1], counts[str(TILE_DEGREES[-1])]
+    boxes, *counts = intervals.agg(F.count("*"), *[tiles(d) for d in TILE_DEGREES]).first()
+    most = max(FREE_TILES, TILES_PER_BOX * boxes)
+    return next(((d, n) for d, n in zip(TILE_DEGREES, counts) if n <= most), (TILE_DEGREES[-1], counts[-1]))
 
 
 def assign_regions(points: DataFrame, regions: DataFrame, max_broadcast: int = MAX_BROADCAST_TILES) -> DataFrame:
@@ -62,9 +62,8 @@ def assign_regions(points: DataFrame, regions: DataFrame, max_broadcast: int = M
 
     Boxes and points meet on a tile key, so the join is an equi-join whatever the number of
     boxes, and the exact box test runs on the candidates of one tile only. The tile table is
-    broadcast if its counted size allows. Otherwise both sides shuffle on the tile, with the
-    box side copied per salt so that a tile holding most of the points is worked on by many
-    tasks; the salt comes from the input split, which does not change when a task is retried.
+    broadcast if its counted size allows. Otherwise both sides shuffle on the tile, and the adaptive
+    planner splits a tile that holds most of the points over many tasks.
     """
     intervals = region_intervals(regions)
     degrees, n_tiles = _tile_degrees(intervals)
@@ -81,10 +80,6 @@ def assign_regions(points: DataFrame, regions: DataFrame, max_broadcast: int = M
     keys = ["tile_y", "tile_x"]
     if n_tiles <= max_broadcast:
         tiles = F.broadcast(tiles)
-    else:
-        keys.append("salt")
-        points = points.withColumn("salt", F.spark_partition_id() % SALTS)
-        tiles = tiles.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     inside = F.col("lat").between(F.col("lat_lo"), F.col("lat_hi")) & F.col("lon_360").between(
         F.col("lon_lo"), F.col("lon_hi")
     )

@@ -17,6 +17,7 @@ from gridmill.operators.daily import daily_mean
 from gridmill.operators.grid import select_level, standard_axes
 from gridmill.operators.regions import assign_regions
 from gridmill.schemas import DAYS_AFTER_CENTRE, DAYS_BEFORE_CENTRE, Source
+from gridmill.session import require_utc
 
 
 def time_window(source: Source, d0: dt.date, d1: dt.date) -> Column:
@@ -76,6 +77,8 @@ def standardize(
     """
     rows = select_level(standard_axes(raw), source.level)
     require_columns(rows, ["time", "lat", "lon", *source.measures], f"{source.name} input")
+    if isinstance(rows.schema["time"].dataType, T.TimestampType):
+        require_utc(rows.sparkSession)
     if d0 is not None and d1 is not None:
         rows = rows.where(time_window(source, d0, d1))
     if region_id is not None:

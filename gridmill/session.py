@@ -40,6 +40,13 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Days are UTC days; in a session of another zone Spark would cut zoned timestamps elsewhere."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"the session's time zone is {zone}, not UTC: call gridmill.session.configure first")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 

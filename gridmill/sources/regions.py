@@ -28,12 +28,12 @@ def read_regions(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith((".yaml", ".yml")):
         import yaml  # only this format needs it
 
-        with open(path, encoding="utf-8") as f:
-            entries = yaml.safe_load(f)["regions"]
+        # by Spark's file systems, so that the file may lie where the data lies
+        entries = yaml.safe_load(spark.read.text(path, wholetext=True).first()[0])["regions"]
         bounds = ("lat_min", "lat_max", "lon_min", "lon_max")
         return regions_frame(
             spark,
-            [(key, entry.get("name"), *[entry["boundbox"][b] for b in bounds]) for key, entry in entries.items()],
+            [(key, entry.get("name"), *[float(entry["boundbox"][b]) for b in bounds]) for key, entry in entries.items()],
         )
     kind = next((k for k in ("json", "csv", "parquet") if path.rstrip("/").endswith(k)), "parquet")
     reader = spark.read if kind == "parquet" else spark.read.schema(REGION_SCHEMA)

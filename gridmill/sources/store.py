@@ -21,10 +21,12 @@ from gridmill.functions.days import in_days, month_key, overlaps
 from gridmill.operators.base import in_regions
 from gridmill.operators.checks import guard_non_nulls
 from gridmill.operators.coerce import coerce
-from gridmill.schemas import PIPELINE_RUNS, SOURCES, SPARK_TYPES, Source
+from gridmill.schemas import DAYS_AFTER_CENTRE, DAYS_BEFORE_CENTRE, PIPELINE_RUNS, SOURCES, SPARK_TYPES, Source
+from gridmill.session import require_utc
 
 PARTITION = ("region_id", "ym")
 COMPLETE = "gridmill.complete"
+LONGEST_PERIOD = DAYS_BEFORE_CENTRE + DAYS_AFTER_CENTRE + 1
 NULL_KEY = "__HIVE_DEFAULT_PARTITION__"    # how a partition folder spells NULL
 
 # (region_id, first day, last day) to be replaced
@@ -69,6 +71,7 @@ class Store:
     """Tables below one root folder. ``prefix`` keeps several stores of a session apart."""
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
+        require_utc(spark)
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
@@ -89,7 +92,7 @@ class Store:
         """Create the layers, the standard tables and the ledger where they do not exist."""
         for layer in ("standard", "features", "ops"):
             self.spark.sql(
-                f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{self.root}/{layer}'"
+                f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION {_text(f'{self.root}/{layer}')}"
             )
         for source in SOURCES.values():
             self._create_standard(self.standard(source), source)
@@ -137,6 +140,10 @@ class Store:
         or that coercion could not read, fails the write."""
         rows = coerce(rows.select(*source.columns), source.schema)
         rows = guard_non_nulls(rows, source.required, f"{source.name} table rows")
+        if source.composite:
+            days = F.datediff("period_end_date", "period_start_date") + 1
+            error = F.raise_error(F.lit(f"a period of {source.name} has not 1 to {LONGEST_PERIOD} days")).cast("date")
+            rows = rows.withColumn("period_end_date", F.when(days.isNull() | days.between(1, LONGEST_PERIOD), F.col("period_end_date")).otherwise(error))
         data = [c for c in source.columns if c not in PARTITION]
         keys = {"region_id": F.col("region_id"), "ym": month_key(source.day_column)}
         return rows.select(*data, *[c.alias(k) for k, c in keys.items()])
@@ -192,9 +199,10 @@ class Store:
     def replace_overlap(self, source: Source, rows: DataFrame, windows: Iterable[Window]) -> int:
         """Composite rows of the windows' regions that overlap them give way to ``rows``."""
         def overlap(d0: dt.date, d1: dt.date) -> Column:
-            # later folders cannot match; earlier ones could hold longer periods, so there the
-            # row groups' last end decides
-            return (F.col("ym") <= f"{d1:%Y-%m}") & overlaps("period_start_date", "period_end_date", d0, d1)
+            # a period has LONGEST_PERIOD days, which every write checks, so the folders follow
+            first = d0 - dt.timedelta(days=LONGEST_PERIOD - 1)
+            months = F.col("ym").between(f"{first:%Y-%m}", f"{d1:%Y-%m}")
+            return months & overlaps("period_start_date", "period_end_date", d0, d1)
 
         return self.replace_where(source, windows_where(windows, overlap), rows)
 
@@ -228,13 +236,11 @@ class Store:
             stays = old.where(self._in_partitions(affected)).where(~F.coalesce(predicate, F.lit(False)))
             self._insert(staging, stays, source)
         emptied = hit - self._partitions(staging)
+        # what has to go is kept beside what has to come, so that a recovery does both
+        self.spark.createDataFrame(sorted(emptied), "region_id string, ym string").write.mode("overwrite").saveAsTable(
+            f"{staging}_emptied", format="parquet")
         self.spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('{COMPLETE}' = 'true')")
-
-        self._publish(table, staging, source)
-        if emptied:
-            specs = ", ".join(f"PARTITION (region_id = {_text(r)}, ym = {_text(m)})" for r, m in sorted(emptied))
-            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-        self.spark.sql(f"DROP TABLE {staging}")
+        self._finish_interrupted(table, staging, source)
         self.spark.catalog.refreshTable(table)
         return written
 
@@ -244,7 +250,12 @@ class Store:
         properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {staging}").collect()}
         if properties.get(COMPLETE) == "true":
             self._publish(table, staging, source)
+            emptied = self.spark.table(f"{staging}_emptied").collect()
+            if emptied:
+                specs = ", ".join(f"PARTITION (region_id = {_text(r)}, ym = {_text(m)})" for r, m in emptied)
+                self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
         self.spark.sql(f"DROP TABLE {staging}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {staging}_emptied")
 
     def _publish(self, table: str, staging: str, source: Source) -> None:
         """Copy staged partitions over the table's: a narrow job, files already have their size."""

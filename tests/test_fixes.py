@@ -2,7 +2,15 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from gridmill.functions.missing import to_integer, to_number
+from gridmill.operators import regions
 from gridmill.operators.grid import grid_to_long
+from gridmill.schemas import CHL, SST
+from gridmill.sources.regions import read_regions
+from gridmill.sources.store import Store
+from test_store import D, FEB, JAN, chl_rows, content, sst_rows
 
 GRID = "time array<int>, lat array<double>, lon array<double>, m array<double>"
 
@@ -26,3 +34,77 @@ def test_builds_survive_failures(store, spark, tmp_path):
         store.create_or_replace("t", spark.table(name).selectExpr("x + 1 AS x"))
     assert sorted(r.x for r in spark.table(name).collect()) == [4, 5]
     assert len(list((tmp_path / "store/features/t_builds").iterdir())) <= 3
+
+
+def test_recovery_drops_what_had_to_go(store, spark, monkeypatch):
+    store.append(SST, sst_rows(spark, [(D(2024, 1, 5), "A", 1.0), (D(2024, 2, 5), "A", 2.0)]))
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(Store, "_publish", stop)
+        with pytest.raises(RuntimeError):
+            store.replace_days(SST, sst_rows(spark, [(D(2024, 2, 5), "A", 3.0)]), [("A", *JAN), ("A", *FEB)])
+    store.replace_days(SST, sst_rows(spark, [(D(2024, 3, 1), "A", 4.0)]), [("A", D(2024, 3, 1), D(2024, 3, 1))])
+    assert content(store) == [(D(2024, 2, 5), "A", 3.0), (D(2024, 3, 1), "A", 4.0)]
+    left = [t.name for t in spark.catalog.listTables(f"{store.prefix}standard")]
+    assert not [t for t in left if "staging" in t]
+
+
+def test_periods_are_bounded(store, spark):
+    rows = chl_rows(spark, [(D(2024, 1, 5), "A", 1.0)])
+    assert store.append(CHL, rows) == 1
+    for end in (D(2024, 1, 1), D(2024, 1, 10)):
+        with pytest.raises(Exception, match="has not 1 to 8 days"):
+            store.append(CHL, rows.withColumn("period_end_date", F.lit(end)))
+
+
+def test_overlap_reads_few_folders(store, spark):
+    """A period that began in the month before is replaced, and no folder before that is read."""
+    store.append(CHL, chl_rows(spark, [(D(2023, 6, 5), "A", 1.0), (D(2024, 1, 29), "A", 2.0)]))
+    seen = []
+    real = store.replace_where
+    store.replace_where = lambda source, predicate, rows: (seen.append(predicate), real(source, predicate, rows))[1]
+    store.replace_overlap(CHL, chl_rows(spark, [(D(2024, 1, 29), "A", 3.0)]), [("A", *FEB)])
+    assert [r[2] for r in content(store, CHL, "chl_mg_m3")] == [1.0, 3.0]
+    assert "2024-01" in str(seen[0]) and "2023" not in str(seen[0])
+
+
+def test_other_zones_are_refused(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Makassar")
+    try:
+        with pytest.raises(ValueError, match="not UTC"):
+            Store(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_many_boxes_leave_few_candidates(spark):
+    boxes = spark.range(250_000).selectExpr(
+        "concat('B', id) region_id", "'' name", "id % 357 * 0.5D - 90 lat_min", "id % 357 * 0.5D - 89 lat_max",
+        "(id * 7919 % 3590) * 0.1D lon_min", "(id * 7919 % 3590) * 0.1D + 1 lon_max")
+    intervals = regions.region_intervals(boxes)
+    degrees, n = regions._tile_degrees(intervals)
+    assert degrees <= 1 and n <= 10 * 250_000
+    points = spark.range(2000).selectExpr("id", "id * 31 % 1700 / 10D - 85 AS lat", "id * 17 % 3600 / 10D AS lon")
+    got = {(r.id, r.region_id) for r in regions.assign_regions(points, boxes).select("id", "region_id").collect()}
+    inside = points.join(F.broadcast(points.sparkSession.createDataFrame(intervals.toPandas())), F.expr(
+        "lat BETWEEN lat_lo AND lat_hi AND lon BETWEEN lon_lo AND lon_hi")).where("id % 40 = 0")
+    assert {(r.id, r.region_id) for r in inside.collect()} == {x for x in got if x[0] % 40 == 0}
+
+
+@pytest.mark.parametrize("text, number, integer", [
+    ("1d", None, None), ("0x1p3", None, None), ("1.5F", None, None), ("inf", float("inf"), None), (" 7 ", 7.0, 7), ("1.7", 1.7, None),
+    ("12.0", 12.0, 12), ("9007199254740993", 9007199254740992.0, 9007199254740993), ("nan", None, None), ("", None, None), ("1e2", 100.0, 100)])
+def test_text_numbers(spark, text, number, integer):
+    df = spark.createDataFrame([(text,)], "s string")
+    kind = df.schema["s"].dataType
+    assert tuple(df.select(to_number("s", kind), to_integer("s", kind)).first()) == (number, integer)
+
+
+def test_region_file_with_quoted_bounds(spark, tmp_path):
+    pytest.importorskip("yaml")
+    file = tmp_path / "r.yaml"
+    file.write_text("regions:\n  A:\n    name: a\n    boundbox: {lat_min: '-1', lat_max: 1, lon_min: 2, lon_max: '3.5'}\n")
+    assert tuple(read_regions(spark, str(file)).first()) == ("A", "a", -1.0, 1.0, 2.0, 3.5)

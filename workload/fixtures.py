@@ -18,8 +18,9 @@ SELECT CAST(l_shipdate AS DATE) AS date,
        CAST(120 AS DOUBLE) + CAST(l_partkey % 21 AS DOUBLE) / 4 AS lon,
        CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity END AS sst_c
 FROM {lineitem}
-WHERE day(l_shipdate) NOT IN (13, 14)
 """
+# for what depends on gaps in a series: days that one source lacks
+GAP_SST = f"SELECT * FROM ({L_SST}) x WHERE day(date) NOT IN (13, 14)"
 
 L_WAVES = """
 SELECT CAST(o_orderdate AS DATE) AS date,
@@ -29,8 +30,8 @@ SELECT CAST(o_orderdate AS DATE) AS date,
        CASE WHEN o_orderkey % 11 = 0 OR o_totalprice > 400000 THEN NULL ELSE o_totalprice / 10000 END AS swh_m,
        CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_orderkey % 60 AS DOUBLE) END AS peak_period_s
 FROM {orders}
-WHERE day(o_orderdate) <> 20
 """
+GAP_WAVES = f"SELECT * FROM ({L_WAVES}) x WHERE day(date) <> 20"
 
 _L_CHL_CELLS = """
              CASE WHEN l_suppkey % 2 = 0 THEN 'NTT' ELSE 'HAWAII' END AS region_id,
@@ -61,20 +62,20 @@ FROM {events}
 E_SST = """
 SELECT ts AS time, region_id, latitude, longitude, CAST(0 AS DOUBLE) AS zlev,
        CASE WHEN event_id % 13 = 0 THEN CAST('9.96921e36' AS DOUBLE) ELSE value / 10 END AS sst
-FROM {e} WHERE event_type = 'view'
+FROM {e}
 """
 
 E_WAVES = """
 SELECT ts AS time, region_id, latitude, longitude, CAST(0 AS DOUBLE) AS depth,
        CASE WHEN event_id % 11 = 0 THEN CAST('9.96921e36' AS DOUBLE) ELSE value / 5 END AS Thgt,
        CASE WHEN event_id % 17 = 0 THEN CAST(-1 AS DOUBLE) ELSE CAST(event_id % 70 AS DOUBLE) END AS Tper
-FROM {e} WHERE event_type IN ('click', 'purchase', 'error')
+FROM {e}
 """
 
 _E_CHL_CELLS = """
        region_id, latitude, longitude, CAST(0 AS DOUBLE) AS altitude,
        CASE WHEN event_id % 7 = 0 THEN CAST('9.96921e36' AS DOUBLE) ELSE value / 100 END AS chlorophyll
-FROM {e} WHERE event_type = 'signup'
+FROM {e}
 """
 E_CHL = """
 SELECT date_add(DATE'2024-01-04', CAST(8 * floor(datediff(CAST(ts AS DATE), DATE'2024-01-01') / 8)
@@ -155,6 +156,14 @@ class Inputs:
     def waves(self) -> DataFrame:
         return self.sql(L_WAVES)
 
+    @property
+    def gap_sst(self) -> DataFrame:
+        return self.sql(GAP_SST)
+
+    @property
+    def gap_waves(self) -> DataFrame:
+        return self.sql(GAP_WAVES)
+
     @property
     def chl(self) -> DataFrame:
         return self.sql(L_CHL)

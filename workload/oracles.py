@@ -49,6 +49,8 @@ AROUND = """FROM numbered x JOIN framed f ON f.region_id = x.region_id AND f.i =
 LEFT JOIN numbered p ON p.region_id = x.region_id AND p.i = x.i - 1"""
 FEATURES = f"SELECT x.date, x.region_id, {BASE_COLS}, {LAGS}, {DIFFS}, {ROLLS}, {CALENDAR} {AROUND}"
 
+GAPS = dict(l_sst=fx.GAP_SST, l_waves=fx.GAP_WAVES, l_chl=fx.L_CHL_DUCK)
+GAP_BASE = _cte(**GAPS, **_base_ctes("l_sst", "l_waves", "l_chl"))
 L_BASE = _cte(**L, **_base_ctes("l_sst", "l_waves", "l_chl"))
 
 WAVES_LABEL = "'PacIOOS_WW3_Global_via_ERDDAP_NWW3_Global_Best' AS source"
@@ -90,8 +92,8 @@ def _mod360(x: str) -> str:
 SEAM = f"""SELECT box_id, lon_max - lon_min >= 360 AS whole, {_mod360('lon_min')} AS a, {_mod360('lon_max')} AS b FROM boxes"""
 
 SQL: dict[str, str] = {
-    "region_daily_features": f"{L_BASE}\n{FEATURES}",
-    "region_daily_base": f"{L_BASE}\nSELECT date, region_id, {BASE_COLS} FROM base x",
+    "region_daily_features": f"{GAP_BASE}\n{FEATURES}",
+    "region_daily_base": f"{GAP_BASE}\nSELECT date, region_id, {BASE_COLS} FROM base x",
     "features_end_to_end": E_FEATURES,
     "load_jobs": E_FEATURES,
     "create_or_replace": f"{L_BASE}\nSELECT date, region_id, {BASE_COLS} FROM base x",
@@ -107,10 +109,10 @@ FROM stacked WHERE measure IN ('swh', 'peak_period') GROUP BY date, region_id"""
     "chl_window_mean": f"""{L_BASE}
 SELECT region_id, period_start_date, period_end_date, {r6('value', 'chl_mg_m3_window_mean')} FROM composites""",
     "chl_dailyize": f"{L_BASE}\nSELECT date, region_id, {r6('avg(value)', 'chl_mg_m3_mean')} FROM stacked WHERE measure = 'chl' GROUP BY date, region_id",
-    "observed_calendar": f"{L_BASE}\nSELECT DISTINCT date, region_id FROM stacked",
-    "lag_diff": f"{L_BASE}\nSELECT x.date, x.region_id, {LAGS}, {DIFFS} {AROUND}",
-    "rolling_7": f"{L_BASE}\nSELECT x.date, x.region_id, {ROLLS} {AROUND}",
-    "calendar_signals": f"{L_BASE}\nSELECT date, region_id, {CALENDAR} FROM base x",
+    "observed_calendar": f"{GAP_BASE}\nSELECT DISTINCT date, region_id FROM stacked",
+    "lag_diff": f"{GAP_BASE}\nSELECT x.date, x.region_id, {LAGS}, {DIFFS} {AROUND}",
+    "rolling_7": f"{GAP_BASE}\nSELECT x.date, x.region_id, {ROLLS} {AROUND}",
+    "calendar_signals": f"{GAP_BASE}\nSELECT date, region_id, {CALENDAR} FROM base x",
     "sst_standard": f"""{_cte(**E)}
 SELECT CAST(time AS DATE) AS date, region_id, latitude AS lat, longitude AS lon,
        {r6('CASE WHEN sst < 9e35 THEN sst END', 'sst_c')}, 'NOAA_OISST_v2_1_via_ERDDAP' AS source
@@ -151,9 +153,9 @@ FROM cells LEFT JOIN hourly USING (region_id, time, latitude, longitude)""",
     "measures_align": f"""{_cte(
         e=fx.E_BASE,
         swh_rows='''SELECT ts AS time, event_id, region_id, latitude AS lat, longitude AS lon, value / 5 AS swh
-                    FROM e WHERE event_type IN ('click', 'purchase')''',
+                    FROM e WHERE event_type IN ('click', 'purchase', 'view')''',
         period_rows='''SELECT ts AS time, event_id, region_id, latitude AS lat, longitude AS lon,
-                       CAST(event_id % 70 AS DOUBLE) AS period FROM e WHERE event_type IN ('click', 'error')''')}
+                       CAST(event_id % 70 AS DOUBLE) AS period FROM e WHERE event_type IN ('click', 'error', 'signup')''')}
 SELECT time, event_id, region_id, lat, lon, {r6('swh', 'swh')}, {r6('period', 'period')}
 FROM swh_rows FULL OUTER JOIN period_rows USING (time, event_id, region_id, lat, lon)""",
     "level_select": f"""{_cte(e=fx.E_BASE)}

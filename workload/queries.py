@@ -62,7 +62,7 @@ def labelled(rows: DataFrame, source) -> DataFrame:
 # -- features ----------------------------------------------------------------------------------
 
 def l_base(i: Inputs) -> DataFrame:
-    return base.region_daily_base(i.sst, i.waves, i.chl)
+    return base.region_daily_base(i.gap_sst, i.gap_waves, i.chl)
 
 
 @query
@@ -108,7 +108,7 @@ def chl_dailyize(i: Inputs) -> DataFrame:
 
 @query
 def observed_calendar(i: Inputs) -> DataFrame:
-    return base.observed_days(i.sst, i.waves, i.chl)
+    return base.observed_days(i.gap_sst, i.gap_waves, i.chl)
 
 
 @query
@@ -123,7 +123,7 @@ def rolling_7(i: Inputs) -> DataFrame:
 
 @query
 def calendar_signals(i: Inputs) -> DataFrame:
-    return base.observed_days(i.sst, i.waves, i.chl).select("date", "region_id", *features.calendar_columns())
+    return base.observed_days(i.gap_sst, i.gap_waves, i.chl).select("date", "region_id", *features.calendar_columns())
 
 
 # -- standardisation ---------------------------------------------------------------------------
@@ -209,8 +209,8 @@ def e_grids(i: Inputs) -> DataFrame:
 def measures_align(i: Inputs) -> DataFrame:
     e = i.e.select("event_type", F.col("ts").alias("time"), "event_id", "region_id",
                    F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "value")
-    swh = e.where(F.col("event_type").isin("click", "purchase")).withColumn("swh", F.col("value") / 5)
-    period = e.where(F.col("event_type").isin("click", "error")).withColumn(
+    swh = e.where(F.col("event_type").isin("click", "purchase", "view")).withColumn("swh", F.col("value") / 5)
+    period = e.where(F.col("event_type").isin("click", "error", "signup")).withColumn(
         "period", (F.col("event_id") % 70).cast("double")
     )
     keys = ["time", "event_id", "region_id", "lat", "lon"]
