@@ -119,6 +119,33 @@ SELECT c_custkey AS box_id, 'box' AS name,
 FROM {customer}
 """
 
+# raw rows without a region over more than a year: positions on and off the edges of the boxes below, in both
+# longitude domains
+R_LATS = (-10.1, -8.0, -7.3, -5.0, 0.0, 5.0, 5.2, 6.0)
+R_LONS = (120.25, 125.5, -10.1, 349.9, 0.0, 10.2, 10.3, 170.5, -170.5, 189.5, 180.0)
+R_BOXES = (("FRAC", "fractions", -10.1, -7.3, 120.25, 125.5), ("GREEN", "seam", -5.0, 5.2, -10.1, 10.2),
+           ("LINE", "date line", -5.0, 5.0, 170.5, -170.5))
+
+
+def _pick(values: tuple, index: str) -> str:
+    cases = " ".join(f"WHEN {k} THEN CAST('{v}' AS DOUBLE)" for k, v in enumerate(values))
+    return f"CASE {index} {cases} END"
+
+
+def r_raw(later: str) -> str:
+    """``later`` is the dialect's interval of ``event_id % 400`` days."""
+    return f"""
+SELECT ts + {later} AS time, {_pick(R_LATS, f'event_id % {len(R_LATS)}')} AS latitude,
+       {_pick(R_LONS, f'event_id % {len(R_LONS)}')} AS longitude, CAST(0 AS DOUBLE) AS zlev, CAST(0 AS DOUBLE) AS depth,
+       CAST(0 AS DOUBLE) AS altitude, value / 10 AS sst, value / 100 AS chlorophyll, value / 5 AS Thgt,
+       CAST(event_id % 70 AS DOUBLE) AS Tper
+FROM {{events}}
+"""
+
+
+R_RAW = r_raw("make_dt_interval(CAST(event_id % 400 AS INT))")
+R_RAW_DUCK = r_raw("to_days(CAST(event_id % 400 AS INTEGER))")
+
 # added before rounding, see ``queries.rounded``
 OFF_TIES = 3.1e-9
 

@@ -280,6 +280,27 @@ SELECT 'run-' || k AS run_id, 'ingest_waves' AS job_name,
               ELSE 'job=ingest_waves run_id=run-3 err=' || left('ValueError: broken ' || repeat('x', 600), 500) END AS notes,
        '2024-02-0' || k || 'T03:04:05.123456Z' AS start_text
 FROM k, n""",
+    "ingest_assigned": f"""{_cte(
+        raw=fx.R_RAW_DUCK,
+        boxes="SELECT * FROM (VALUES " + ", ".join(f"('{i}', {b}::DOUBLE, {t}::DOUBLE, {l}::DOUBLE, {r}::DOUBLE)" for i, _, b, t, l, r in fx.R_BOXES)
+              + ") AS v(region_id, lat_min, lat_max, lon_min, lon_max)",
+        ab=f"SELECT *, {_mod360('lon_min')} AS a, {_mod360('lon_max')} AS b FROM boxes",
+        here=f"""SELECT raw.*, region_id, latitude AS lat, longitude AS lon, {_mod360('longitude')} AS x FROM raw JOIN ab
+                 ON latitude BETWEEN lat_min AND lat_max
+                 AND ((a <= b AND {_mod360('longitude')} BETWEEN a AND b)
+                      OR (a > b AND ({_mod360('longitude')} >= a OR {_mod360('longitude')} <= b)))""",
+        daily='''SELECT CAST(time AS DATE) AS date, region_id, lat, lon, avg(CASE WHEN Thgt BETWEEN 0 AND 40 THEN Thgt END) AS value,
+                   avg(CASE WHEN Tper BETWEEN 0 AND 60 THEN Tper END) AS other FROM here GROUP BY ALL''',
+        span="SELECT region_id, date_trunc('month', date) AS m, min(date) AS lo, max(date) AS hi FROM daily GROUP BY ALL",
+        cells="SELECT DISTINCT region_id, lat, lon, date_trunc('month', date) AS m FROM daily",
+        wanted='''SELECT region_id, lat, lon, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
+                    FROM cells JOIN span USING (region_id, m)''',
+        loaded='''SELECT 'sst' AS kind, CAST(time AS DATE) AS date, region_id, lat, lon, sst AS value, sst AS other FROM here
+                    UNION ALL SELECT 'chl', CAST(time AS DATE) - 3, region_id, lat, lon, chlorophyll, chlorophyll FROM here
+                    UNION ALL SELECT 'waves', date, region_id, lat, lon, value, other
+                    FROM wanted LEFT JOIN daily USING (region_id, lat, lon, date)''')}
+SELECT kind, date, region_id, {r6('lat', 'lat')}, {r6('lon', 'lon')}, {r6('value', 'value')}, {r6('other', 'other')}
+FROM loaded""",
     # a line is a head of 3 to 6 bytes, 12 digits and a line feed
     "landing_triage": """WITH c AS (SELECT event_id // 500 AS chunk, CAST(event_id % 500 >= 20 AS INTEGER) AS part FROM events),
      n AS (SELECT chunk, part, count(*) AS n FROM c GROUP BY chunk, part),

@@ -22,7 +22,7 @@ from gridmill.sources.landing import triage
 from gridmill.sources.ledger import read_runs
 from gridmill.sources.regions import regions_frame
 from gridmill.sources.store import Store
-from workload.fixtures import C_BOXES, E_HOURLY, G_BOXES, G_POINTS, OFF_TIES, Inputs
+from workload.fixtures import C_BOXES, E_HOURLY, G_BOXES, G_POINTS, OFF_TIES, R_BOXES, R_RAW, Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -498,6 +498,22 @@ def load_jobs(i: Inputs) -> DataFrame:
     return rounded(build_features(store))
 
 
+@query
+def ingest_assigned(i: Inputs) -> DataFrame:
+    """Raw rows without regions, fifteen months at once, loaded twice: all three tables."""
+    store, raw, boxes = new_store(i), i.sql(R_RAW), regions_frame(i.spark, R_BOXES)
+    months = [(2024, m) for m in range(1, 13)] + [(2025, m) for m in range(1, 4)]
+    requests = [(box[0], *month) for box in R_BOXES for month in months]
+    for source in (SST, CHL, WAVES) * 2:
+        ingest(store, source, raw, requests, replace=True, assign=True, regions=boxes, today=dt.date(2025, 6, 1), ingested_at=STAMP)
+    kept = [
+        store.scan(s).select(F.lit(s.name).alias("kind"), F.col(s.day_column).alias("date"), "region_id", "lat", "lon",
+                             F.col(s.outputs[0]).alias("value"), F.col(s.outputs[-1]).alias("other"))
+        for s in (SST, CHL, WAVES)
+    ]
+    return rounded(kept[0].unionByName(kept[1]).unionByName(kept[2]))
+
+
 @query
 def landing_triage(i: Inputs) -> DataFrame:
     """All events as landed files: per 500 events a short and a long one, some expected third ones absent."""
