@@ -3,8 +3,9 @@
 A page is a sequence of text blocks, each with its root-to-leaf path of tags. Text length and
 punctuation are summed per path and divided by the path's nodes; both ratios are smoothed along the
 page, fused by their product, and paths above a threshold are content. Content nodes vote for the
-element that holds the article; every block in it that is not furniture (by its tags, names and links)
-is part of the text, however short.
+element that holds the article, those in article and main elements twice; every block in it that is not
+furniture (by its tags and names) is part of the text, however short, except lists of links and boxes
+without a path above the threshold.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ ARTICLE_NAMES = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WIDTH = 1  # neighbours on each side in smoothing
 THRESHOLD = 0.3  # of the page's mean score
+PRIOR = 2  # votes of content in article and main elements
+BOXES = frozenset("div section article".split())
 
 
 class Element:
@@ -181,9 +184,6 @@ def main_text(page: str) -> str:
             found.append((path, text, linked))
     if not found:
         return ""
-    articles = [b for b in found if any(e.article for e in b[0])]
-    if articles:
-        return "\n".join(text for _, text, _ in articles)
     keys = ["/".join(e.label for e in path) for path, _, _ in found]
     sums: dict[str, list[float]] = {}
     for key, (_, text, linked) in zip(keys, found):
@@ -192,27 +192,36 @@ def main_text(page: str) -> str:
         own[1] += len(SIGNS.findall(text))
         own[2] += min(linked, len(text))
         own[3] += 1
-    ratio = _smooth(np.array([(sums[k][0] - sums[k][2]) / sums[k][3] for k in keys], float))
-    signs = _smooth(np.array([1 + sums[k][1] / sums[k][3] for k in keys], float))
-    score = ratio * signs
-    content = score >= THRESHOLD * score.mean()
+    ratio = np.array([(sums[k][0] - sums[k][2]) / sums[k][3] for k in keys], float)
+    signs = np.array([1 + sums[k][1] / sums[k][3] for k in keys], float)
+    alone = ratio * signs
+    score = _smooth(ratio) * _smooth(signs)
+    least = THRESHOLD * score.mean()
     # the deepest element with most of the content's text holds the article
     votes: dict[int, list] = {}
     total = 0
-    for ok, (path, text, linked) in zip(content, found):
+    for ok, (path, text, _) in zip(score >= least, found):
         if ok:
-            total += len(text)
+            vote = len(text) * (PRIOR if any(e.article for e in path) else 1)
+            total += vote
             for e in path:
-                votes.setdefault(id(e), [0, e])[0] += len(text)
-    if not total:
-        return ""
+                votes.setdefault(id(e), [0, e])[0] += vote
     holder = max((v for v in votes.values() if v[0] >= 0.7 * total and v[1].tag not in INLINE and v[1].tag != "p" and v[1].tag not in HEADINGS),
                  key=lambda v: v[1].depth, default=[0, found[0][0][0]])[1]
+    # all sections of an article belong to it
+    holder = next((e for e in holder.path()[::-1] if e.article), holder)
+    # a box is judged by its own paths, not by neighbours that smoothing lends it
+    full = {id(e) for ok, (path, _, _) in zip(alone >= least, found) if ok for e in path}
     out = []
-    for key, (path, text, linked) in zip(keys, found):
+    for key, (path, text, _) in zip(keys, found):
+        if holder not in path:
+            continue
+        inside = path[holder.depth + 1:]
+        box = next((e for e in inside[::-1] if e.tag in BOXES), None)
+        title = any(e.tag == "h1" for e in inside)
         # lists of links are menus, whatever they are called
-        menu = sums[key][2] > 0.6 * sums[key][0] and len(text) < 80
-        if holder in path and not menu:
+        menu = sums[key][2] > 0.6 * sums[key][0] and len(text) < 80 and not any(e.tag in HEADINGS for e in inside)
+        if title or not menu and (box is None or id(box) in full):
             out.append(text)
     return "\n".join(out)
 
