@@ -2,10 +2,11 @@
 
 A page is a sequence of text blocks, each with its root-to-leaf path of tags. Text length and
 punctuation are summed per path and divided by the path's nodes; both ratios are smoothed along the
-page, fused by their product, and paths above a threshold are content. Content nodes vote for the
-element that holds the article, those in article and main elements twice; every block in it that is not
-furniture (by its tags and names) is part of the text, however short, except lists of links and boxes
-without a path above the threshold.
+page, fused by their product, and paths above a threshold are content. Names of furniture (sidebar,
+comments) lower a path's score. Content nodes vote for the element that holds the article, those in
+article and main elements twice; every block in it is part of the text, however short, except lists of
+links and boxes without a path above the threshold. Only furniture by tag, and what is hidden, is left
+out before.
 """
 
 from __future__ import annotations
@@ -43,7 +44,10 @@ ARTICLE_NAMES = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WIDTH = 1  # neighbours on each side in smoothing
 THRESHOLD = 0.3  # of the page's mean score
+PENALTY = 0.03  # of a score, by names
 PRIOR = 2  # votes of content in article and main elements
+FEW = 0.03  # of the content: with less left, names are not believed
+LAYOUT = frozenset("has no with without".split())  # has-sidebar tells of a page, not of a sidebar
 BOXES = frozenset("div section article".split())
 
 
@@ -56,12 +60,14 @@ class Element:
         names = {k.lower(): (v or "").strip("\"'").lower() for k, v in NAMES.findall(attributes)} if attributes.strip() else {}
         words = {w for k in ("class", "id", "role") if k in names for w in re.split(r"[\s_-]+", names[k])}
         self.label = tag + "".join(f".{w}" for w in sorted(words) if not w.isdigit())
+        told = [re.split(r"[_-]+", w) for k in ("class", "id", "role") if k in names for w in names[k].split()]
+        named = {w for own in told if own[0] not in LAYOUT for w in own}
         hidden = names.get("aria-hidden") == "true" or "hidden" in names or "display:none" in names.get("style", "").replace(" ", "")
         self.article = tag in ARTICLE_NAMES or names.get("role") in ARTICLE_NAMES
         inside = self.held()
         # an article's own header is its title, not the page's
         self.furniture = hidden or tag in FURNITURE_TAGS and not (tag == "header" and inside)
-        self.by_name = bool(words & FURNITURE_NAMES) and tag not in ("html", "body") and not (tag in HEADINGS or tag == "header" and inside)
+        self.by_name = bool(named & FURNITURE_NAMES) and tag not in ("html", "body") and not (tag in HEADINGS or tag == "header" and inside)
 
     def held(self) -> bool:
         at = self.parent
@@ -144,11 +150,6 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
                     look = look.parent
                     top = look
             top = Element(tag, attributes, top)
-            if top.article:
-                held = top.parent
-                while held is not None:
-                    held.by_name = False
-                    held = held.parent
             links += tag == "a"
             hiding += tag in UNSEEN
         else:
@@ -175,12 +176,46 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, kernel, mode="valid")
 
 
+def _trust(found: list[tuple[list[Element], str, int]], content: np.ndarray) -> None:
+    """Clear names that content speaks against: those around an article, main or page with its h1 that
+    holds most of the content, and, while the names would leave next to none and no article, the outermost ones."""
+    held: dict[int, list] = {}
+    headed = set()
+    for ok, (path, text, _) in zip(content, found):
+        if any(e.tag == "h1" for e in path):
+            headed.update(map(id, path))
+        if ok:
+            for e in path:
+                held.setdefault(id(e), [0, e])[0] += len(text)
+    total = sum(len(text) for ok, (_, text, _) in zip(content, found) if ok)
+    for amount, e in held.values():
+        if 2 * amount > total:
+            if e.article:
+                for outer in e.path()[:-1]:
+                    outer.by_name = False
+            elif id(e) in headed:
+                e.by_name = False
+    while True:
+        free, named = 0, set()
+        for ok, (path, text, _) in zip(content, found):
+            outermost = next((e for e in path if e.by_name), None)
+            if outermost is None and any(e.article for e in path):
+                return
+            if ok and outermost is None:
+                free += len(text)
+            elif ok:
+                named.add(outermost)
+        if not named or free > FEW * total:
+            return
+        max(named, key=lambda e: (held[id(e)][0], -e.depth)).by_name = False
+
+
 def main_text(page: str) -> str:
     """Blocks of the main text, one a line; an empty text if the page has none."""
     found = []
     for element, text, linked in blocks(page):
         path = element.path()
-        if not any(e.furniture or e.by_name for e in path):
+        if not any(e.furniture for e in path):
             found.append((path, text, linked))
     if not found:
         return ""
@@ -195,14 +230,16 @@ def main_text(page: str) -> str:
     ratio = np.array([(sums[k][0] - sums[k][2]) / sums[k][3] for k in keys], float)
     signs = np.array([1 + sums[k][1] / sums[k][3] for k in keys], float)
     alone = ratio * signs
-    score = _smooth(ratio) * _smooth(signs)
-    least = THRESHOLD * score.mean()
+    _trust(found, alone >= THRESHOLD * alone.mean())
+    weight = np.array([PENALTY if any(e.by_name for e in path) else 1 for path, _, _ in found])
+    score = _smooth(ratio) * _smooth(signs) * weight
+    least = THRESHOLD * np.average(score, weights=weight)
     # the deepest element with most of the content's text holds the article
     votes: dict[int, list] = {}
-    total = 0
-    for ok, (path, text, _) in zip(score >= least, found):
+    total = 0.0
+    for ok, w, (path, text, _) in zip(score >= least, weight, found):
         if ok:
-            vote = len(text) * (PRIOR if any(e.article for e in path) else 1)
+            vote = w * len(text) * (PRIOR if any(e.article for e in path) else 1)
             total += vote
             for e in path:
                 votes.setdefault(id(e), [0, e])[0] += vote
@@ -211,9 +248,9 @@ def main_text(page: str) -> str:
     # all sections of an article belong to it
     holder = next((e for e in holder.path()[::-1] if e.article), holder)
     # a box is judged by its own paths, not by neighbours that smoothing lends it
-    full = {id(e) for ok, (path, _, _) in zip(alone >= least, found) if ok for e in path}
+    full = {id(e) for ok, (path, _, _) in zip(alone * weight >= least, found) if ok for e in path}
     out = []
-    for key, (path, text, _) in zip(keys, found):
+    for key, s, (path, text, _) in zip(keys, score, found):
         if holder not in path:
             continue
         inside = path[holder.depth + 1:]
@@ -221,7 +258,8 @@ def main_text(page: str) -> str:
         title = any(e.tag == "h1" for e in inside)
         # lists of links are menus, whatever they are called
         menu = sums[key][2] > 0.6 * sums[key][0] and len(text) < 80 and not any(e.tag in HEADINGS for e in inside)
-        if title or not menu and (box is None or id(box) in full):
+        named = s < least and any(e.by_name for e in inside)
+        if title or not menu and not named and (box is None or id(box) in full):
             out.append(text)
     return "\n".join(out)
 

@@ -18,3 +18,17 @@ TEXT = f"{FIRST}\n{SECOND}"
 ])
 def test_ratios_count_in_articles(page, text):
     assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class=story>{STORY}</div><div id=comments><article><p>Nice, thanks.</p></article><article><p>I agree.</p></article></div>", TEXT),
+    (f"<article><h1>Flood</h1>{STORY}</article><div class=related><article><p>Storm ahead.</p></article></div>", f"Flood\n{TEXT}"),
+    (f"<div class=widget><article>{STORY}</article></div><p>Tel. 5</p>", TEXT),
+    (f"<div class='layout has-sidebar'><h1>Flood</h1>{STORY}<div class=sidebar><p>See also.</p></div></div>", f"Flood\n{TEXT}"),
+    (f"<div class='layout no-sidebar'>{STORY}</div>", TEXT),
+    (f"<div class=search-results>{STORY}</div><div>Tel. 5</div>", TEXT),
+    (f"<div class=story>{STORY}</div><div class=comments>{STORY * 9}</div>", TEXT),
+    ("<div class=ad>Buy it, now, or later. Really.</div><article><p>Rain.</p></article>", "Rain."),
+])
+def test_names_lower_scores(page, text):
+    assert html.main_text(page) == text
