@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -35,16 +36,20 @@ LAST = 2**63 - 1  # where rows without an id stand in the order
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Cache:
-    """Ids by the tokenizers library. Its merges never cross the pieces that texts are cut into, so each
-    distinct piece is encoded once by the library and kept. One per Python worker."""
+def encoder(path: str) -> tuple[Cache, dict]:
+    """Ids by the tokenizers library, and its added tokens (string: id, special). Its merges never cross the
+    pieces that texts are cut into, so each distinct piece is encoded once by the library and kept. Added
+    tokens are cut out of texts before that. One per Python worker."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True  # their strings in a text are ordinary text
+    library.encode_special_tokens = True  # what comes here is ordinary text
+    added = library.get_added_tokens_decoder()
+    if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
+        raise ValueError("added tokens that take their surroundings into account are not supported")
 
     def encode(pieces: list[bytes]) -> list:
         out = []
@@ -53,15 +58,37 @@ def encoder(path: str) -> Cache:
             out += [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
         return out
 
-    return Cache(encode, most=1 << 19)
-
-
-def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    return Cache(encode, most=1 << 19), {t.content: (i, t.special) for i, t in added.items()}
+
+
+def encode_with(texts: list[str], cache: Cache, own: dict[str, int]) -> list[np.ndarray]:
+    """Ids of each text, where the strings in ``own`` have ids of their own: the leftmost first, of those the longest."""
+    found = re.compile("|".join(map(re.escape, sorted(own, key=len, reverse=True)))) if own else None
+    marked = [i for i, t in enumerate(texts) if found and found.search(t)]
+    if not marked:
+        return encode_texts(texts, cache)
+    cuts = {i: [(m.start(), m.end()) for m in found.finditer(texts[i])] for i in marked}
+    between, of = [], []
+    for i, text in enumerate(texts):
+        for a, b in zip([0, *(e for _, e in cuts.get(i, []))], [*(s for s, _ in cuts.get(i, [])), len(text)]):
+            between.append(text[a:b])
+            of.append(i)
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    for i, ids in zip(of, encode_texts(between, cache)):
+        if out[i]:
+            a, b = cuts[i][len(out[i]) // 2]
+            out[i].append(np.array([own[texts[i][a:b]]], np.uint32))
+        out[i].append(ids)
+    return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
+
+
+def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int, special: bool) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
     """(first column, ids of the texts in the second, each followed by ``end``), some rows at a time."""
-    cache = encoder(path)
+    cache, added = encoder(path)
+    own = {text: i for text, (i, is_special) in added.items() if special or not is_special}
     for batch in batches:
         for part, texts in slices(batch.column(1), SLICE):
-            yield cut(batch, part).column(0), [np.append(x, np.uint32(end)) for x in encode_texts(texts, cache)]
+            yield cut(batch, part).column(0), [np.append(x, np.uint32(end)) for x in encode_with(texts, cache, own)]
         give_back()
 
 
@@ -69,13 +96,13 @@ def _ordered(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord"), "text")
 
 
-def train(docs: DataFrame, path: str, end: int) -> bytes:
+def train(docs: DataFrame, path: str, end: int, special: bool) -> bytes:
     """A dictionary from a bounded sample of documents, the first by a hash of the id."""
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).distinct()
     some = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, ids in encoded(batches, path, end):
+        for _, ids in encoded(batches, path, end, special):
             yield pa.RecordBatch.from_arrays([pa.array([x.astype("<u2").tobytes()[:SAMPLE_BYTES] for x in ids], pa.binary())], names=["ids"])
 
     samples = sorted(bytes(r.ids) for r in _ordered(some).mapInArrow(run, "ids binary").collect())[:SAMPLE]
@@ -89,16 +116,17 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
-def write(docs: DataFrame, folder: str, path: str, end: int = 0) -> None:
+def write(docs: DataFrame, folder: str, path: str, end: int = 0, special: bool = False) -> None:
     """Write the token ids of every document to a new store in ``folder``, in ascending order of id.
 
     A null text is an empty one: its ids are just ``end``. Rows without an id come last; rows of one id
     stand next to each other. Ids must fit 16 bits, as those of the vocabulary do. The id range is
     split by approximate quantiles, so parts are of about equal size whatever the ids are; a record
-    ends when it is full, so long documents do not make it grow.
+    ends when it is full, so long documents do not make it grow. With ``special``, the strings of special
+    tokens in a text become their ids, as the library does unless told otherwise; else they are ordinary text.
     """
     spark = docs.sparkSession
-    raw = train(docs, path, end)
+    raw = train(docs, path, end, special)
     digest = hashlib.sha256(raw).hexdigest()
     spark.createDataFrame([(digest, bytearray(raw), 2)], "hash string, dictionary binary, width int").coalesce(1).write.parquet(f"{folder}/dictionary")
     count = docs.count()
@@ -108,7 +136,7 @@ def write(docs: DataFrame, folder: str, path: str, end: int = 0) -> None:
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw), write_content_size=True)
-        for ords, ids in encoded(batches, path, end):
+        for ords, ids in encoded(batches, path, end, special):
             own = np.searchsorted(bounds, ords.to_numpy(), side="right").astype(np.int32)
             if any(x.max() >= 1 << 16 for x in ids):
                 raise ValueError("an id does not fit 16 bits")
