@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmill.llm.steps import written
-from gridmill.llm.vectors import ROOM, first_copies, matrix, sample, unit, usable
+from gridmill.llm.vectors import ROOM, first_copies, matrix, one_per_id, sample, unit, usable
 
 SAMPLE = 1 << 13  # vectors from which centroids are learned, at most
 MOST_LISTS = 1 << 11
@@ -107,9 +107,9 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec
 
     kind = points.schema["v"].dataType.simpleString()
     index = written(spark, lambda: points.mapInArrow(assign, f"id long, v {kind}, list int"))
-    sizes = np.zeros(len(lists), np.int64)
-    for number, n in index.groupBy("list").count().collect():
-        sizes[number] = n
+    sizes, held_ids = np.zeros(len(lists), np.int64), np.zeros(len(lists), np.int64)
+    for number, n, ids in index.groupBy("list").agg(F.count("*"), F.countDistinct("id")).collect():
+        sizes[number], held_ids[number] = n, ids
     probes = min(len(lists), max(LEAST_PROBES, math.ceil(probed * len(lists))))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,10 +117,10 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec
             if not batch.num_rows:
                 continue
             order = np.argsort(-(unit(matrix(batch.column("v"))) @ lists.T), axis=1, kind="stable")
-            # further lists where the first ones hold too few rows
-            enough = (np.cumsum(sizes[order], axis=1) - sizes[order]) < 8 * k + 2
+            # further lists where the first ones hold too few ids
+            enough = (np.cumsum(held_ids[order], axis=1) - held_ids[order]) < 8 * k + 2
             enough[:, :probes] = True
-            enough &= sizes[order] > 0
+            enough &= held_ids[order] > 0
             q, at = np.nonzero(enough)
             rows = batch.take(pa.array(q))
             yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("v"), pa.array(order[q, at].astype(np.int32))], names=["id", "v", "list"])
@@ -142,6 +142,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec
         if asking.num_rows and held.num_rows:
             q_ids, q = asking.column("id").to_numpy(), matrix(asking.column("v"))
             ids, v = held.column("id").to_numpy(), matrix(held.column("v"))
+            once = one_per_id(ids, v)
+            ids, v = ids[once], v[once]
             some = first_copies(ids, v, k + 1)
             ids, v = ids[some], v[some]
             qi, ri = scan(q, v, k + 1)

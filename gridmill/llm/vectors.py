@@ -34,6 +34,14 @@ def sample(rows: DataFrame, most: int) -> np.ndarray:
     return np.array([r.v for r in found], np.float64) if found else np.zeros((0, 0))
 
 
+def one_per_id(ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Indexes of one row of each id: of differing vectors the smallest, number by number."""
+    if len(np.unique(ids)) == len(ids):
+        return np.arange(len(ids))
+    order = np.lexsort((*vectors.T[::-1], ids))
+    return order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]
+
+
 def first_copies(ids: np.ndarray, vectors: np.ndarray, most: int) -> np.ndarray:
     """Indexes of all rows but those with ``most`` equal vectors of smaller ids.
 
