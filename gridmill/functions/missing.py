@@ -6,18 +6,17 @@ every number. So each measure passes ``nan_to_null`` before anything is computed
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmill.schemas import FILL_FALLBACK
 
-# What counts as a number in text. Java's parser would also take "1d", "1f" and hex floats; only text
-# with one of their letters is held against the pattern.
+# What counts as a number in text; Java's parser would also take "1d", "1f" and hex floats. Text is held
+# against the pattern before it is cast: a cast that fails costs an exception per value, a pattern does not.
 NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
-JAVA_LETTERS = "dDfFxX"
+SHORT_DIGITS, DIGITS = r"^\s*[+-]?\d{1,18}\s*$", r"^\s*[+-]?\d+\s*$"  # up to 18 always fit a bigint
+LONG = 2.0**63
 
 
 def _col(c: Column | str) -> Column:
@@ -65,8 +64,7 @@ def to_number(c: Column | str, dtype: T.DataType) -> Column:
     """Any column as double; what is not a number becomes NULL."""
     c = _col(c)
     if isinstance(dtype, T.StringType):
-        odd = reduce(lambda a, b: a | b, [c.contains(x) for x in JAVA_LETTERS])
-        c = F.when(~odd | c.rlike(NUMBER_TEXT), c.try_cast("double"))
+        c = F.when(c.rlike(NUMBER_TEXT), c.try_cast("double"))
     elif isinstance(dtype, (T.NumericType, T.BooleanType)):
         c = c.cast("double")
     else:
@@ -80,11 +78,14 @@ def to_integer(c: Column | str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.IntegralType):
         return c.cast("bigint")
     number = to_number(c, dtype)
-    integral = F.when(number == F.floor(number), number.try_cast("bigint"))
+    whole = F.when(number == F.floor(number), F.floor(number))
+    large = F.when((number >= -LONG) & (number < LONG), whole)
     if isinstance(dtype, T.StringType):
-        # digits only: no detour over double, which is exact up to 2**53 only
-        return F.coalesce(c.try_cast("bigint"), integral)
-    return integral
+        # from 2**53 on the double is not exact, the digits are
+        large = F.when(c.rlike(DIGITS), c.try_cast("bigint")).otherwise(large)
+    found = F.when(number.isNull(), F.lit(None).cast("bigint")).when(F.abs(number) < F.lit(2.0**53), whole).otherwise(large)
+    # most text is a plain integer: one pattern and one cast
+    return F.when(c.rlike(SHORT_DIGITS), c.try_cast("bigint")).otherwise(found) if isinstance(dtype, T.StringType) else found
 
 
 def is_missing(c: Column | str, dtype: T.DataType) -> Column:

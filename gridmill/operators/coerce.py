@@ -11,7 +11,10 @@ from pyspark.sql import types as T
 from gridmill.functions.missing import to_integer, to_number
 from gridmill.schemas import SPARK_TYPES
 
-_DATE_LIKE = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Text that can be a day, with or without a time: other text is not cast, as a failing cast costs an
+# exception. A time alone is no day (a cast would take today's).
+DAY_TEXT = r"^\s*[+-]?\d{4,7}(-\d{1,2}(-\d{1,2}([ T].*)?)?)?\s*$"
+_DATE_LIKE = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _coerced(name: str, wanted: str, dtype: T.DataType) -> Column:
@@ -23,6 +26,8 @@ def _coerced(name: str, wanted: str, dtype: T.DataType) -> Column:
     if wanted == "string":
         return c.cast("string")
     # date, timestamp
+    if isinstance(dtype, T.StringType):
+        return F.when(c.rlike(DAY_TEXT), c.try_cast(wanted))
     return c.try_cast(wanted) if isinstance(dtype, _DATE_LIKE) else F.lit(None).cast(wanted)
 
 

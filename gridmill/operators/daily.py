@@ -19,17 +19,23 @@ def dense_days(daily: DataFrame, measures: list[str]) -> DataFrame:
     A region-month is the unit of loading, so the result does not depend on how many months are
     loaded together. A cell's month is one row with at most 31 days in it. The days per region come
     from those rows, whose shuffle is computed once and used by both sides of the join; the region
-    side is so small that Spark broadcasts it from its measured size.
+    side is so small that Spark broadcasts it from its measured size. Nothing is lost on the way: rows
+    without a region are joined as a region of their own, rows without a date stay one row each, so
+    that a check of required values afterwards sees them.
     """
     day = F.struct("date", F.struct(*measures).alias("values"))
     months = daily.groupBy(*CELL, F.trunc("date", "month").alias("month")).agg(F.collect_list(day).alias("held"))
     spans = months.groupBy("region_id", "month").agg(
         F.min(F.array_min("held.date")).alias("first"), F.max(F.array_max("held.date")).alias("last")
     )
-    each = months.join(spans, ["region_id", "month"]).select(
-        *CELL, F.map_from_entries("held").alias("held"), F.explode(day_array("first", "last")).alias("date")
+    dated = F.col("m.month").isNotNull()
+    same = F.expr("m.region_id <=> s.region_id AND m.month <=> s.month")
+    each = months.alias("m").join(spans.alias("s"), same).select(
+        *[f"m.{c}" for c in CELL], F.when(dated, F.map_from_entries("held")).alias("held"),
+        F.when(~dated, F.col("held")[0]["values"]).alias("undated"),
+        F.explode(F.when(dated, day_array("first", "last")).otherwise(F.array(F.lit(None).cast("date")))).alias("date"),
     )
-    values = F.try_element_at("held", F.col("date"))
+    values = F.coalesce(F.try_element_at("held", F.col("date")), F.col("undated"))
     return each.select("region_id", "date", "lat", "lon", *[values[m].alias(m) for m in measures])
 
 

@@ -9,8 +9,6 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from gridmill.session import configure  # noqa: E402
 
-DATA = "/root/testdata"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

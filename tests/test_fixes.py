@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from gridmill.functions.missing import to_integer, to_number
 from gridmill.operators import regions
+from gridmill.operators.coerce import coerce
 from gridmill.operators.grid import grid_to_long
-from gridmill.schemas import CHL, SST
+from gridmill.plans.standard import standardize
+from gridmill.schemas import CHL, SST, WAVES
 from gridmill.sources.regions import read_regions
 from gridmill.sources.store import Store
 from test_store import D, FEB, JAN, chl_rows, content, sst_rows
@@ -108,3 +110,30 @@ def test_region_file_with_quoted_bounds(spark, tmp_path):
     file = tmp_path / "r.yaml"
     file.write_text("regions:\n  A:\n    name: a\n    boundbox: {lat_min: '-1', lat_max: 1, lon_min: 2, lon_max: '3.5'}\n")
     assert tuple(read_regions(spark, str(file)).first()) == ("A", "a", -1.0, 1.0, 2.0, 3.5)
+
+
+def test_integers_around_what_doubles_hold(spark):
+    texts = ["9223372036854775807", "9223372036854775808", "-9223372036854775808", "1e300", "1e15", " 12 ", "0x1p3", "1d", "n/a", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string").orderBy("i")
+    got = [r.v for r in df.select(to_integer("s", df.schema["s"].dataType).alias("v")).collect()]
+    assert got == [2**63 - 1, None, -(2**63), None, 10**15, 12, None, None, None, None]
+
+
+@pytest.mark.parametrize("row, missing", [
+    ("NULL, 'A'", "date"), ("TIMESTAMP_NTZ '2024-01-02 03:00:00', CAST(NULL AS STRING)", "region_id")])
+def test_dense_loads_fail_by_name_for_rows_without_a_day_or_a_region(spark, row, missing):
+    raw = spark.sql(f"""
+        SELECT time, region_id, 1D AS lat, 2D AS lon, 1.5D AS Thgt, 3D AS Tper FROM VALUES
+        (TIMESTAMP_NTZ '2024-01-01 00:00:00', 'A'), ({row}) AS t(time, region_id)""")
+    with pytest.raises(Exception, match=f"required values are missing: {missing}"):
+        standardize(raw, WAVES, dense=True).collect()
+    rows = standardize(raw, WAVES, dense=True, guard=False)
+    assert rows.where(f"{missing} IS NULL").count() == 1 and rows.count() == 2
+
+
+@pytest.mark.parametrize("text, day", [
+    ("2024-02-29", D(2024, 2, 29)), (" 2024-2-9 ", D(2024, 2, 9)), ("2024-02-09T10:00:00", D(2024, 2, 9)), ("2024-02-09 10:00", D(2024, 2, 9)),
+    ("2024-02-30", None), ("not a day", None), ("12:30:00", None), ("2024-02-09x", None), ("", None), ("2024-03", D(2024, 3, 1))])
+def test_text_days(spark, text, day):
+    got = coerce(spark.createDataFrame([(text, text)], "d string, t string"), (("d", "DATE"), ("t", "TIMESTAMP"))).first()
+    assert got.d == day and (got.t.date() if got.t else None) == day

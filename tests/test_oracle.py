@@ -1,8 +1,10 @@
 """Every query against its SQL counterpart, over whole tables."""
 
+import re
+from pathlib import Path
+
 import pytest
-from compare import differences, duck
-from conftest import DATA
+from compare import DATA, differences, duck
 
 import __spark_entry__ as contract
 from workload.oracles import SQL
@@ -28,3 +30,10 @@ def test_query(name, spark, con):
 def test_entry(spark):
     df = contract.entry(spark)
     assert len(df.columns) == 24 and df.count() == 5013
+
+
+def test_no_test_imports_conftest():
+    """Two folders have one; which of them an import finds depends on the order of collection."""
+    here = Path(__file__).parent
+    for file in here.rglob("test_*.py"):
+        assert not re.search(r"^\s*(from|import) conftest\b", file.read_text(), re.M), file

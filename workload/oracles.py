@@ -273,12 +273,12 @@ FROM l_chl""",
     "run_ledger": f"""{_cte(**L)},
 k AS (SELECT unnest([1, 2, 3]) AS k), n AS (SELECT count(*) AS rows FROM l_waves)
 SELECT 'run-' || k AS run_id, 'ingest_waves' AS job_name,
-       make_timestamp(2024, 2, k, 3, 4, 5.123456) AS start_ts, make_timestamp(2024, 2, k, 3, 5, 0) AS end_ts,
+       make_timestamp(2024, 2, k, 18, 40, 9.080706) AS start_ts, make_timestamp(2024, 2, k, 18, 41, 0) AS end_ts,
        CASE k WHEN 3 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
        CASE k WHEN 1 THEN rows ELSE 0 END AS rows_written,
        CASE k WHEN 1 THEN repeat('n', 1000) WHEN 2 THEN 'dry_run=True'
               ELSE 'job=ingest_waves run_id=run-3 err=' || left('ValueError: broken ' || repeat('x', 600), 500) END AS notes,
-       '2024-02-0' || k || 'T03:04:05.123456Z' AS start_text
+       '2024-02-0' || k || 'T18:40:09.080706Z' AS start_text
 FROM k, n""",
     "ingest_assigned": f"""{_cte(
         raw=fx.R_RAW_DUCK,

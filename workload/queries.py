@@ -478,7 +478,7 @@ def run_ledger(i: Inputs) -> DataFrame:
         raise ValueError("broken " + "x" * 600)
 
     for k, job in enumerate((load, rehearse, fail), start=1):
-        ticks = iter([dt.datetime(2024, 2, k, 3, 4, 5, 123456), dt.datetime(2024, 2, k, 3, 5)])
+        ticks = iter([dt.datetime(2024, 2, k, 18, 40, 9, 80706), dt.datetime(2024, 2, k, 18, 41)])
         try:
             run_tracked(store, "ingest_waves", job, run_id=f"run-{k}", clock=lambda: next(ticks))
         except ValueError:
