@@ -19,15 +19,27 @@ CHUNK = 1 << 19
 BLANKS = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 LETTER, NUMBER, OTHER, BLANK = range(4)
 
+# Letters and numbers of Unicode 16.0 that are younger than 15.1 (fixed values, first and last). The
+# tokenizers' classes are those of 16.0, whatever the Python that runs this knows.
+LETTERS_16 = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0))
+NUMBERS_16 = (
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+    (0x1E5F1, 0x1E5FA))
+
 
 @functools.cache
 def kinds() -> np.ndarray:
     """LETTER, NUMBER, OTHER or BLANK of every code point."""
-    table = np.full(0x110000, OTHER, np.uint8)
-    first = [unicodedata.category(chr(c))[0] for c in range(0x110000)]
-    by = np.array(first)
-    table[by == "L"] = LETTER
-    table[by == "N"] = NUMBER
+    of = {"L": LETTER, "N": NUMBER}
+    table = np.fromiter((of.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
+    for first, last in LETTERS_16:
+        table[first:last + 1] = LETTER
+    for first, last in NUMBERS_16:
+        table[first:last + 1] = NUMBER
     table[list(BLANKS)] = BLANK
     return table
 
@@ -42,6 +54,28 @@ def lower() -> np.ndarray:
     return table
 
 
+_HELD: dict[str, list] = {}
+
+
+def held(owner: str):
+    """Marks a cached function whose results are kept in a worker for ``owner``, until ``only`` lets them go."""
+    def mark(f):
+        _HELD.setdefault(owner, []).append(f)
+        return f
+
+    return mark
+
+
+def only(*owners: str) -> None:
+    """Let go of what a worker holds for others than these. Workers live on between stages, so the tables,
+    models and caches of an earlier one would stand beside those of the next."""
+    for owner, functions in _HELD.items():
+        if owner not in owners:
+            for f in functions:
+                f.cache_clear()
+    give_back()
+
+
 def codepoints(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gridmill.llm.arrays import BLANK, CHUNK, OTHER, chunks, codepoints, cut, kinds, runs, slices
+from gridmill.llm.arrays import BLANK, CHUNK, OTHER, chunks, codepoints, cut, give_back, held, kinds, only, runs, slices
 
 # States: what the code point before belongs to. ONE and TWO: a short form with as many letters to go.
 FRESH, LETTERS, NUMBERS, OTHERS, SPACE, BLANKS, ONE, TWO = range(8)
@@ -127,6 +127,7 @@ def piece_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
 FACTOR = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
 
+@held("bpe")
 @functools.lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     def rising(x: int) -> np.ndarray:
@@ -174,21 +175,28 @@ Encoder = Callable[[list[bytes]], list[bytes]]
 
 
 class Cache:
-    """Ids of pieces, kept up to a number of pieces; ``encode`` gets the unknown ones."""
+    """Ids of pieces, kept up to a number of pieces; ``encode`` gets the unknown ones.
+
+    Two halves: when the newer one is full it becomes the older one, and pieces met again move back.
+    So frequent pieces stay whatever passes by.
+    """
 
     def __init__(self, encode: Encoder, most: int = 1 << 18):
-        self.encode, self.most, self.known = encode, most, {}
+        self.encode, self.most, self.known, self.older = encode, most, {}, {}
 
     def ids(self, pieces: list[bytes]) -> list[bytes]:
         out = list(map(self.known.get, pieces))
         missing = [i for i, x in enumerate(out) if x is None]
-        new = [pieces[i] for i in missing]
-        found = self.encode(new)
+        asked = [pieces[i] for i in missing]
+        found = list(map(self.older.get, asked))
+        new = [j for j, x in enumerate(found) if x is None]
+        for j, x in zip(new, self.encode([asked[j] for j in new])):
+            found[j] = x
         for i, x in zip(missing, found):
             out[i] = x
-        if len(self.known) + len(found) > self.most:
-            self.known = {}
-        self.known.update((p, x) for p, x in zip(new, found) if len(p) <= 64)
+        if len(self.known) + len(found) > self.most // 2:
+            self.older, self.known = self.known, {}
+        self.known.update((p, x) for p, x in zip(asked, found) if len(p) <= 64)
         return out
 
 
@@ -261,6 +269,7 @@ def _long(text: str, cache: Cache) -> Iterator[np.ndarray]:
 # --- ranks ----------------------------------------------------------------------------------------
 
 
+@held("bpe")
 @functools.lru_cache(maxsize=4)
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -389,6 +398,7 @@ class Vocabulary:
         return np.cumsum(self.lengths[ids])
 
 
+@held("bpe")
 @functools.lru_cache(maxsize=2)
 def codec(path: str) -> tuple[Cache, Vocabulary]:
     """One per Python worker, kept between tasks."""
@@ -413,6 +423,7 @@ def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("ids", "en
     names = [f.name for f in carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("bpe")
         cache, vocabulary = codec(ranks_path)
         for batch in batches:
             for part, texts in slices(batch.column(text)):
@@ -426,6 +437,9 @@ def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("ids", "en
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(c) for c in names), *(pa.array(made[k](), pa.binary()) for k in keep)],
                     names=[*names, *keep])
+                del texts, found, made
+            del batch
+            give_back()
 
     return docs.select(text, *names).mapInArrow(run, schema)
 

@@ -138,8 +138,6 @@ def op3_tag_path_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
-    # rows have some KB: the copies of a batch in the JVM, on the way and in the worker stay small
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     store = shared_dir(spark)
     tokenfile.write(table(spark, folder, "documents").select("doc_id", "text"), store, BYTE_BPE, end=0, special=True)
     return tokenfile.read(spark, store, ids=False).drop("ids")

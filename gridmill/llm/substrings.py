@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.arrays import runs, slices
+from gridmill.llm.arrays import held, only, runs, slices
 from gridmill.llm.steps import written
 
 WINDOW = 20
@@ -30,6 +30,7 @@ LAST = 2**63 - 1  # where rows without an id stand in the order
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd
 
 
+@held("substrings")
 @lru_cache(maxsize=8)
 def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     def rising(x: int) -> np.ndarray:

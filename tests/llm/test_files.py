@@ -29,7 +29,7 @@ def test_query(spark, data, library):
 
 
 def test_parts_records_and_single_documents(spark, tmp_path, library, monkeypatch):
-    monkeypatch.setattr(tokenfile, "PART_ROWS", 7)
+    monkeypatch.setattr(tokenfile, "PART_TOKENS", 60)
     rows = [(i, None if i == 3 else " word" * (i % 5) + f" n{i}" * i) for i in range(40)] + [(41, "same"), (41, "same")]
     docs = spark.createDataFrame([*rows[::-1], (None, "last <|endoftext|>")], "doc_id long, text string")
     tokenfile.write(docs, str(tmp_path / "s"), queries.BYTE_BPE)
