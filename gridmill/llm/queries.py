@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import ann, bpe, html, langid, mixing, quality, simhash, substrings, tokenfile, topk
+from gridmill.llm import ann, bpe, html, langid, mixing, phrases, quality, simhash, substrings, tokenfile, topk
 from gridmill.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,44 @@ def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
     store = shared_dir(spark)
     tokenfile.write(table(spark, folder, "documents").select("doc_id", "text"), store, BYTE_BPE, end=0, special=True)
     return tokenfile.read(spark, store, ids=False).drop("ids")
+
+
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
+SQL["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+), starts AS (
+  SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM worded, (VALUES (1), (2), (3), (4), (5)) AS sizes(m) WHERE len(w) >= m
+), counts AS (
+  SELECT lang, w[i:i + m - 1] AS p, count(*)::BIGINT AS f FROM starts GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, p, f AS a, unnest(range(1, len(p))) AS k FROM counts WHERE len(p) > 1
+), scored AS (
+  SELECT c.lang, c.p, c.a, c.k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.p = c.p[:c.k] JOIN counts y ON y.lang = c.lang AND y.p = c.p[c.k + 1:]
+  JOIN totals t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, f, p AS q, unnest(range(2, len(p))) AS m FROM counts WHERE len(p) > 2
+), inner_parts AS (
+  SELECT lang, f, q, m, unnest(range(1, len(q) - m + 2)) AS i FROM longer
+), inside AS (
+  SELECT lang, q[i:i + m - 1] AS p, max(f) AS longest FROM inner_parts GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside s ON s.lang = b.lang AND s.p = b.p WHERE s.longest IS NULL OR 100 * s.longest < 100 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+       array_to_string(p, ' ') AS phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
