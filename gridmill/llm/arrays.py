@@ -123,4 +123,6 @@ def give_back() -> None:
 def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each run, end to end."""
     ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total < 1 << 30 and (not total or int(starts.max()) < 1 << 30) else np.int64  # half the memory to move
+    return np.arange(total, dtype=kind) + np.repeat((starts - ends + lengths).astype(kind), lengths)

@@ -86,7 +86,7 @@ def encoder(path: str) -> tuple[Cache, dict]:
         found = iter(joined([t for t, x in zip(texts, usual) if x]))
         return [next(found) if x else np.array(plain().encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t, x in zip(texts, usual)]
 
-    return Cache(encode, most=1 << 19), {t.content: (i, t.special) for i, t in added.items()}
+    return Cache(encode, most=1 << 20), {t.content: (i, t.special) for i, t in added.items()}
 
 
 def encode_with(texts: list[str], cache: Cache, own: dict[str, int]) -> list[np.ndarray]:
