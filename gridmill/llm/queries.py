@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import ann, bpe, html, langid, mixing, phrases, pii, quality, simhash, substrings, tokenfile, topk
+from gridmill.llm import ann, bpe, html, langid, mixing, phrases, pii, quality, simhash, spelling, substrings, tokenfile, topk
 from gridmill.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,8 @@ FROM kept QUALIFY rank <= 2000
 @query
 def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents").select("doc_id", "text"))

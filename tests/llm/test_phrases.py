@@ -1,0 +1,60 @@
+"""Collocations against SQL on the tables, and against plain counting on made-up texts."""
+
+import random
+import re
+from collections import Counter
+
+import pytest
+from compare import differences, duck
+
+from gridmill.llm import phrases, queries
+
+
+def brute(rows, support, most):
+    out = []
+    for lang in {lang or "und" for lang, _ in rows}:
+        n, f = 0, Counter()
+        for own, text in rows:
+            if (own or "und") == lang:
+                small = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+                for piece in re.split(r"[.,;:!?\x0A-\x0D]", small):
+                    w = re.findall(r"[^\x20\x09]+", piece)
+                    n += len(w)
+                    f.update(tuple(w[i:i + m]) for m in range(1, 6) for i in range(len(w) - m + 1))
+        often = {p: a for p, a in f.items() if a >= support and len(p) > 1}
+        inside = {q[i:i + m] for q, a in often.items() for m in range(2, len(q)) for i in range(len(q) - m + 1) if a >= often[q[i:i + m]]}
+        kept = []
+        for p, a in often.items():
+            if p not in inside:
+                score, k = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                kept.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, p, left, right) in enumerate(sorted(kept)[:most], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n, -score))
+    return sorted(out)
+
+
+def made_up():
+    rng = random.Random(8)
+    bits = ["a", "B", "b", "É", "é", "the", "The", "of", "x-y", "'", "日本", " ", "\x0b"]
+    rows = [(rng.choice(["en", "de", None]), "".join(rng.choice(bits) + rng.choice([" ", " ", "  ", "\t", ", ", ".", "\n"]) for _ in range(rng.randint(0, 60)))) for _ in range(150)]
+    return [*rows, ("en", None), ("fr", ""), ("en", "one two three four five six " * 40), ("en", "a b " * 3000), (None, "same"), (None, "same")]
+
+
+@pytest.mark.parametrize("shard, held", [(1 << 25, 1 << 20), (300, 1 << 20), (300, 3), (1 << 25, 3)])
+def test_made_up_texts(spark, monkeypatch, shard, held):
+    monkeypatch.setattr(phrases, "SHARD_BYTES", shard)
+    monkeypatch.setattr(phrases, "BROADCAST_PHRASES", held)
+    rows = made_up()
+    docs = spark.createDataFrame([(*r, "p", 5) for r in rows], "lang string, text string, phrase string, n int").repartition(6)
+    for support, most in ((12, 15), (3, 2000)):
+        got = sorted(map(tuple, phrases.collocations(docs, most, support).collect()))
+        assert got == brute(rows, support, most)
+
+
+def test_empty(spark):
+    assert phrases.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.01"
+    assert not differences(queries.op11_collocations(spark, folder), queries.SQL["op11_collocations"], duck(folder))
