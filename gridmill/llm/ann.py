@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmill.llm.steps import written
-from gridmill.llm.vectors import ROOM, first_copies, matrix, one_per_id, sample, unit, usable
+from gridmill.llm.vectors import ROOM, distinct_ids, first_copies, matrix, sample, unit, usable
 
 SAMPLE = 1 << 13  # vectors from which centroids are learned, at most
 MOST_LISTS = 1 << 11
@@ -26,6 +26,7 @@ PROBED = 0.75  # share of the lists that a query probes; vectors in clear cluste
 LEAST_PROBES = 8
 COLUMNS = 16  # in a block
 SLACK = 2.1  # of the test: larger gives up fewer candidates
+MANY, PAIRS = 1 / 16, 1 << 16  # share of pairs left from which on they are taken one by one; so many at a time
 LIST_ROWS, QUERY_ROWS = 1 << 14, 1 << 11  # a task's share of a list and of its queries
 
 
@@ -57,30 +58,50 @@ def scan(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.
     step = max(1, ROOM // len(rows))
     for start in range(0, len(a), step):
         q = a[start:start + step]
-        d = min(COLUMNS, size)
-        part = (q[:, :d] ** 2).sum(1)[:, None] + (b[:, :d] ** 2).sum(1)[None, :] - 2 * q[:, :d] @ b[:, :d].T
-        # whole distances of the k that look nearest so far bound the k-th distance from above
-        near = np.argpartition(part, k - 1, axis=1)[:, :k]
-        limit = ((q[:, None, :] - b[near]) ** 2).sum(axis=2).max(axis=1) + 1e-9
-
-        def passes(partial, bound, d):
-            return partial * (size / d) <= bound * (1 + SLACK / math.sqrt(d)) ** 2 if d < size else partial <= bound
-
-        qi, ri = np.nonzero(passes(part, limit[:, None], d))
-        kept = part[qi, ri]
-        while d < size:
-            block = slice(d, min(d + COLUMNS, size))
-            kept = kept + ((q[qi, block] - b[ri, block]) ** 2).sum(axis=1)
-            d = block.stop
-            left = passes(kept, limit[qi], d)
+        for qi, ri in _left(q, b, k):
+            out_q.append(qi + start)
+            out_r.append(ri)
+    return np.concatenate([np.zeros(0, np.int64), *out_q]), np.concatenate([np.zeros(0, np.int64), *out_r])
+
+
+def _left(q: np.ndarray, b: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs that no test gives up. While many are left a block of columns is a product of matrices over
+    all pairs; once few are, it is taken pair by pair."""
+    size = b.shape[1]
+
+    def block(first: int) -> tuple[int, np.ndarray]:
+        d = min(first + COLUMNS, size)
+        return d, (q[:, first:d] ** 2).sum(1)[:, None] + (b[:, first:d] ** 2).sum(1)[None, :] - 2 * q[:, first:d] @ b[:, first:d].T
+
+    def passes(partial: np.ndarray, bound: np.ndarray, d: int) -> np.ndarray:
+        return partial * (size / d) <= bound * (1 + SLACK / math.sqrt(d)) ** 2 if d < size else partial <= bound
+
+    d, part = block(0)
+    # whole distances of the k that look nearest so far bound the k-th distance from above
+    near = np.argpartition(part, k - 1, axis=1)[:, :k]
+    limit = ((q[:, None, :] - b[near]) ** 2).sum(axis=2).max(axis=1) + 1e-9
+    alive = passes(part, limit[:, None], d)
+    while d < size and np.count_nonzero(alive) > MANY * alive.size:
+        d, more = block(d)
+        part += more
+        alive &= passes(part, limit[:, None], d)
+    every = np.nonzero(alive)
+    for i in range(0, len(every[0]), PAIRS):
+        qi, ri = every[0][i:i + PAIRS], every[1][i:i + PAIRS]
+        kept, at = part[qi, ri], d
+        while at < size:
+            columns = slice(at, min(at + COLUMNS, size))
+            kept = kept + ((q[qi, columns] - b[ri, columns]) ** 2).sum(axis=1)
+            at = columns.stop
+            left = passes(kept, limit[qi], at)
             qi, ri, kept = qi[left], ri[left], kept[left]
-        out_q.append(qi + start)
-        out_r.append(ri)
-    return np.concatenate(out_q), np.concatenate(out_r)
+        yield qi, ri
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, the same for equal rows wherever they stand."""
+    """Row by row, the same for equal rows wherever they stand. Scaled by powers of two, which changes no digit,
+    so that squares neither vanish nor overflow."""
+    a, b = (x * np.exp2(-np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) for x in (a, b))
     return (a * b).sum(axis=1) / np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
 
 
@@ -89,12 +110,12 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec
     """(query_id, rank, vec_id, score): the k nearest rows found for each row where ``is_query`` holds.
 
     ``is_query`` is over ``id``. Rows without an id, and vectors that are null, zero or hold null or
-    non-finite components, take no part. Rows of one id are one row. All vectors have one length, else
+    non-finite components, take no part. Rows of one id are one row, of differing vectors the smallest. All vectors have one length, else
     the job fails. With fewer than k candidates all are returned; an empty table gives no rows.
     """
     spark = rows.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    points = usable(rows, id_column, vector, zero=False)
+    points = distinct_ids(usable(rows, id_column, vector, zero=False))
     count, seen = points.count(), sample(points, SAMPLE)
     if not count:
         return spark.createDataFrame([], schema)
@@ -142,8 +163,6 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec
         if asking.num_rows and held.num_rows:
             q_ids, q = asking.column("id").to_numpy(), matrix(asking.column("v"))
             ids, v = held.column("id").to_numpy(), matrix(held.column("v"))
-            once = one_per_id(ids, v)
-            ids, v = ids[once], v[once]
             some = first_copies(ids, v, k + 1)
             ids, v = ids[some], v[some]
             qi, ri = scan(q, v, k + 1)

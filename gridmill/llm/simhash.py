@@ -52,15 +52,15 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * totals > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp), fp as a signed 64-bit number. Null and empty texts have 0."""
+def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in ``keep`` and fp, a signed 64-bit number. Null and empty texts have 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t) for _, texts in slices(batch.column(1)) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([fingerprint(t) for _, texts in slices(batch.column(0)) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found.view(np.int64))], names=[*keep, "fp"])
 
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType())])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("fp", T.LongType())])
+    return docs.select("text", *keep).mapInArrow(run, schema)
 
 
 def half(fp: np.ndarray, side: int) -> np.ndarray:
@@ -205,6 +205,12 @@ def links(distinct: DataFrame) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(match, "a long, b long").where("a <> b")
 
 
+def _classes(distinct: DataFrame) -> DataFrame:
+    """``distinct`` (fp, each once, and other columns) with label, the smallest fingerprint of the component."""
+    found = components(links(distinct))
+    return distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row.
 
@@ -215,9 +221,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = written(spark, lambda: fingerprints(docs))
     distinct = written(spark, lambda: rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
-    found = components(links(distinct))
-    label = F.coalesce("label", "fp")
-    classes = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", label)
+    classes = _classes(distinct)
     smallest = classes.where("rows > 1 OR label <> fp OR first IS NULL").select("label").distinct()
     # components of one row need no look-up: they are their own smallest
     ids = classes.join(smallest, "label", "left_semi").groupBy("label").agg(F.min("first").alias("component_id"))
@@ -228,10 +232,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest id, once.
+    """``docs`` with one row of each component: that of the smallest id, of several the one of the smallest
+    fingerprint, text hash and row hash.
 
     Rows without an id cannot be named by a component and stay.
     """
-    kept = near_duplicates(docs.where("doc_id IS NOT NULL")).select("component_id").distinct()
-    ided = docs.join(kept, docs["doc_id"] == kept["component_id"], "left_semi").dropDuplicates(["doc_id"])
-    return ided.unionByName(docs.where("doc_id IS NULL"))
+    spark = docs.sparkSession
+    ided = docs.where("doc_id IS NOT NULL")
+    # 128 bits stand for a text, so rows of one id and different texts are told apart
+    text = F.coalesce("text", F.lit(""))
+    content = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("content"), text).alias("b"))
+    rows = written(spark, lambda: fingerprints(ided.select("doc_id", "text", content.alias("content")), ("doc_id", "content")))
+    distinct = written(spark, lambda: rows.groupBy("fp").agg(F.min(F.struct("doc_id", "content")).alias("first")))
+    chosen = _classes(distinct).groupBy("label").agg(F.min(F.struct("first.doc_id", "fp", "first.content")).alias("one")).select(
+        F.col("one.doc_id").alias("chosen_id"), F.col("one.content").alias("chosen_content"))
+    packed = ided.select(F.struct("*").alias("doc"), F.col("doc_id").alias("own_id"), content.alias("own_content"))
+    kept = packed.join(chosen, F.expr("own_id = chosen_id AND own_content = chosen_content"), "left_semi")
+    one = kept.groupBy("own_id", "own_content").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc")).select("doc.*")
+    return one.unionByName(docs.where("doc_id IS NULL"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmill.llm.steps import written
-from gridmill.llm.vectors import first_copies, matrix, sample, usable
+from gridmill.llm.vectors import ROOM, distinct_ids, first_copies, matrix, sample, usable
 
 SAMPLE = 1 << 13  # vectors from which centres are picked, at most
 MOST_CENTRES = 1 << 10
@@ -34,11 +34,28 @@ MARGIN = 1e-6  # relative, for rounding of the bounds
 
 
 def scaled(vectors: np.ndarray) -> np.ndarray:
-    """Whole numbers, held as doubles, whose products are exact."""
-    out = np.floor(SCALE * vectors)
-    if out.size and np.abs(out).max() ** 2 * out.shape[1] >= 2**53:
-        raise ValueError("components are too large for exact scores")
-    return out
+    """Whole numbers, held as doubles."""
+    return np.floor(SCALE * vectors)
+
+
+def largest(a: np.ndarray, b: np.ndarray) -> float:
+    """No product of a row of each is larger."""
+    return float(np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1])
+
+
+def best_of_large(q: np.ndarray, q_ids: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of the k best rows of each query, by products of 64-bit numbers; for numbers that
+    are too large for exact doubles, and so for the bounds of the trees."""
+    if largest(q, v) >= 2**63:
+        raise ValueError("a score does not fit 64 bits")
+    a, b, out = q.astype(np.int64), v.astype(np.int64), []
+    for i in range(0, len(a), max(1, ROOM // max(1, len(b)))):
+        scores = a[i:i + max(1, ROOM // max(1, len(b)))] @ b.T
+        for j, row in enumerate(scores):
+            at = np.lexsort((ids, -row))
+            at = at[ids[at] != q_ids[i + j]][:k]
+            out.append((np.full(len(at), i + j), at, row[at]))
+    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*out))
 
 
 @dataclass
@@ -128,10 +145,11 @@ def best_of_block(asking: pa.Table, held: pa.Table, k: int) -> pa.Table:
     if asking.num_rows and held.num_rows:
         q_ids, q = asking.column("id").to_numpy(), scaled(matrix(asking.column("v")))
         ids, v = held.column("id").to_numpy(), scaled(matrix(held.column("v")))
-        _, once = np.unique(ids, return_index=True)
-        ids, v = ids[once], v[once]
         some = first_copies(ids, v, k + 1)
         ids, v = ids[some], v[some]
+        if largest(q, v) >= 2**53:
+            qi, at, score = best_of_large(q, q_ids, v, ids, k)
+            return pa.table({"query_id": q_ids[qi], "vec_id": ids[at], "score": score})
         best = Best(q, q_ids, v, ids, asking.column("least").to_numpy(zero_copy_only=False).astype(np.float64), k)
         best.search(cover_tree(q), cover_tree(v))
         qi, at = np.nonzero(best.scores > -np.inf)
@@ -153,12 +171,12 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_
     """(query_id, rank, vec_id, score): the k rows of the largest score for each row where ``is_query`` holds.
 
     ``is_query`` is over ``id``. Rows without an id, and vectors that are null or hold null or
-    non-finite components, take no part. Rows of one id are one row. All vectors have one length, and
-    scores fit 53 bits, else the job fails. Ties go to smaller ids; with fewer than k candidates all
+    non-finite components, take no part. Rows of one id are one row, of differing vectors the smallest.
+    All vectors have one length, and scores fit 64 bits, else the job fails. Ties go to smaller ids; with fewer than k candidates all
     are returned; an empty table gives no rows.
     """
     spark = rows.sparkSession
-    points = usable(rows, id_column, vector, zero=True)
+    points = distinct_ids(usable(rows, id_column, vector, zero=True))
     count, seen = points.count(), sample(points, SAMPLE)
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -198,7 +216,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
 
     def ranked(found: DataFrame) -> DataFrame:
-        return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     own = [(a, a) for a in asked]
     first = written(spark, lambda: ranked(compare(own, asking.withColumn("least", F.lit(float("-inf"))))).drop("rank"))

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmill.llm.steps import written
+
 ROOM = 1 << 22  # numbers in a matrix of comparisons
 
 
@@ -19,11 +22,24 @@ def usable(rows: DataFrame, id_column: str, vector: str, zero: bool) -> DataFram
     return kept.select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("v"))
 
 
+def distinct_ids(points: DataFrame) -> DataFrame:
+    """One row of each id: of differing vectors the smallest, number by number.
+
+    Ids that repeat are found from the ids alone; only their vectors are shuffled, as partial smallest ones.
+    """
+    spark = points.sparkSession
+    again = written(spark, lambda: points.groupBy("id").count().where("count > 1").select("id"))
+    if again.isEmpty():
+        return points
+    many = points.join(again, "id", "left_semi").groupBy("id").agg(F.min("v").alias("v"))
+    return written(spark, lambda: points.join(again, "id", "left_anti").unionByName(many))
+
+
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Rows of a column of lists of one length, as doubles."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if len(flat) % max(1, len(column)):
+    if len(column) and pc.count_distinct(pc.list_value_length(column), mode="all").as_py() > 1:
         raise ValueError("vectors differ in length")
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
@@ -34,14 +50,6 @@ def sample(rows: DataFrame, most: int) -> np.ndarray:
     return np.array([r.v for r in found], np.float64) if found else np.zeros((0, 0))
 
 
-def one_per_id(ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Indexes of one row of each id: of differing vectors the smallest, number by number."""
-    if len(np.unique(ids)) == len(ids):
-        return np.arange(len(ids))
-    order = np.lexsort((*vectors.T[::-1], ids))
-    return order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]
-
-
 def first_copies(ids: np.ndarray, vectors: np.ndarray, most: int) -> np.ndarray:
     """Indexes of all rows but those with ``most`` equal vectors of smaller ids.
 
