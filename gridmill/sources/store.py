@@ -8,10 +8,12 @@ are sorted by day, so a day range skips row groups. ``ym`` is derived and stays
 from __future__ import annotations
 
 import datetime as dt
+import json
+import threading
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
-from functools import reduce
+from functools import cache, reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -25,7 +27,7 @@ from gridmill.schemas import DAYS_AFTER_CENTRE, DAYS_BEFORE_CENTRE, PIPELINE_RUN
 from gridmill.session import require_utc
 
 PARTITION = ("region_id", "ym")
-COMPLETE = "gridmill.complete"
+SWITCH, CURRENT = "_switch.json", "_was_current"  # notes in folders of runs and builds; Spark does not read such names
 LONGEST_PERIOD = DAYS_BEFORE_CENTRE + DAYS_AFTER_CENTRE + 1
 NULL_KEY = "__HIVE_DEFAULT_PARTITION__"    # how a partition folder spells NULL
 
@@ -62,6 +64,12 @@ def _any(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+@cache
+def _lock(name: str) -> threading.RLock:
+    """One per table: appends and switches of this process do not meet. Processes are told apart by what they find."""
+    return threading.RLock()
+
+
 def _text(value: str) -> str:
     """A SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -167,20 +175,21 @@ class Store:
 
     def append(self, source: Source, rows: DataFrame) -> int:
         """Append rows under the table's schema; returns their number."""
-        return self._insert(self.standard(source), self._keyed(rows, source), source)
-
-    def _insert(self, table: str, keyed: DataFrame, source: Source) -> int:
         seen = Observation()
-        # the hash by partition decides the number of files; merging small reduce tasks further
-        # would only make few tasks write many files one after the other
-        cores = str(self.spark.sparkContext.defaultParallelism)
-        with self._settings({
-            "spark.sql.adaptive.coalescePartitions.minPartitionNum": cores,
-            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
-        }):
+        keyed, table = self._keyed(rows, source), self.standard(source)
+        # no partition moves while files are written to where it is
+        with _lock(f"{self.root} {table}"), self._settings(self._write_settings()):
             self._laid_out(keyed, source, seen).write.insertInto(table)
         return seen.get["rows"]
 
+    def _write_settings(self) -> dict[str, str]:
+        """The hash by partition decides the number of files; merging small reduce tasks further would
+        only make few tasks write many files one after the other."""
+        return {
+            "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(self.spark.sparkContext.defaultParallelism),
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+        }
+
     def dry_run(self, rows: DataFrame) -> int:
         """Run everything except the write; returns the number of rows that are ready."""
         seen = Observation()
@@ -212,56 +221,143 @@ class Store:
     def replace_where(self, source: Source, predicate: Column, rows: DataFrame) -> int:
         """Delete what matches ``predicate``, add ``rows``; returns the number of rows added.
 
-        Parquet tables have no DELETE, so partitions are rewritten, and only those that hold
-        matching or new rows:
+        Parquet tables have no DELETE, so partitions are made new, and only those that hold matching or
+        new rows. Each call is a run with a folder of its own:
 
-        1. the new rows go to a staging table (the expensive part; the table is not touched);
-        2. rows of the affected partitions that stay are added to it, and it is marked complete;
-        3. one dynamic overwrite publishes the staged partitions, and partitions that have
-           become empty are dropped.
+        1. the new rows are written there (the expensive part; the table is not touched);
+        2. rows of the affected partitions that stay are added, and what is to be switched is noted down;
+        3. the catalog is told that the partitions are in this folder now (those that have become empty
+           are dropped), and their old files go. Nothing is copied.
 
-        A failure before 3 changes nothing. After a failure during 3 the marked staging table is
-        still there and the next call publishes it first. Readers can see some partitions
-        replaced before others. Only partition keys reach the driver.
+        A failure before 3 changes nothing. A call that stopped during 3 is finished by the next one,
+        which takes along rows that were appended in between. If an affected partition has changed since
+        its files were listed, the call is refused and changes nothing. Readers can see some partitions
+        replaced before others. Only partition keys and file names reach the driver.
         """
-        table, staging = self.standard(source), f"{self.standard(source)}__staging"
-        self._finish_interrupted(table, staging, source)
-        old = self.spark.table(table)
-        hit = {tuple(r) for r in old.where(predicate).select(*PARTITION).distinct().collect()}
-
-        self._create_standard(staging, source)
-        written = self._insert(staging, self._keyed(rows, source), source)
-        affected = hit | self._partitions(staging)
-        if affected:
-            stays = old.where(self._in_partitions(affected)).where(~F.coalesce(predicate, F.lit(False)))
-            self._insert(staging, stays, source)
-        emptied = hit - self._partitions(staging)
-        # what has to go is kept beside what has to come, so that a recovery does both
-        self.spark.createDataFrame(sorted(emptied), "region_id string, ym string").write.mode("overwrite").saveAsTable(
-            f"{staging}_emptied", format="parquet")
-        self.spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('{COMPLETE}' = 'true')")
-        self._finish_interrupted(table, staging, source)
-        self.spark.catalog.refreshTable(table)
+        table = self.standard(source)
+        self._finish_interrupted(table, source)
+        folder = f"{self._runs_folder(table)}/{uuid.uuid4().hex}"
+        try:
+            old = self.spark.table(table)
+            hit = {tuple(r) for r in old.where(predicate).select(*PARTITION).distinct().collect()}
+            written = self._stage(folder, self._keyed(rows, source), source)
+            affected = hit | set(self._staged(folder))
+            before = self._files(table, affected)
+            if before:
+                stays = old.where(self._in_partitions(before)).where(~F.coalesce(predicate, F.lit(False)))
+                self._stage(folder, stays, source)
+            switch = {key: sorted(before.get(key, ())) for key in sorted(affected)}
+        except BaseException:
+            self._path(folder, delete=True)
+            raise
+        with _lock(f"{self.root} {table}"):
+            changed = [key for key, files in self._files(table, affected).items() if sorted(files) != switch[key]]
+            if changed or set(before) - self._partitions(table):
+                self._path(folder, delete=True)
+                raise RuntimeError(f"{table}: partitions {sorted(changed) or sorted(before)} changed while rows for them were staged; load again")
+            if switch:
+                self._note(folder, switch)
+                self._publish(table, folder, switch)
         return written
 
-    def _finish_interrupted(self, table: str, staging: str, source: Source) -> None:
-        if not self.spark.catalog.tableExists(staging):
-            return
-        properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {staging}").collect()}
-        if properties.get(COMPLETE) == "true":
-            self._publish(table, staging, source)
-            emptied = self.spark.table(f"{staging}_emptied").collect()
-            if emptied:
-                specs = ", ".join(f"PARTITION (region_id = {_text(r)}, ym = {_text(m)})" for r, m in emptied)
-                self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-        self.spark.sql(f"DROP TABLE {staging}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {staging}_emptied")
-
-    def _publish(self, table: str, staging: str, source: Source) -> None:
-        """Copy staged partitions over the table's: a narrow job, files already have their size."""
-        staged = self._keys_present(self.spark.table(staging)).sortWithinPartitions(*PARTITION, source.day_column, "lat", "lon")
-        with self._settings({"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-            staged.write.mode("overwrite").insertInto(table)
+    # -- runs: folders with staged partitions --------------------------------------------------
+
+    def _runs_folder(self, table: str) -> str:
+        return f"{self.root}/standard_runs/{table.split('.')[-1]}"
+
+    def _path(self, name: str, delete: bool = False):
+        """(file system, path) by Hadoop, for any scheme Spark knows."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        if delete:
+            files.delete(path, True)
+        return files, path
+
+    def _listed(self, folder: str) -> list[str]:
+        """Names in a folder; none if it is not there."""
+        files, path = self._path(folder)
+        return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+
+    def _stage(self, folder: str, keyed: DataFrame, source: Source) -> int:
+        seen = Observation()
+        with self._settings(self._write_settings()):
+            self._laid_out(keyed, source, seen).write.mode("append").partitionBy(*PARTITION).parquet(folder)
+        return seen.get["rows"]
+
+    def _staged(self, folder: str) -> dict[tuple[str, str], str]:
+        """Folder of each staged partition."""
+        return {
+            (unquote(region.split("=", 1)[1]), unquote(month.split("=", 1)[1])): f"{folder}/{region}/{month}"
+            for region in self._listed(folder) if region.startswith("region_id=")
+            for month in self._listed(f"{folder}/{region}") if month.startswith("ym=")
+        }
+
+    def _files(self, table: str, keys: set[tuple[str, str]]) -> dict[tuple[str, str], set[str]]:
+        """The files of partitions, those without any left out."""
+        self.spark.catalog.refreshTable(table)
+        found: dict[tuple[str, str], set[str]] = {}
+        for file in self.spark.table(table).where(self._in_partitions(keys)).inputFiles() if keys else ():
+            # a file name is a URI of a path in which keys are escaped already
+            region, month = unquote(file).rsplit("/", 3)[1:3]
+            key = unquote(region.split("=", 1)[1]), unquote(month.split("=", 1)[1])
+            if key in keys:
+                found.setdefault(key, set()).add(unquote(file))
+        return found
+
+    def _note(self, folder: str, switch: dict[tuple[str, str], list[str]]) -> None:
+        """What is to be switched, kept beside the staged rows until it is done."""
+        files, path = self._path(f"{folder}/{SWITCH}")
+        out = files.create(path, True)
+        out.write(bytearray(json.dumps([[*key, old] for key, old in switch.items()]).encode()))
+        out.close()
+
+    def _noted(self, folder: str) -> str:
+        files, path = self._path(f"{folder}/{SWITCH}")
+        stream = files.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _finish_interrupted(self, table: str, source: Source) -> None:
+        """Publish what stopped calls had noted down, together with what was appended since."""
+        for run in self._listed(self._runs_folder(table)):
+            folder = f"{self._runs_folder(table)}/{run}"
+            with _lock(f"{self.root} {table}"):
+                if SWITCH not in self._listed(folder):
+                    continue
+                switch = {(region, month): old for region, month, old in json.loads(self._noted(folder))}
+                found = self._files(table, set(switch))
+                switched = {key for key, files in found.items() if any(f"/{run}/" in f for f in files)}
+                left = {key: found.get(key, set()) for key in switch if key not in switched}
+                schema = self.spark.table(table).drop(*PARTITION).schema
+                later = [
+                    self.spark.read.schema(schema).parquet(*sorted(files - set(switch[key]))).withColumns(dict(zip(PARTITION, map(F.lit, key))))
+                    for key, files in left.items() if files - set(switch[key])
+                ]
+                if later:
+                    self._stage(folder, reduce(DataFrame.unionByName, later), source)
+                self._publish(table, folder, {key: sorted(files) for key, files in left.items()})
+
+    def _publish(self, table: str, folder: str, switch: dict[tuple[str, str], list[str]]) -> None:
+        """Switch the partitions to the staged folders, drop the emptied ones, remove old files and the note."""
+        staged, present = self._staged(folder), self._partitions(table)
+        spec = {key: f"PARTITION (region_id = {_text(key[0])}, ym = {_text(key[1])})" for key in switch}
+        added = [f"{spec[key]} LOCATION {_text(staged[key])}" for key in switch if key in staged and key not in present]
+        for key in switch:
+            if key in staged and key in present:
+                self.spark.sql(f"ALTER TABLE {table} {spec[key]} SET LOCATION {_text(staged[key])}")
+        if added:
+            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+        emptied = [spec[key] for key in switch if key not in staged]
+        if emptied:
+            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(emptied)}")
+        self.spark.catalog.refreshTable(table)
+        for old in switch.values():
+            for file in old:
+                self._path(file, delete=True)
+        self._path(f"{folder}/{SWITCH}", delete=True)
 
     @contextmanager
     def _settings(self, wanted: dict[str, str]) -> Iterator[None]:
@@ -304,15 +400,21 @@ class Store:
         name = self.name("features", table)
         builds = f"{self.root}/features/{table}_builds"
         build = f"{builds}/{uuid.uuid4().hex}"
-        rows.write.parquet(build)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{build}`")
+        try:
+            rows.write.parquet(build)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{build}`")
+        except BaseException:
+            self._path(build, delete=True)
+            raise
+        files, mark = self._path(f"{build}/{CURRENT}")
+        files.create(mark, True).close()
         self._drop_old(builds, build)
         return name
 
     def _drop_old(self, builds: str, newest: str) -> None:
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(builds)
-        files = path.getFileSystem(context._jsc.hadoopConfiguration())
-        others = [f for f in files.listStatus(path) if f.getPath().getName() != newest.rsplit("/", 1)[1]]
-        for old in sorted(others, key=lambda f: f.getModificationTime())[:-1]:
-            files.delete(old.getPath(), True)
+        """Builds go that were the view's before the last one was; others may still be written."""
+        files, path = self._path(builds)
+        marks = [m for f in files.listStatus(path) for m in (files.globStatus(self._path(f"{f.getPath()}/{CURRENT}")[1]) or [])]
+        others = [m for m in marks if m.getPath().getParent().getName() != newest.rsplit("/", 1)[1]]
+        for old in sorted(others, key=lambda m: m.getModificationTime())[:-1]:
+            files.delete(old.getPath().getParent(), True)

@@ -1,5 +1,8 @@
 """Faults of an earlier round stay mended."""
 
+import json
+from pathlib import Path
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -137,3 +140,99 @@ def test_dense_loads_fail_by_name_for_rows_without_a_day_or_a_region(spark, row,
 def test_text_days(spark, text, day):
     got = coerce(spark.createDataFrame([(text, text)], "d string, t string"), (("d", "DATE"), ("t", "TIMESTAMP"))).first()
     assert got.d == day and (got.t.date() if got.t else None) == day
+
+
+def stopped(monkeypatch, at):
+    """Calls to publish stop after ``at`` of the switched partitions."""
+    real = Store._publish
+
+    def publish(self, table, folder, switch):
+        some = dict(list(switch.items())[:at])
+        if some:
+            noted = Store._noted(self, folder)
+            real(self, table, folder, some)
+            self._note(folder, {(r, m): old for r, m, old in json.loads(noted)})
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(Store, "_publish", publish)
+
+
+@pytest.mark.parametrize("at", [0, 1, 2, 3])
+def test_appends_between_stop_and_recovery_survive(store, spark, monkeypatch, at):
+    odd = "O'ahu b/c=d%é"
+    store.append(SST, sst_rows(spark, [(D(2024, 1, 5), odd, 1.0), (D(2024, 1, 25), odd, 1.5), (D(2024, 2, 5), odd, 2.0), (D(2024, 3, 5), odd, 3.0)]))
+    with monkeypatch.context() as m:
+        stopped(m, at)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            store.replace_days(SST, sst_rows(spark, [(D(2024, 1, 6), odd, 7.0), (D(2024, 3, 6), odd, 8.0)]),
+                               [(odd, D(2024, 1, 1), D(2024, 1, 10)), (odd, *FEB), (odd, D(2024, 3, 1), D(2024, 3, 31))])
+    added = [(D(2024, m, 20), odd, 9.0) for m in (1, 2, 3, 4)]
+    store.append(SST, sst_rows(spark, added))
+    store.replace_days(SST, sst_rows(spark, []), [("none", *JAN)])
+    want = sorted([(D(2024, 1, 6), odd, 7.0), (D(2024, 1, 25), odd, 1.5), (D(2024, 3, 6), odd, 8.0), *added])
+    assert content(store) == want
+    store.append(SST, sst_rows(spark, [(D(2024, 2, 21), odd, 5.0)]))
+    assert content(store) == sorted([*want, (D(2024, 2, 21), odd, 5.0)])
+
+
+def test_a_partition_that_changed_meanwhile_is_refused(store, spark, monkeypatch):
+    store.append(SST, sst_rows(spark, [(D(2024, 1, 5), "A", 1.0), (D(2024, 2, 5), "A", 2.0)]))
+    real = Store._stage
+
+    def slow(self, folder, keyed, source):
+        n = real(self, folder, keyed, source)
+        if len(seen) == 1:      # after the rows that stay have been read
+            self.append(SST, sst_rows(spark, [(D(2024, 1, 7), "A", 4.0)]))
+        seen.append(n)
+        return n
+
+    seen = []
+    monkeypatch.setattr(Store, "_stage", slow)
+    with pytest.raises(RuntimeError, match="changed while rows for them were staged"):
+        store.replace_days(SST, sst_rows(spark, [(D(2024, 1, 6), "A", 9.0)]), [("A", *JAN)])
+    assert content(store) == [(D(2024, 1, 5), "A", 1.0), (D(2024, 1, 7), "A", 4.0), (D(2024, 2, 5), "A", 2.0)]
+    store.replace_days(SST, sst_rows(spark, [(D(2024, 1, 6), "A", 9.0)]), [("A", *JAN)])
+    assert content(store) == [(D(2024, 1, 6), "A", 9.0), (D(2024, 2, 5), "A", 2.0)]
+
+
+def test_two_loads_at_once(store, spark):
+    """Of different months both are right; of one month one may be refused, and nothing is mixed."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    store.append(SST, sst_rows(spark, [(D(2024, m, 5), "A", 0.0) for m in (1, 2, 3)]))
+
+    def load(month, value):
+        try:
+            return store.replace_days(SST, sst_rows(spark, [(D(2024, month, 6), "A", value)]), [("A", D(2024, month, 1), D(2024, month, 28))])
+        except RuntimeError as error:
+            assert "load again" in str(error)
+            return 0
+
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(lambda a: load(*a), [(1, 1.0), (2, 2.0), (3, 3.0), (3, 4.0)]))
+    assert done[:2] == [1, 1] and sum(done[2:]) >= 1
+    got = content(store)
+    assert got[:2] == [(D(2024, 1, 6), "A", 1.0), (D(2024, 2, 6), "A", 2.0)]
+    assert got[2:] in ([(D(2024, 3, 6), "A", 3.0)], [(D(2024, 3, 6), "A", 4.0)])
+
+
+def test_replaced_rows_are_written_once(store, spark):
+    """The files of a partition are those that the run wrote; the old ones are gone, and no copy is left."""
+    store.append(SST, sst_rows(spark, [(D(2024, 1, d), "A", float(d)) for d in range(1, 29)]))
+    old = store.scan(SST).inputFiles()
+    store.replace_days(SST, sst_rows(spark, [(D(2024, 1, 6), "A", 9.0)]), [("A", D(2024, 1, 5), D(2024, 1, 7))])
+    files = store.scan(SST).inputFiles()
+    assert all("standard_runs" in f for f in files) and not set(files) & set(old)
+    assert spark.read.parquet(store._runs_folder(store.standard(SST)) + "/*").count() == store.scan(SST).count() == 26
+    assert not any(Path(f.removeprefix("file://").removeprefix("file:")).exists() for f in old)
+
+
+def test_only_builds_that_were_current_go(store, spark, tmp_path):
+    folder = tmp_path / "store/features/t_builds"
+    store.create_or_replace("t", spark.range(1).toDF("x"))
+    for half in "abc":
+        spark.range(1).write.parquet(str(folder / half))        # written by somebody else, not a view's yet
+    for n in range(4):
+        store.create_or_replace("t", spark.range(n + 2).toDF("x"))
+    left = {f.name for f in folder.iterdir()}
+    assert {"a", "b", "c"} <= left and len(left) == 3 + 2
