@@ -1,12 +1,13 @@
 """Collocations: frequent phrases, mined shard by shard and then counted exactly.
 
 A phrase that occurs ``support`` times in all has, in at least one shard, its share of them: the support
-times the shard's part of the text. So each shard is mined completely at its share (words, then longer
-phrases whose two shorter ones are frequent there), in one task and without a shuffle. What is frequent in
-some shard goes to the union, with an upper bound of its whole count: what the shards counted, and at most
-one less than its share from each shard that did not report it. Candidates whose bound reaches the support
-are then counted over all texts. With very many shards the shares reach one, the bound is the count itself,
-and the union is an exact distributed count; nothing is lost in between.
+times the shard's part of the text. So each shard is mined completely at its share, in one task and without a
+shuffle: words, then longer phrases whose two shorter ones are frequent there. What is frequent in some shard
+goes to the union, with an upper bound of its whole count: what the shards counted, and at most one less
+than its share from each shard that did not report it. Words and pairs are mined first, and longer phrases
+only from pairs whose bound reaches the support. All candidates are then counted over all texts. With very
+many shards the shares reach one, bounds are the counts themselves, and a union is an exact distributed
+count; nothing is lost in between.
 """
 
 from __future__ import annotations
@@ -16,16 +17,19 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.arrays import only, slices
+from gridmill.llm.arrays import give_back, only, slices
 from gridmill.llm.bpe import distinct
 from gridmill.llm.steps import written
 
 LONGEST = 5  # words of a phrase
 SUPPORT = 100
-SHARD_BYTES = 1 << 25  # text of a shard, about
+SHARD_BYTES = 3 << 24  # text of a shard, about
+COUNT_BYTES = 1 << 29  # text that a task counts the candidates in, at most about
+SHARES = 4  # phrases of a shard are told apart a share of them at a time, which bounds memory
 BROADCAST_PHRASES, BROADCAST_BYTES = 1 << 20, 1 << 25  # candidates that go to every task; beyond, counts are shuffled
 UNKNOWN = "und"
 
@@ -54,53 +58,75 @@ def words_of(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     return found, np.insert(number, np.flatnonzero(piece[1:] != piece[:-1]) + 1, -1)
 
 
+def numbered(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the equal code, how often each number is there)."""
+    import pandas as pd
+
+    numbers, counts, first = np.empty(len(codes), np.int32), [], 0
+    share = codes.view(np.uint8)[::8] % SHARES  # the lowest byte, so nothing of the size of the codes is made
+    for i in range(SHARES):
+        at = np.flatnonzero(share == i)
+        own, _ = pd.factorize(codes[at])
+        counts.append(np.bincount(own))
+        numbers[at] = own + first
+        first += len(counts[-1])
+    return numbers, np.concatenate(counts)
+
+
 class Shard:
-    """The words of one language in a shard, as numbers."""
+    """The words of one language in a shard, as numbers. With ``known`` candidates (words and pairs), only of these."""
 
-    def __init__(self):
-        self.size, self.numbers, self.parts = 0, {}, []
+    def __init__(self, known: Known | None = None):
+        self.size, self.parts, self.known = 0, [], known
+        self.numbers = {} if known is None else known.words
 
     def add(self, texts: list[str]) -> None:
         self.size += sum(len(t.encode("utf-8", "surrogatepass")) for t in texts)
         found, places = words_of(texts)
         if not found:
             return
+        number = (lambda w: self.numbers.setdefault(w, len(self.numbers))) if self.known is None else (lambda w: self.numbers.get(w, -1))
         # the last one stands for the -1 between pieces
-        numbers = np.array([*(self.numbers.setdefault(w, len(self.numbers)) for w in found), -1], np.int32)
+        numbers = np.array([*map(number, found), -1], np.int32)
         self.parts += [numbers[places], np.array([-1], np.int32)]
 
-    def frequent(self, support: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    def frequent(self, words: np.ndarray, support: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         """(place of one occurrence, count) of all phrases with at least ``support``, and their length."""
-        import pandas as pd
-
-        words = np.concatenate([*self.parts, np.full(1, -1, np.int32)]).astype(np.int64)
-        at, codes = np.flatnonzero(words >= 0), words[words >= 0]
+        at = np.flatnonzero(words >= 0).astype(np.int32)
+        codes = words[at].astype(np.int64)
         for length in range(1, LONGEST + 1):
-            number, _ = pd.factorize(codes)
-            count = np.bincount(number)
-            some = np.zeros(len(count), np.int64)
+            number, count = numbered(codes)
+            some = np.zeros(len(count), np.int32)
             some[number] = at
             often = count >= support
             yield some[often], count[often], length
             # one word more: both phrases that are one word shorter must be frequent
-            of = np.full(len(words), -1, np.int64)
             keep = often[number]
+            of = np.full(len(words), -1, np.int32)
             of[at[keep]] = number[keep]
             at = at[keep]
             at = at[at + length < len(words)]
             at = at[(of[at + 1] >= 0) & (words[at + length] >= 0)]
+            codes = (of[at].astype(np.int64) << 32) | words[at + length]
+            if length == 1 and self.known is not None:
+                hit = self.known.extended(words[at].astype(np.int64), words[at + 1].astype(np.int64), 0) >= 0
+                at, codes = at[hit], codes[hit]
             if not len(at):
                 return
-            codes = of[at] << 32 | words[at + length]
 
-    def phrases(self, support: int) -> Iterator[tuple[list[str], np.ndarray, int]]:
+    def phrases(self, support: int, lengths: range) -> Iterator[tuple[list[str], np.ndarray, int]]:
         if not self.parts:
             return
-        spelled = np.array([w.decode("utf-8", "surrogatepass") for w in self.numbers], object)
         words = np.concatenate([*self.parts, np.full(LONGEST, -1, np.int32)])
-        for at, count, length in self.frequent(support):
-            for i in range(0, len(at), 1 << 16):
-                columns = [spelled[words[at[i:i + (1 << 16)] + k]].tolist() for k in range(length)]
+        self.parts = []
+        # numbers are in the order of the words
+        spelled = [w.decode("utf-8", "surrogatepass") for w in self.numbers] if self.known is None else self.known.spelled
+        self.numbers = {}
+        for at, count, length in self.frequent(words, support):
+            if length >= lengths.stop:
+                return
+            for i in range(0, len(at), 1 << 16) if length in lengths else ():
+                columns = [map(spelled.__getitem__, words[at[i:i + (1 << 16)] + k].tolist()) for k in range(length)]
                 yield [" ".join(x) for x in zip(*columns)], count[i:i + (1 << 16)], length
 
 
@@ -114,31 +140,37 @@ def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[int, list[tuple[str, l
         yield sum(map(len, texts)), list(groups.items())
 
 
-def mined(rows: DataFrame, sizes: dict[str, int], support: int, shares: bool = True) -> DataFrame:
+def mined(rows: DataFrame, sizes: dict[str, int], support: int, lengths: range, known: Broadcast | None = None, shares: bool = True) -> DataFrame:
     """(lang, phrase, words, count, missed) of what is frequent in a shard, of every shard of ``rows`` (lang, text).
 
     A row without a phrase says that a shard may have ``missed`` so many occurrences of any other phrase of
-    the language. Without ``shares`` everything counts as frequent.
+    the language. With ``known`` candidates longer phrases are made of these. Without ``shares`` everything
+    counts as frequent.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("bpe")
+        tables = known.value.tables if known is not None else None
         shards: dict[str, Shard] = {}
         read = 0
 
         def finished() -> Iterator[pa.RecordBatch]:
-            for lang, shard in shards.items():
+            for lang in list(shards):
+                shard = shards.pop(lang)
                 share = max(1, -(-support * shard.size // max(1, sizes.get(lang, 0)))) if shares else 1
                 yield table([lang], [None], 0, np.zeros(1, np.int64), share - 1)
-                for found, count, length in shard.phrases(share):
+                for found, count, length in shard.phrases(share, lengths):
                     yield table([lang] * len(found), found, length, count, share - 1)
+            give_back()
 
         for batch in batches:
             for size, groups in _by_language(batch):
                 if read and read + size > SHARD_BYTES:
                     yield from finished()
-                    shards, read = {}, 0
+                    read = 0
                 for lang, texts in groups:
-                    shards.setdefault(lang, Shard()).add(texts)
+                    if lang not in shards:
+                        shards[lang] = Shard(tables and tables.get(lang, Known([])))
+                    shards[lang].add(texts)
                 read += size
         yield from finished()
 
@@ -157,7 +189,7 @@ class Known:
     def __init__(self, phrases: list[tuple[int, str, int]]):
         """(words, phrase, number) of every candidate; all that a phrase starts with are among them."""
         own = {p.encode("utf-8", "surrogatepass"): i for n, p, i in phrases if n == 1}
-        self.words = own
+        self.words, self.spelled = own, {i: p for n, p, i in phrases if n == 1}
         of = {p: i for _, p, i in phrases}
         self.levels = []
         for length in range(2, LONGEST + 1):
@@ -170,6 +202,15 @@ class Known:
             order = np.argsort(np.array(keys, np.int64))
             self.levels.append((np.array(keys, np.int64)[order], np.array(numbers, np.int64)[order]))
 
+    def extended(self, of: np.ndarray, last: np.ndarray, level: int) -> np.ndarray:
+        """Numbers of candidates that are a candidate and one word more; -1 for what is none."""
+        keys, own = self.levels[level]
+        if not len(keys):
+            return np.full(len(of), -1, np.int64)
+        key = of << 32 | last
+        where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[where] == key, own[where], -1)
+
     def count(self, texts: list[str], counts: np.ndarray) -> int:
         """Adds the occurrences in the texts; how many words they have."""
         found, places = words_of(texts)
@@ -180,17 +221,15 @@ class Known:
         at = np.flatnonzero(words >= 0)
         of = words[at]
         counts += np.bincount(of, minlength=len(counts))
-        for length, (keys, own) in enumerate(self.levels, 1):
+        for length in range(1, LONGEST):
             inside = at + length < len(words)
             at, of = at[inside], of[inside]
             last = words[at + length]
             at, of, last = at[last >= 0], of[last >= 0], last[last >= 0]
-            if not len(at) or not len(keys):
+            of = self.extended(of, last, length - 1)
+            at, of = at[of >= 0], of[of >= 0]
+            if not len(at):
                 break
-            key = of << 32 | last
-            where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = keys[where] == key
-            at, of = at[hit], own[where[hit]]
             counts += np.bincount(of, minlength=len(counts))
         return int((places >= 0).sum())
 
@@ -209,10 +248,8 @@ class Candidates:
         return {lang: Known(found) for lang, found in own.items()}
 
 
-def counted(rows: DataFrame, found: list[tuple[str, int, str]]) -> DataFrame:
-    """(lang, phrase, f): occurrences of the candidates (lang, words, phrase) in all ``rows``; without a phrase, of all words."""
-    shared = rows.sparkSession.sparkContext.broadcast(Candidates(found))
-
+def counted(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """(lang, phrase, f): occurrences of the candidates in all ``rows``; without a phrase, of all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("bpe")
         tables, every = shared.value.tables, shared.value.rows
@@ -230,6 +267,21 @@ def counted(rows: DataFrame, found: list[tuple[str, int, str]]) -> DataFrame:
     return rows.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+def _united(local: DataFrame, support: int) -> DataFrame:
+    """(lang, words, phrase) of what may occur ``support`` times by the counts of all shards."""
+    missed = local.where("phrase IS NULL").groupBy("lang").agg(F.sum("missed").alias("most"))  # one row per language
+    bounds = local.where("phrase IS NOT NULL").groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum(F.col("count") - F.col("missed")).alias("above"))
+    return bounds.join(missed, "lang").where(F.col("above") + F.col("most") >= support).select("lang", "words", "phrase")
+
+
+def _shared(candidates: DataFrame) -> Broadcast | None:
+    """The candidates for every task, if they are few enough."""
+    many, size = candidates.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
+    if many > BROADCAST_PHRASES or size > BROADCAST_BYTES:
+        return None
+    return candidates.sparkSession.sparkContext.broadcast(Candidates([tuple(r) for r in candidates.collect()]))
+
+
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """(lang, phrase, words, f) of all phrases of up to LONGEST words with at least ``support`` occurrences.
 
@@ -238,20 +290,22 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     sizes = {r.lang: r.size or 0 for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
+    total = sum(sizes.values())
     # shards that are much smaller than they may be have low shares and many candidates; neighbours go together
-    rows = rows.coalesce(max(1, -(-sum(sizes.values()) // SHARD_BYTES)))
-    local = written(spark, lambda: mined(rows, sizes, support))
-    missed = local.where("phrase IS NULL").groupBy("lang").agg(F.sum("missed").alias("most"))
-    bounds = local.where("phrase IS NOT NULL").groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum(F.col("count") - F.col("missed")).alias("above"))
-    # a few rows, one per language
-    candidates = written(spark, lambda: bounds.join(missed, "lang").where(F.col("above") + F.col("most") >= support).select("lang", "words", "phrase"))
-    many, size = candidates.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
-    if many <= BROADCAST_PHRASES and size <= BROADCAST_BYTES:
-        found = [tuple(r) for r in candidates.collect()]
-        exact = counted(rows, found)
+    near = rows.coalesce(max(1, -(-total // SHARD_BYTES)))
+    short = written(spark, lambda: _united(written(spark, lambda: mined(near, sizes, support, range(1, 3))), support))
+    known = _shared(short)
+    long = written(spark, lambda: _united(written(spark, lambda: mined(near, sizes, support, range(3, LONGEST + 1), known)), support))
+    candidates = short.unionByName(long)
+    shared = _shared(candidates)
+    # a task reports each candidate it has seen, so there are no more tasks than the cluster runs or the text needs
+    whole = rows.coalesce(max(spark.sparkContext.defaultParallelism, -(-total // COUNT_BYTES)))
+    if shared is not None:
+        exact = counted(whole, shared)
     else:
-        every = mined(rows, sizes, support, shares=False).where("phrase IS NOT NULL")
-        exact = every.groupBy("lang", "phrase").agg(F.sum("count").alias("f")).join(candidates, ["lang", "phrase"], "left_semi").unionByName(counted(rows, []))
+        every = mined(near, sizes, support, range(1, LONGEST + 1), shares=False).where("phrase IS NOT NULL")
+        exact = every.groupBy("lang", "phrase").agg(F.sum("count").alias("f")).join(candidates, ["lang", "phrase"], "left_semi").unionByName(
+            counted(whole, spark.sparkContext.broadcast(Candidates([]))))
     words = F.when(F.col("phrase").isNull(), 0).otherwise(F.size(F.split("phrase", " ")))
     return written(spark, lambda: exact.where((F.col("f") >= support) | F.col("phrase").isNull()).select("lang", "phrase", words.alias("words"), "f"))
 
