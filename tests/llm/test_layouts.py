@@ -32,3 +32,31 @@ def test_ratios_count_in_articles(page, text):
 ])
 def test_names_lower_scores(page, text):
     assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("bit, size", [
+    ("<div>", 50_000), ("<div>a, b.", 25_000), ("<b>", 80_000), ("<b>x", 60_000), ("<!", 120_000), ('<a "', 60_000), ("<a x='", 40_000), ("<p><i>x", 35_000),
+    ("<div class=comment>a.", 12_000), ("<article>a.", 22_000), ("<", 250_000), ("<a", 120_000), ("<!--", 60_000), ("</x>", 60_000)])
+def test_time_grows_as_the_page_does(bit, size):
+    """Four times the page takes about four times as long, not sixteen."""
+    import time
+
+    def seconds(n):
+        started = time.process_time()
+        html.main_text(f"{bit * n}<p>{FIRST}</p>")
+        return time.process_time() - started
+
+    seconds(100)
+    assert seconds(size) < 8 * seconds(size // 4) + 0.5
+
+
+def test_deep_pages_keep_their_text():
+    deep = html.DEEPEST + 200
+    assert html.main_text("<div>" * deep + STORY + "</div>" * deep) == TEXT
+    assert html.main_text(f"<article>{'<b>' * deep}{FIRST}") == FIRST
+
+
+def test_tags_without_an_end():
+    assert html.main_text('a <b c="d <p>x') == 'a <b c="d\nx'
+    assert html.main_text("<p>x <! y") == "x <! y"
+    assert html.main_text("<p>x <!-- y") == "x"
