@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmill.functions.space import box_contains, lon_360, lon_intervals
@@ -16,6 +16,13 @@ MAX_BROADCAST_TILES = 200_000
 TILE_DEGREES = (0.125, 0.25, 0.5, 1, 3, 10, 30, 90)
 # Tiles that a box should take on average; a few boxes together may take more.
 TILES_PER_BOX, FREE_TILES = 9, 50_000
+# A cover has at most so many rectangles, merged from at most so many boxes or from one per cell of the globe.
+COVER, COVER_BOXES, COVER_DEGREES = 16, 64, 30
+# Degrees by which a cover is wider than its boxes: more than float columns lose.
+EDGE = 1e-3
+
+# (lat_lo, lat_hi, lon_lo, lon_hi), longitudes in [0, 360]
+Rectangle = tuple[float, float, float, float]
 
 
 def region_intervals(regions: DataFrame) -> DataFrame:
@@ -37,6 +44,54 @@ def within_boxes(points: DataFrame, boxes: Sequence[tuple], lon_domain: str = "3
     return points.where(reduce(lambda a, b: a | b, inside))
 
 
+def _area(r: Rectangle) -> float:
+    return (r[1] - r[0]) * (r[3] - r[2])
+
+
+def _hull(a: Rectangle, b: Rectangle) -> Rectangle:
+    return min(a[0], b[0]), max(a[1], b[1]), min(a[2], b[2]), max(a[3], b[3])
+
+
+def box_cover(regions: DataFrame, most: int = COVER) -> list[Rectangle]:
+    """At most ``most`` rectangles that hold all boxes, whatever their number.
+
+    Many boxes are first gathered by the cell of the globe they start in, so what reaches the driver is
+    bounded. Then the two rectangles whose hull adds the least area become one until few are left.
+    """
+    bounds = ("lat_lo", "lat_hi", "lon_lo", "lon_hi")
+    intervals = region_intervals(regions).select(*bounds)
+    found = intervals.limit(COVER_BOXES + 1).collect()
+    if len(found) > COVER_BOXES:
+        cells = [F.floor(F.col(c) / COVER_DEGREES) for c in ("lat_lo", "lon_lo")]
+        found = intervals.groupBy(*cells).agg(*[(F.max if c.endswith("hi") else F.min)(c).alias(c) for c in bounds]).select(*bounds).collect()
+    cover = sorted({tuple(r) for r in found if None not in r})
+    while len(cover) > max(1, most):
+        _, i, j = min(
+            (_area(_hull(a, b)) - _area(a) - _area(b), i, i + 1 + j) for i, a in enumerate(cover) for j, b in enumerate(cover[i + 1:]))
+        hull = _hull(cover[i], cover[j])
+        cover = sorted({*(r for k, r in enumerate(cover) if k not in (i, j)), hull})
+    return cover
+
+
+def in_cover(lat: str, lon: str, cover: Sequence[Rectangle]) -> Column:
+    """Holds for every point of every box of the cover, and for few others; longitudes may be in any domain.
+
+    Bounds are literals on the columns themselves, so both latitudes and longitudes reach the Parquet scan.
+    The exact test has to follow.
+    """
+    lats, lons = F.col(lat), F.col(lon)
+    inside = F.lit(False)
+    for lat_lo, lat_hi, lon_lo, lon_hi in cover:
+        here = reduce(lambda a, b: a | b, [lons.between(lon_lo + turn - EDGE, lon_hi + turn + EDGE) for turn in (0.0, -360.0)])
+        inside |= lats.between(lat_lo - EDGE, lat_hi + EDGE) & here
+    if not cover:
+        return inside
+    # beyond one turn either way, as few data are, the latitude alone decides
+    south, north = min(r[0] for r in cover), max(r[1] for r in cover)
+    beyond = (lons >= 360.0 - EDGE) | (lons <= -360.0 + EDGE)
+    return inside | (lats.between(south - EDGE, north + EDGE) & beyond)
+
+
 def _span(lo: str, hi: str, degrees: float):
     return F.floor(F.col(lo) / degrees).cast("int"), F.floor(F.col(hi) / degrees).cast("int")
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gridmill.operators import reports
 from gridmill.operators.checks import check_requests, null_error
 from gridmill.operators.grid import standard_axes
+from gridmill.operators.regions import box_cover, in_cover
 from gridmill.plans.standard import standardize, time_window
 from gridmill.schemas import ERROR_CHARS, Source
 from gridmill.sources.ledger import log_run
@@ -23,9 +24,6 @@ from gridmill.sources.store import Store, Window, windows_where
 
 log = logging.getLogger(__name__)
 
-# Degrees added to the boxes' latitudes in the pushed filter: more than float columns lose.
-EDGE = 1e-3
-
 # (region_id, year, month)
 Request = tuple[str, int, int]
 
@@ -132,9 +130,8 @@ def ingest(
             ids = sorted({w[0] for w in windows})
             boxes = known.where(F.col("region_id").isin(ids))
             # for any number of boxes, and wider than the exact test, which decides
-            low, high = boxes.agg(F.min("lat_min"), F.max("lat_max")).first()
-            if low is not None:
-                rows_in = standard_axes(raw).where(F.col("lat").between(low - EDGE, high + EDGE))
+            rows_in = standard_axes(raw)
+            rows_in = rows_in.where(in_cover("lat", "lon", box_cover(boxes)))
 
         def rows(guard: bool) -> DataFrame:
             return standardize(

@@ -1,0 +1,63 @@
+"""The cover of boxes that is pushed to the scan of a load."""
+
+import datetime as dt
+
+import pytest
+from compare import formatted_plan
+from pyspark.sql import functions as F
+
+from gridmill.operators import regions
+from gridmill.plans import jobs
+from gridmill.schemas import SST
+from gridmill.sources.regions import regions_frame
+
+BOX = "region_id string, name string, lat_min double, lat_max double, lon_min double, lon_max double"
+
+
+def many_boxes(spark, n):
+    return spark.range(n).selectExpr(
+        "concat('B', id) region_id", "'' name", "id * 37 % 170 - 85D lat_min", "id * 37 % 170 - 84.5D lat_max",
+        "id * 7919 % 720 - 360D lon_min", "id * 7919 % 720 - 358D + id % 3 lon_max")
+
+
+@pytest.mark.parametrize("n", [1, 3, 64, 65, 5000])
+def test_no_point_of_a_box_is_left_out(spark, n):
+    boxes = many_boxes(spark, n)
+    cover = regions.box_cover(boxes)
+    assert 1 <= len(cover) <= regions.COVER
+    points = spark.range(60_000).selectExpr("id", "CAST(id * 31 % 18000 / 100D - 90 AS FLOAT) lat", "CAST(id * 7 % 144000 / 100D - 720 AS FLOAT) lon")
+    edges = spark.sql("SELECT -1L AS id, CAST(lat AS FLOAT) lat, CAST(lon AS FLOAT) lon FROM VALUES (0), (-85), (-84.5) a(lat) "
+                      "CROSS JOIN VALUES (0), (360), (-360), (359.99999), (-0.00001), (720), (180), (-180) b(lon)")
+    points = points.union(edges).cache()
+    inside = regions.assign_regions(points, boxes)
+    assert inside.count() == regions.assign_regions(points.where(regions.in_cover("lat", "lon", cover)), boxes).count() > 0
+
+
+def test_few_far_boxes_are_covered_tightly(spark):
+    cover = regions.box_cover(regions_frame(spark))
+    assert cover == [(-10.0, -7.0, 120.0, 125.0), (18.0, 23.0, 199.0, 206.0)]
+    seam = spark.createDataFrame([("S", "", 1.0, 2.0, -3.0, 4.0), ("W", "", 5.0, 4.0, 0.0, 360.0)], BOX)
+    assert regions.box_cover(seam) == [(1.0, 2.0, 0.0, 4.0), (1.0, 2.0, 357.0, 360.0), (4.0, 5.0, 0.0, 360.0)]
+    assert regions.box_cover(seam.limit(0)) == []
+
+
+def test_merging_adds_the_least_area(spark):
+    boxes = spark.createDataFrame([(f"B{k}", "", lat, lat + 1.0, lon, lon + 1.0) for k, (lat, lon) in enumerate([(0.0, 0.0), (1.0, 0.0), (50.0, 200.0), (51.0, 201.0)])], BOX)
+    assert regions.box_cover(boxes, 2) == [(0.0, 2.0, 0.0, 1.0), (50.0, 52.0, 200.0, 202.0)]
+
+
+def test_a_load_reads_its_longitudes_too(store, spark, tmp_path, monkeypatch):
+    """One box of 5 by 3 degrees: latitudes and longitudes are among the filters pushed to the scan, and rows are the same."""
+    raw = spark.range(0, 40_000).selectExpr(
+        "TIMESTAMP_NTZ '2024-01-05 00:00:00' AS time", "CAST(id % 100 / 4D - 15 AS FLOAT) AS lat", "CAST(id DIV 100 * 0.9D AS FLOAT) AS lon", "CAST(20 AS FLOAT) AS sst")
+    raw = raw.withColumnRenamed("sst", next(iter(SST.measures)))
+    raw.write.parquet(str(tmp_path / "raw"))
+    seen = {}
+    real = jobs.standardize
+    monkeypatch.setattr(jobs, "standardize", lambda rows, *a, **b: seen.setdefault("rows", real(rows, *a, **b)))
+    written = jobs.ingest(store, SST, spark.read.parquet(str(tmp_path / "raw")), [("NTT", 2024, 1)], assign=True, today=dt.date(2024, 6, 1))
+    plan = formatted_plan(seen["rows"])
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert all(f"({column},{value}" in pushed for column, value in (("lon", "119.99"), ("lon", "125.00"), ("lat", "-10.00"), ("lat", "-6.99")))
+    assert written == raw.where("lat BETWEEN -10 AND -7 AND lon BETWEEN 120 AND 125").count() > 0
+    assert store.scan(SST).agg(F.min("lon"), F.max("lon")).first() == raw.where("lon BETWEEN 120 AND 125").agg(F.min(F.col("lon").cast("double")), F.max(F.col("lon").cast("double"))).first()
