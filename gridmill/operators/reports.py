@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,3 +119,21 @@ def profile_chl(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("unique_windows"),
     )
     return profile.withColumn("unique_windows", _null_if_empty(F.col("unique_windows")))
+
+
+def observed_profile(composite: bool) -> dict[str, Column]:
+    """What ``profile_chl`` (of composites) or ``profile_grid`` counts, as aggregates that a write can observe on the way.
+
+    Distinct coordinates and windows are held as sets, which are as large as the axes of a grid, whatever
+    the number of its rows.
+    """
+    if composite:
+        windows = F.collect_set(F.struct("period_start_date", "period_end_date"))
+        return {"n_rows": F.count(F.lit(1)), "min_start": F.min("period_start_date"), "max_end": F.max("period_end_date"), "unique_windows": F.size(windows).cast("long")}
+    return {"n_rows": F.count(F.lit(1)), "min_date": F.min("date"), "max_date": F.max("date"),
+            "unique_lat": F.size(F.collect_set("lat")).cast("long"), "unique_lon": F.size(F.collect_set("lon")).cast("long")}
+
+
+def as_profile(observed: Mapping[str, object]) -> dict[str, object]:
+    """Observed values as the row of the profile: without rows there is nothing distinct."""
+    return {k: None if k.startswith("unique") and not observed["n_rows"] else v for k, v in observed.items()}

@@ -20,7 +20,7 @@ from gridmill.plans.standard import standardize, time_window
 from gridmill.schemas import ERROR_CHARS, Source
 from gridmill.sources.ledger import log_run
 from gridmill.sources.regions import regions_frame
-from gridmill.sources.store import Store, Window, windows_where
+from gridmill.sources.store import Store, Watch, Window, windows_where
 
 log = logging.getLogger(__name__)
 
@@ -139,22 +139,23 @@ def ingest(
                 ingested_at=ingested_at, guard=guard,
             )
 
-        if log_row_stats:
-            profile = reports.profile_chl if source.composite else reports.profile_grid
-            log.info("rows to load: %s", profile(rows(False)).first().asDict())
+        # counted on the way, in the job that writes
+        watch = Watch(reports.observed_profile(source.composite)) if log_row_stats else None
         try:
             if dry_run:
-                store.dry_run(rows(True))
+                store.dry_run(rows(True), watch)
                 written = 0
             elif replace:
-                written = store.replace(source, rows(True), windows)
+                written = store.replace(source, rows(True), windows, watch)
             else:
-                written = store.append(source, rows(True))
+                written = store.append(source, rows(True), watch)
         except Exception as error:
             if "required values are missing" in str(error):
                 # only now is a second pass worth it: list offending rows
                 raise null_error(rows(False), source.required, f"{source.name} table rows") or error from error
             raise
+        if watch is not None:
+            log.info("rows loaded: %s", reports.as_profile(watch.get))
         notes = (
             f"{_describe(requests)} dry_run={dry_run} replace={replace} "
             f"table={store.standard(source)} dataset_id={source.dataset_id}"

@@ -11,7 +11,7 @@ import datetime as dt
 import json
 import threading
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import cache, reduce
 from urllib.parse import unquote
@@ -75,6 +75,26 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+class Watch:
+    """What is counted of rows on their way into a table, in the job that writes them: their number, and any
+    further aggregates. For one write."""
+
+    def __init__(self, aggregates: Mapping[str, Column] | None = None):
+        self.aggregates = {"n_rows": F.count(F.lit(1)), **(aggregates or {})}
+        self.seen = Observation()
+
+    def on(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self.seen, *[c.alias(name) for name, c in self.aggregates.items()])
+
+    @property
+    def get(self) -> dict:
+        return self.seen.get
+
+
+def watched(watch: Watch | None) -> tuple[Watch, ...]:
+    return () if watch is None else (watch,)
+
+
 class Store:
     """Tables below one root folder. ``prefix`` keeps several stores of a session apart."""
 
@@ -162,7 +182,7 @@ class Store:
         would put a second sort, by the keys alone, in place of the sort by day."""
         return rows.withColumns({k: F.coalesce(k, F.lit(NULL_KEY)) for k in PARTITION})
 
-    def _laid_out(self, rows: DataFrame, source: Source, seen: Observation) -> DataFrame:
+    def _laid_out(self, rows: DataFrame, source: Source, watch: Watch) -> DataFrame:
         """Rows gathered by partition and sorted by day.
 
         ``rebalance`` lets the adaptive planner split a partition that holds far more than the
@@ -170,17 +190,17 @@ class Store:
         that writes: its tasks count once even if they are retried.
         """
         rows = self._keys_present(rows)
-        counted = rows.hint("rebalance", *PARTITION).observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted = watch.on(rows.hint("rebalance", *PARTITION))
         return counted.sortWithinPartitions(*PARTITION, source.day_column, "lat", "lon")
 
-    def append(self, source: Source, rows: DataFrame) -> int:
+    def append(self, source: Source, rows: DataFrame, watch: Watch | None = None) -> int:
         """Append rows under the table's schema; returns their number."""
-        seen = Observation()
+        watch = watch or Watch()
         keyed, table = self._keyed(rows, source), self.standard(source)
         # no partition moves while files are written to where it is
         with _lock(f"{self.root} {table}"), self._settings(self._write_settings()):
-            self._laid_out(keyed, source, seen).write.insertInto(table)
-        return seen.get["rows"]
+            self._laid_out(keyed, source, watch).write.insertInto(table)
+        return watch.get["n_rows"]
 
     def _write_settings(self) -> dict[str, str]:
         """The hash by partition decides the number of files; merging small reduce tasks further would
@@ -190,22 +210,22 @@ class Store:
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
         }
 
-    def dry_run(self, rows: DataFrame) -> int:
+    def dry_run(self, rows: DataFrame, watch: Watch | None = None) -> int:
         """Run everything except the write; returns the number of rows that are ready."""
-        seen = Observation()
-        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
-        return seen.get["rows"]
+        watch = watch or Watch()
+        watch.on(rows).write.format("noop").mode("overwrite").save()
+        return watch.get["n_rows"]
 
-    def replace_days(self, source: Source, rows: DataFrame, windows: Iterable[Window]) -> int:
+    def replace_days(self, source: Source, rows: DataFrame, windows: Iterable[Window], watch: Watch | None = None) -> int:
         """Rows of the windows' regions with a day inside them give way to ``rows``."""
         def inside(d0: dt.date, d1: dt.date) -> Column:
             # implied by the days, but this is what selects folders
             months = F.col("ym").between(f"{d0:%Y-%m}", f"{d1:%Y-%m}")
             return months & in_days(source.day_column, d0, d1)
 
-        return self.replace_where(source, windows_where(windows, inside), rows)
+        return self.replace_where(source, windows_where(windows, inside), rows, *watched(watch))
 
-    def replace_overlap(self, source: Source, rows: DataFrame, windows: Iterable[Window]) -> int:
+    def replace_overlap(self, source: Source, rows: DataFrame, windows: Iterable[Window], watch: Watch | None = None) -> int:
         """Composite rows of the windows' regions that overlap them give way to ``rows``."""
         def overlap(d0: dt.date, d1: dt.date) -> Column:
             # a period has LONGEST_PERIOD days, which every write checks, so the folders follow
@@ -213,12 +233,12 @@ class Store:
             months = F.col("ym").between(f"{first:%Y-%m}", f"{d1:%Y-%m}")
             return months & overlaps("period_start_date", "period_end_date", d0, d1)
 
-        return self.replace_where(source, windows_where(windows, overlap), rows)
+        return self.replace_where(source, windows_where(windows, overlap), rows, *watched(watch))
 
-    def replace(self, source: Source, rows: DataFrame, windows: Iterable[Window]) -> int:
-        return (self.replace_overlap if source.composite else self.replace_days)(source, rows, windows)
+    def replace(self, source: Source, rows: DataFrame, windows: Iterable[Window], watch: Watch | None = None) -> int:
+        return (self.replace_overlap if source.composite else self.replace_days)(source, rows, windows, watch)
 
-    def replace_where(self, source: Source, predicate: Column, rows: DataFrame) -> int:
+    def replace_where(self, source: Source, predicate: Column, rows: DataFrame, watch: Watch | None = None) -> int:
         """Delete what matches ``predicate``, add ``rows``; returns the number of rows added.
 
         Parquet tables have no DELETE, so partitions are made new, and only those that hold matching or
@@ -240,7 +260,7 @@ class Store:
         try:
             old = self.spark.table(table)
             hit = {tuple(r) for r in old.where(predicate).select(*PARTITION).distinct().collect()}
-            written = self._stage(folder, self._keyed(rows, source), source)
+            written = self._stage(folder, self._keyed(rows, source), source, watch)
             affected = hit | set(self._staged(folder))
             before = self._files(table, affected)
             if before:
@@ -279,11 +299,11 @@ class Store:
         files, path = self._path(folder)
         return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
 
-    def _stage(self, folder: str, keyed: DataFrame, source: Source) -> int:
-        seen = Observation()
+    def _stage(self, folder: str, keyed: DataFrame, source: Source, watch: Watch | None = None) -> int:
+        watch = watch or Watch()
         with self._settings(self._write_settings()):
-            self._laid_out(keyed, source, seen).write.mode("append").partitionBy(*PARTITION).parquet(folder)
-        return seen.get["rows"]
+            self._laid_out(keyed, source, watch).write.mode("append").partitionBy(*PARTITION).parquet(folder)
+        return watch.get["n_rows"]
 
     def _staged(self, folder: str) -> dict[tuple[str, str], str]:
         """Folder of each staged partition."""

@@ -8,13 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmill.functions.missing import to_integer, to_number
-from gridmill.operators import regions
+from gridmill.operators import regions, reports
 from gridmill.operators.coerce import coerce
 from gridmill.operators.grid import grid_to_long
+from gridmill.plans.jobs import ingest
 from gridmill.plans.standard import standardize
 from gridmill.schemas import CHL, SST, WAVES
 from gridmill.sources.regions import read_regions
-from gridmill.sources.store import Store
+from gridmill.sources.store import Store, Watch
 from test_store import D, FEB, JAN, chl_rows, content, sst_rows
 
 GRID = "time array<int>, lat array<double>, lon array<double>, m array<double>"
@@ -179,8 +180,8 @@ def test_a_partition_that_changed_meanwhile_is_refused(store, spark, monkeypatch
     store.append(SST, sst_rows(spark, [(D(2024, 1, 5), "A", 1.0), (D(2024, 2, 5), "A", 2.0)]))
     real = Store._stage
 
-    def slow(self, folder, keyed, source):
-        n = real(self, folder, keyed, source)
+    def slow(self, folder, keyed, source, watch=None):
+        n = real(self, folder, keyed, source, watch)
         if len(seen) == 1:      # after the rows that stay have been read
             self.append(SST, sst_rows(spark, [(D(2024, 1, 7), "A", 4.0)]))
         seen.append(n)
@@ -236,3 +237,30 @@ def test_only_builds_that_were_current_go(store, spark, tmp_path):
         store.create_or_replace("t", spark.range(n + 2).toDF("x"))
     left = {f.name for f in folder.iterdir()}
     assert {"a", "b", "c"} <= left and len(left) == 3 + 2
+
+
+@pytest.mark.parametrize("source, rows, profile", [
+    (SST, lambda s: sst_rows(s, [(D(2024, 1, d), "A", 1.0) for d in (3, 5, 9)]).withColumn("lat", F.dayofmonth("date") % 2 + 0.5), reports.profile_grid),
+    (SST, lambda s: sst_rows(s, []), reports.profile_grid),
+    (CHL, lambda s: chl_rows(s, [(D(2024, 1, d), "A", 1.0) for d in (4, 4, 12)]), reports.profile_chl),
+    (CHL, lambda s: chl_rows(s, []), reports.profile_chl)])
+def test_profiles_are_counted_by_the_write(store, spark, source, rows, profile):
+    df = rows(spark)
+    want = profile(df).first().asDict()
+    for write in (lambda w: store.append(source, df, w), lambda w: store.replace(source, df, [("A", *JAN)], w), lambda w: store.dry_run(df, w)):
+        watch = Watch(reports.observed_profile(source.composite))
+        assert write(watch) == want["n_rows"] and reports.as_profile(watch.get) == want
+
+
+def test_row_stats_of_a_load_need_no_second_run(store, spark, caplog):
+    import logging
+
+    read = spark.sparkContext.accumulator(0)
+    raw = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-05 00:00:00' AS time, -8D AS lat, id + 120D AS lon, 'A' AS region_id, 20D AS sst FROM range(3)")
+    raw = raw.withColumnRenamed("sst", next(iter(SST.measures)))
+    once = F.udf(lambda x: (read.add(1), x)[1], "double").asNondeterministic()
+    known = spark.createDataFrame([("A", "", -10.0, -7.0, 120.0, 125.0)], "region_id string, name string, lat_min double, lat_max double, lon_min double, lon_max double")
+    with caplog.at_level(logging.INFO):
+        n = ingest(store, SST, raw.withColumn("lat", once("lat")), [("A", 2024, 1)], regions=known, log_row_stats=True, today=D(2024, 6, 1))
+    assert n == 3 and read.value == 3
+    assert any("'unique_lon': 3" in m and "'unique_lat': 1" in m for m in caplog.messages)
