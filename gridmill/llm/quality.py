@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmill.llm.arrays import LETTER, NUMBER, codepoints, cut, kinds, lower, slices
+from gridmill.llm.arrays import LETTER, NUMBER, codepoints, cut, kinds, lower, slices, tidy
 
 LETTER_COLUMNS, SHAPE_COLUMNS, MARKS = 768, 1024, 32
 COLUMNS = LETTER_COLUMNS + SHAPE_COLUMNS + MARKS
@@ -135,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                     [rows.column(0), pa.array([t.tobytes() for t in terms], pa.binary()), rows.column(2)], names=["doc_id", "terms", "label"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").mapInArrow(
-        run, "doc_id long, terms binary, label double").collect()
+        tidy(run), "doc_id long, terms binary, label double").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.terms), r.label))
     terms = np.stack([np.frombuffer(r.terms, np.float16) for r in rows]).astype(np.float32) if rows else np.zeros((0, COLUMNS), np.float32)
     found = (terms > 0).sum(axis=0)
@@ -167,4 +167,4 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_text
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names=schema.names)
 
-    return docs.select(*dict.fromkeys(["text", *carried])).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys(["text", *carried])).mapInArrow(tidy(run), schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmill.llm.arrays import slices
+from gridmill.llm.arrays import slices, tidy
 from gridmill.llm.steps import components, written
 
 SEED = 42
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found.view(np.int64))], names=[*keep, "fp"])
 
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("fp", T.LongType())])
-    return docs.select("text", *keep).mapInArrow(run, schema)
+    return docs.select("text", *keep).mapInArrow(tidy(run), schema)
 
 
 def half(fp: np.ndarray, side: int) -> np.ndarray:

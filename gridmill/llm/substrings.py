@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.arrays import held, only, runs, slices
+from gridmill.llm.arrays import give_back, held, runs, slices, tidy
 from gridmill.llm.steps import written
 
 WINDOW = 20
@@ -166,7 +166,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         """(ord, content, places): anchors that also occur elsewhere, of one text of each content."""
         group = Window.partitionBy("hash")
         place = F.expr("IF(pos < 0, ~pos, pos)")
-        anchors = texts.select("content", "text").mapInArrow(_anchors, "hash long, content long, pos int")
+        anchors = texts.select("content", "text").mapInArrow(tidy(_anchors), "hash long, content long, pos int")
         spread = F.expr("pos < 0") | (F.min("content").over(group) < F.max("content").over(group)) | (F.min(place).over(group) < F.max(place).over(group))
         hits = anchors.withColumn("hit", spread).where("hit").groupBy("content").agg(F.collect_set(place).alias("places"))
         return hits.join(models.groupBy("twin.content").agg(F.min("model").alias("ord")), "content")
@@ -175,7 +175,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         """(ord, content, starts): windows that start earlier too."""
         same = Window.partitionBy("a", "b")
         windows = texts.join(anchored, ["ord", "content"]).select("ord", "content", "text", "places").mapInArrow(
-            _windows, "a long, b long, ord long, content long, pos int")
+            tidy(_windows), "a long, b long, ord long, content long, pos int")
         least = F.min(F.struct("ord", F.expr("IF(pos < 0, ~pos, pos)").alias("pos"))).over(same)
         found = windows.withColumn("least", least).where("pos < 0 OR struct(ord, pos) > least")
         return found.groupBy("ord", "content").agg(F.collect_set(F.expr("IF(pos < 0, ~pos, pos)")).alias("starts"))
@@ -225,7 +225,7 @@ def digests(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     flat = _with_repeats(docs.select("doc_id", "text")).select(F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text", "starts", "whole")
-    return flat.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return flat.mapInArrow(tidy(run), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -244,6 +244,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             kept = kept_runs(int(words.counts[0]), None if at is None else np.asarray(at), bool(all_of_it))
             raw = words.data.tobytes()
             out.append(b" ".join(raw[words.starts[a]:words.ends[b - 1]] for a, b in kept).decode("utf-8", "surrogatepass"))
+        give_back()
         return pd.Series(out)
 
     rows = _with_repeats(docs)
