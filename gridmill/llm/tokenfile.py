@@ -31,6 +31,7 @@ DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 CALL, TEXTS = 1 << 6, 1 << 4  # pieces joined to a text for the library, and texts given to it at once
 SEPARATOR = "\x00"
+SLICE = 1 << 18  # bytes of text that are encoded at a time, about
 RECORD_BYTES = 1 << 18  # compressed documents in a record, about
 PART_TOKENS, MOST_PARTS = 1 << 23, 1 << 16  # ids in a part of the id range, about; parts at most, then they grow
 LAST = 2**63 - 1  # where rows without an id stand in the order
@@ -86,7 +87,7 @@ def encoder(path: str) -> tuple[Cache, dict]:
         found = iter(joined([t for t, x in zip(texts, usual) if x]))
         return [next(found) if x else np.array(plain().encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t, x in zip(texts, usual)]
 
-    return Cache(encode, most=1 << 20), {t.content: (i, t.special) for i, t in added.items()}
+    return Cache(encode, most=3 << 18), {t.content: (i, t.special) for i, t in added.items()}
 
 
 def encode_with(texts: list[str], cache: Cache, own: dict[str, int]) -> list[np.ndarray]:
@@ -116,7 +117,7 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int, special: boo
     cache, added = encoder(path)
     own = {text: i for text, (i, is_special) in added.items() if special or not is_special}
     for batch in batches:
-        for part, texts in slices(batch.column(1)):
+        for part, texts in slices(batch.column(1), SLICE):
             yield cut(batch, part).column(0), [np.append(x, np.uint32(end)) for x in encode_with(texts, cache, own)]
         del batch
         give_back()
