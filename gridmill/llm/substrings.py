@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmill.llm.arrays import give_back, held, runs, slices, tidy
+from gridmill.llm.arrays import held, runs, slices, tidy
 from gridmill.llm.steps import written
 
 WINDOW = 20
@@ -234,21 +234,23 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Runs of words that stay keep the white space between them; runs are joined by one space. A row
     of which nothing stays is dropped; one that had no words before is not.
     """
-    @F.pandas_udf("string")
-    def cut(texts, starts, whole):
-        import pandas as pd
-
-        out = []
-        for text, at, all_of_it in zip(texts, starts, whole):
-            words = Words([text])
-            kept = kept_runs(int(words.counts[0]), None if at is None else np.asarray(at), bool(all_of_it))
-            raw = words.data.tobytes()
-            out.append(b" ".join(raw[words.starts[a]:words.ends[b - 1]] for a, b in kept).decode("utf-8", "surrogatepass"))
-        give_back()
-        return pd.Series(out)
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fields, starts, whole = batch.column(0).flatten(), batch.column(1), batch.column(2)
+            for rows, texts in slices(fields[at]):
+                size, new = len(texts), []
+                for text, places, all_of_it in zip(texts, starts.slice(rows.start, size), whole.slice(rows.start, size).to_pylist()):
+                    words = Words([text])
+                    kept = kept_runs(int(words.counts[0]), np.asarray(places.values) if places.is_valid else None, bool(all_of_it))
+                    raw = words.data.tobytes()
+                    new.append(b" ".join(raw[words.starts[a]:words.ends[b - 1]] for a, b in kept).decode("utf-8", "surrogatepass"))
+                left = pa.array(np.flatnonzero([t != "" for t in new]))
+                columns = [pa.array(new, pa.string()) if i == at else f.slice(rows.start, size) for i, f in enumerate(fields)]
+                yield pa.RecordBatch.from_arrays([c.take(left) for c in columns], names=names)
+
+    names, at = docs.columns, docs.columns.index("text")
     rows = _with_repeats(docs)
     hit = F.col("whole").isNotNull() & (F.size(F.regexp_extract_all("doc.text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))) >= WINDOW)
-    done = rows.where(hit).withColumn("new", cut("doc.text", "starts", "whole")).where("new <> ''")
-    same = rows.where(~F.coalesce(hit, F.lit(False))).withColumn("new", F.col("doc.text"))
-    return done.unionByName(same).select(*[F.col("new").alias(n) if n == "text" else F.col(f"doc.`{n}`") for n in docs.columns])
+    done = rows.where(hit).select("doc", "starts", "whole").mapInArrow(tidy(run), docs.schema)
+    same = rows.where(~F.coalesce(hit, F.lit(False))).select("doc.*")
+    return done.unionByName(same)
