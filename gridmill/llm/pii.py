@@ -9,20 +9,21 @@ not), and each kind has the lowest threshold that keeps PRECISION on documents s
 and overlaps no base span, is added.
 
 All work on texts is SQL functions: matches and the gaps between them give the positions. The driver gets
-counts of descriptions, at most VECTORS of them, from which the trees are grown.
+the counts of all descriptions, from which the trees are grown. A description is eight small numbers, so however
+large the table, there are no more than their ranges allow.
 """
 
 from __future__ import annotations
 
-import math
+from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmill.llm.steps import written
 
 KINDS = ("email", "ip", "card", "phone")
-VECTORS = 1 << 14  # distinct descriptions that are learned from, the most frequent ones
 ROUNDS, RATE, SMOOTH, LEAST = 24, 0.4, 1.0, 5
 PRECISION = 0.8
 NAME, HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -142,35 +143,49 @@ def candidates(text: Column, base: Column) -> Column:
 Row = tuple[tuple[int, ...], int, int]  # a description, how many with it are alike a base span, how many are not
 
 
-def _split(rows: list[Row], sums: list[tuple[float, float]]):
+class Counts(NamedTuple):
+    """Descriptions, one a row, and how many candidates with each are alike a base span and are not."""
+
+    vectors: np.ndarray
+    yes: np.ndarray
+    no: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[Row] | Counts) -> Counts:
+        if isinstance(rows, Counts):
+            return rows
+        return cls(np.array([r[0] for r in rows], np.int64).reshape(-1, len(FEATURES)), *(np.array([r[i] for r in rows], np.int64) for i in (1, 2)))
+
+    def some(self, which: np.ndarray) -> Counts:
+        return Counts(self.vectors[which], self.yes[which], self.no[which])
+
+
+def _split(rows: Counts, g: np.ndarray, h: np.ndarray):
     """(gain, feature, value) of the best cut: up to the value, and above. Both sides have LEAST candidates or
     more, and where a larger value can only speak for a span, the side above is not the lower one."""
-    g, h, n = sum(s[0] for s in sums), sum(s[1] for s in sums), sum(r[1] + r[2] for r in rows)
+    number = rows.yes + rows.no
+    all_g, all_h, n = float(g.sum()), float(h.sum()), int(number.sum())
     best = (0.0, -1, 0)
     for f, name in enumerate(FEATURES):
-        by: dict[int, list[float]] = {}
-        for (vector, yes, no), (a, b) in zip(rows, sums):
-            x = by.setdefault(vector[f], [0.0, 0.0, 0])
-            x[0], x[1], x[2] = x[0] + a, x[1] + b, x[2] + yes + no
-        left_g = left_h = left_n = 0.0
-        for value in sorted(by)[:-1]:
-            left_g, left_h, left_n = left_g + by[value][0], left_h + by[value][1], left_n + by[value][2]
-            low, high = left_g / (left_h + SMOOTH), (g - left_g) / (h - left_h + SMOOTH)
+        values, place = np.unique(rows.vectors[:, f], return_inverse=True)
+        sums = [np.cumsum(np.bincount(place, x, len(values))).tolist() for x in (g, h, number)]
+        for value, left_g, left_h, left_n in list(zip(values.tolist(), *sums))[:-1]:
+            low, high = left_g / (left_h + SMOOTH), (all_g - left_g) / (all_h - left_h + SMOOTH)
             if min(left_n, n - left_n) < LEAST or (name in RISING and high < low):
                 continue
-            gain = left_g * low + (g - left_g) * high - g**2 / (h + SMOOTH)
+            gain = left_g * low + (all_g - left_g) * high - all_g**2 / (all_h + SMOOTH)
             if gain > best[0] + 1e-9:
                 best = (gain, f, value)
     return best
 
 
-def _tree(rows: list[Row], sums: list[tuple[float, float]], depth: int):
+def _tree(rows: Counts, g: np.ndarray, h: np.ndarray, depth: int):
     """A number, or (feature, value, tree up to the value, tree above)."""
-    _, f, value = _split(rows, sums) if depth and rows else (0.0, -1, 0)
+    _, f, value = _split(rows, g, h) if depth and len(g) else (0.0, -1, 0)
     if f < 0:
-        return round(RATE * sum(s[0] for s in sums) / (sum(s[1] for s in sums) + SMOOTH), 6)
-    sides = [[i for i, r in enumerate(rows) if (r[0][f] > value) == above] for above in (False, True)]
-    return f, value, *(_tree([rows[i] for i in side], [sums[i] for i in side], depth - 1) for side in sides)
+        return round(RATE * float(g.sum()) / (float(h.sum()) + SMOOTH), 6)
+    above = rows.vectors[:, f] > value
+    return f, value, *(_tree(rows.some(side), g[side], h[side], depth - 1) for side in (~above, above))
 
 
 def value(tree, vector: tuple[int, ...]) -> float:
@@ -179,28 +194,31 @@ def value(tree, vector: tuple[int, ...]) -> float:
     return tree
 
 
-def boost(rows: list[Row], rounds: int = ROUNDS) -> list:
+def _values(tree, vectors: np.ndarray) -> np.ndarray:
+    if not isinstance(tree, tuple):
+        return np.full(len(vectors), tree, float)
+    return np.where(vectors[:, tree[0]] > tree[1], _values(tree[3], vectors), _values(tree[2], vectors))
+
+
+def boost(rows: list[Row] | Counts, rounds: int = ROUNDS) -> list:
     """Trees of depth 2 whose sum is the log-odds of being alike a base span."""
-    trees, margins = [], [0.0] * len(rows)
+    rows = Counts.of(rows)
+    trees, margins, number = [], np.zeros(len(rows.yes)), rows.yes + rows.no
     for _ in range(rounds):
-        odds = [1 / (1 + math.exp(-m)) for m in margins]
-        sums = [(yes - (yes + no) * p, (yes + no) * p * (1 - p)) for (_, yes, no), p in zip(rows, odds)]
-        trees.append(_tree(rows, sums, 2))
-        margins = [m + value(trees[-1], r[0]) for m, r in zip(margins, rows)]
+        odds = 1 / (1 + np.exp(-margins))
+        trees.append(_tree(rows, rows.yes - number * odds, number * odds * (1 - odds), 2))
+        margins = margins + _values(trees[-1], rows.vectors)
     return trees
 
 
-def threshold(trees: list, rows: list[Row], precision: float = PRECISION) -> float | None:
+def threshold(trees: list, rows: list[Row] | Counts, precision: float = PRECISION) -> float | None:
     """The lowest margin from which on ``precision`` of the rows set aside are alike base spans; None if there is none."""
-    scored = sorted(((round(sum(value(t, r[0]) for t in trees), 6), r[1], r[2]) for r in rows), reverse=True)
-    yes = no = 0
-    best = None
-    for i, (margin, a, b) in enumerate(scored):
-        yes, no = yes + a, no + b
-        last = i + 1 == len(scored) or scored[i + 1][0] < margin
-        if last and yes and yes >= precision * (yes + no):
-            best = margin
-    return best
+    rows = Counts.of(rows)
+    margins, place = np.unique(np.round(sum((_values(t, rows.vectors) for t in trees), np.zeros(len(rows.yes))), 6), return_inverse=True)
+    # from the highest margin down
+    yes, no = (np.cumsum(np.bincount(place, x, len(margins))[::-1])[::-1] for x in (rows.yes, rows.no))
+    good = np.flatnonzero((yes > 0) & (yes >= precision * (yes + no)))
+    return float(margins[good[0]]) if len(good) else None
 
 
 def _sql(tree) -> str:
@@ -218,15 +236,18 @@ def learn(rows: DataFrame) -> dict[int, tuple[list, float]]:
     one = rows.select(aside.alias("aside"), F.explode("candidates").alias("x"))
     keys = [F.col(f"x.c.{f}").alias(f) for f in ("kind", *FEATURES)]
     counts = one.groupBy("aside", *keys).agg(F.count_if(F.col("x.label")).alias("yes"), F.count_if(~F.col("x.label")).alias("no"))
-    got = counts.orderBy((F.col("yes") + F.col("no")).desc(), "aside", "kind", *FEATURES).limit(VECTORS).collect()
+    got = counts.toArrow()
+    column = {c: got[c].to_numpy().astype(np.int64) for c in got.column_names}
+    every = Counts(np.stack([column[f] for f in FEATURES], axis=1), column["yes"], column["no"])
+    order = np.lexsort([column[f] for f in (*FEATURES, "aside", "kind")])  # sums of doubles are the same in every run
     out = {}
     for kind in range(4):
-        mine = [(r.aside, (tuple(r[f] for f in FEATURES), r.yes, r.no)) for r in got if r.kind == kind]
-        seen = [r for a, r in mine if not a]
-        if not any(r[1] for r in seen):
+        mine = order[column["kind"][order] == kind]
+        seen = every.some(mine[column["aside"][mine] == 0])
+        if not seen.yes.any():
             continue
         trees = boost(seen)
-        limit = threshold(trees, [r for a, r in mine if a])
+        limit = threshold(trees, every.some(mine[column["aside"][mine] == 1]))
         if limit is not None:
             out[kind] = trees, limit
     return out

@@ -105,3 +105,31 @@ def test_boosting_tells_descriptions_apart():
 def test_no_python_on_executors(spark, many):
     plan = pii.personal(spark.createDataFrame(many, "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "MapIn" not in plan
+
+
+def test_rare_descriptions_are_learned_from_however_many_others_there_are(spark):
+    """20,000 more frequent descriptions of another kind must not push out the rare ones of telephone numbers."""
+    odd = "CAST(id % 2 AS INT) AS digits, CAST(id DIV 2 AS INT) AS groups, 1 AS widest, 0 AS brackets, 1 AS before, 1 AS after, 0 AS checked, 0 AS cue"
+    rare = "CAST(8 + id % 4 AS INT) AS digits, 3 AS groups, 4 AS widest, 0 AS brackets, 1 AS before, CAST(id DIV 4 AS INT) AS after, CAST(id % 4 > 1 AS INT) AS checked, 0 AS cue"
+
+    def rows(features, n, times, kind, label):
+        described = f"struct({kind} AS kind, 0 AS start, 1 AS stop, {features})"
+        return spark.range(n).selectExpr("1L AS doc_id", f"array_repeat(struct({described} AS c, {label} AS label, true AS free), {times}) AS candidates").union(
+            # 6 is set aside, 1 is not
+            spark.range(n).selectExpr("6L AS doc_id", f"array_repeat(struct({described} AS c, {label} AS label, true AS free), {times}) AS candidates"))
+
+    models = pii.learn(rows(odd, 20_000, 2, 0, "false").union(rows(rare, 40, 1, 3, "id % 4 > 1")))
+    assert list(models) == [3]
+    trees, limit = models[3]
+    assert [sum(pii.value(t, (d, 3, 4, 0, 1, 5, int(d > 9), 0)) for t in trees) >= limit - 1e-6 for d in (8, 9, 10, 11)] == [False, False, True, True]
+
+
+def test_trees_from_very_many_descriptions():
+    """Of a hundred thousand descriptions; the same as from the sums of equal ones."""
+    rows = [((d, g, w, 0, a, 1, c, 0), 3 * c * (d > 9), 1 + 2 * (1 - c)) for d in range(21) for g in range(10) for w in range(21) for a in range(6) for c in (0, 1)]
+    merged = {}
+    for v, yes, no in rows:
+        x = merged.setdefault((v[0], 0, 0, 0, 0, 0, v[6], 0), [0, 0])
+        x[0], x[1] = x[0] + yes, x[1] + no
+    several = pii.boost([((*r[0][:7], k), r[1], r[2]) for r in rows for k in range(2)], 3)
+    assert several == pii.boost([(v, 2 * yes, 2 * no) for v, (yes, no) in merged.items()], 3)
