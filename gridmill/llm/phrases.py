@@ -1,18 +1,17 @@
-"""Collocations: frequent phrases, mined shard by shard and then counted exactly.
-
-A phrase that occurs ``support`` times in all has, in at least one shard, its share of them: the support
-times the shard's part of the text. So each shard is mined completely at its share, in one task and without a
-shuffle: words, then longer phrases whose two shorter ones are frequent there. What is frequent in some shard
-goes to the union, with an upper bound of its whole count: what the shards counted, and at most one less
-than its share from each shard that did not report it. Words and pairs are mined first, and longer phrases
-only from pairs whose bound reaches the support. All candidates are then counted over all texts. With very
-many shards the shares reach one, bounds are the counts themselves, and a union is an exact distributed
-count; nothing is lost in between.
+"""Collocations: phrases are counted exactly, in three passes: words, pairs of frequent words, longer ones of frequent pairs.
+
+A phrase cannot occur more often than what it holds, so only words that reach the support in the whole table can
+be in a frequent pair, and only such pairs in a frequent longer phrase. In each pass a task counts the phrases of a
+few megabytes of text at a time, every one that may be frequent, and Spark adds the counts up by phrase. Nothing
+is left out for being rare in a part of the text: what a task reports does not depend on how large the table
+is, but for the frequent words and pairs, which become more. Frequent words are numbered; words as numbers are
+the keys that are shuffled, so sums are those of the phrases themselves. If the words are too many for every task,
+all phrases are counted as they are spelled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -27,10 +26,10 @@ from gridmill.llm.steps import written
 
 LONGEST = 5  # words of a phrase
 SUPPORT = 100
-SHARD_BYTES = 3 << 24  # text of a shard, about
-COUNT_BYTES = 1 << 29  # text that a task counts the candidates in, at most about
+SHARD_BYTES = 1 << 24  # text whose phrases a task counts at a time, about
 SHARES = 4  # phrases of a shard are told apart a share of them at a time, which bounds memory
-BROADCAST_PHRASES, BROADCAST_BYTES = 1 << 20, 1 << 25  # candidates that go to every task; beyond, counts are shuffled
+BROADCAST_PHRASES, BROADCAST_BYTES = 1 << 20, 1 << 25  # frequent words that go to every task; beyond, phrases are counted as spelled
+BROADCAST_PAIRS = 1 << 23  # frequent pairs that go to every task; beyond, longer phrases are made of all pairs
 UNKNOWN = "und"
 
 # What bytes are: of a word, between words, between pieces.
@@ -73,61 +72,63 @@ def numbered(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return numbers, np.concatenate(counts)
 
 
+def _packed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a.astype(np.int64) << 32) | (b.astype(np.int64) & 0xFFFFFFFF)
+
+
+def among(sorted_codes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Which of the codes are there."""
+    if not len(sorted_codes):
+        return np.zeros(len(codes), bool)
+    return sorted_codes[np.minimum(np.searchsorted(sorted_codes, codes), len(sorted_codes) - 1)] == codes
+
+
+def repeated(words: np.ndarray, lengths: range, pairs: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(place of one occurrence, count) of every distinct phrase, and its length; with ``pairs``, of these only.
+
+    ``words`` are numbers, and -1 where no phrase goes on, as it does not at their end.
+    """
+    at = np.flatnonzero(words >= 0).astype(np.int32)
+    codes = words[at].astype(np.int64)
+    for length in range(1, lengths.stop):
+        of = words  # one word is its own number
+        if length in lengths or length > 1:
+            number, count = numbered(codes)
+            if length in lengths:
+                some = np.zeros(len(count), np.int32)
+                some[number] = at
+                yield some, count, length
+                if length + 1 == lengths.stop:
+                    return
+            if length > 1:
+                of = np.full(len(words), -1, np.int32)
+                of[at] = number
+        # one word more: both phrases that are one word shorter must be there
+        at = at[(of[at + 1] >= 0) & (words[at + length] >= 0)]
+        if length == 1 and pairs is not None:
+            at = at[among(pairs, _packed(words[at], words[at + 1]))]
+        codes = _packed(of[at], words[at + length])
+
+
 class Shard:
-    """The words of one language in a shard, as numbers. With ``known`` candidates (words and pairs), only of these."""
+    """Words of one language as numbers: those of ``numbers``, others -1; by default each word gets one when it comes."""
 
-    def __init__(self, known: Known | None = None):
-        self.size, self.parts, self.known = 0, [], known
-        self.numbers = {} if known is None else known.words
+    def __init__(self, numbers: dict[bytes, int] | None = None):
+        self.parts, self.open, self.many = [], numbers is None, 0
+        self.numbers = {} if numbers is None else numbers
 
     def add(self, texts: list[str]) -> None:
-        self.size += sum(len(t.encode("utf-8", "surrogatepass")) for t in texts)
         found, places = words_of(texts)
         if not found:
             return
-        number = (lambda w: self.numbers.setdefault(w, len(self.numbers))) if self.known is None else (lambda w: self.numbers.get(w, -1))
+        self.many += int((places >= 0).sum())
+        number = (lambda w: self.numbers.setdefault(w, len(self.numbers))) if self.open else (lambda w: self.numbers.get(w, -1))
         # the last one stands for the -1 between pieces
         numbers = np.array([*map(number, found), -1], np.int32)
         self.parts += [numbers[places], np.array([-1], np.int32)]
 
-    def frequent(self, words: np.ndarray, support: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        """(place of one occurrence, count) of all phrases with at least ``support``, and their length."""
-        at = np.flatnonzero(words >= 0).astype(np.int32)
-        codes = words[at].astype(np.int64)
-        for length in range(1, LONGEST + 1):
-            number, count = numbered(codes)
-            some = np.zeros(len(count), np.int32)
-            some[number] = at
-            often = count >= support
-            yield some[often], count[often], length
-            # one word more: both phrases that are one word shorter must be frequent
-            keep = often[number]
-            of = np.full(len(words), -1, np.int32)
-            of[at[keep]] = number[keep]
-            at = at[keep]
-            at = at[at + length < len(words)]
-            at = at[(of[at + 1] >= 0) & (words[at + length] >= 0)]
-            codes = (of[at].astype(np.int64) << 32) | words[at + length]
-            if length == 1 and self.known is not None:
-                hit = self.known.extended(words[at].astype(np.int64), words[at + 1].astype(np.int64), 0) >= 0
-                at, codes = at[hit], codes[hit]
-            if not len(at):
-                return
-
-    def phrases(self, support: int, lengths: range) -> Iterator[tuple[list[str], np.ndarray, int]]:
-        if not self.parts:
-            return
-        words = np.concatenate([*self.parts, np.full(LONGEST, -1, np.int32)])
-        self.parts = []
-        # numbers are in the order of the words
-        spelled = [w.decode("utf-8", "surrogatepass") for w in self.numbers] if self.known is None else self.known.spelled
-        self.numbers = {}
-        for at, count, length in self.frequent(words, support):
-            if length >= lengths.stop:
-                return
-            for i in range(0, len(at), 1 << 16) if length in lengths else ():
-                columns = [map(spelled.__getitem__, words[at[i:i + (1 << 16)] + k].tolist()) for k in range(length)]
-                yield [" ".join(x) for x in zip(*columns)], count[i:i + (1 << 16)], length
+    def words(self) -> np.ndarray:
+        return np.concatenate([*self.parts, np.full(LONGEST, -1, np.int32)])
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[int, list[tuple[str, list[str]]]]]:
@@ -140,146 +141,102 @@ def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[int, list[tuple[str, l
         yield sum(map(len, texts)), list(groups.items())
 
 
-def mined(rows: DataFrame, sizes: dict[str, int], support: int, lengths: range, known: Broadcast | None = None, shares: bool = True) -> DataFrame:
-    """(lang, phrase, words, count, missed) of what is frequent in a shard, of every shard of ``rows`` (lang, text).
-
-    A row without a phrase says that a shard may have ``missed`` so many occurrences of any other phrase of
-    the language. With ``known`` candidates longer phrases are made of these. Without ``shares`` everything
-    counts as frequent.
-    """
+def _shards(batches: Iterator[pa.RecordBatch], make: Callable[[str], Shard]) -> Iterator[dict[str, Shard]]:
+    """The texts of a task in shards of about SHARD_BYTES, by language."""
+    only("bpe")
+    shards, read = {}, 0
+    for batch in batches:
+        for size, groups in _by_language(batch):
+            if read and read + size > SHARD_BYTES:
+                yield shards
+                shards, read = {}, 0
+                give_back()
+            for lang, texts in groups:
+                if lang not in shards:
+                    shards[lang] = make(lang)
+                shards[lang].add(texts)
+            read += size
+    yield shards
+    give_back()
+
+
+def spelled_counts(rows: DataFrame, lengths: range) -> DataFrame:
+    """(lang, phrase, words, count) of every phrase of every shard of ``rows`` (lang, text); without a phrase, of all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only("bpe")
-        tables = known.value.tables if known is not None else None
-        shards: dict[str, Shard] = {}
-        read = 0
-
-        def finished() -> Iterator[pa.RecordBatch]:
-            for lang in list(shards):
-                shard = shards.pop(lang)
-                share = max(1, -(-support * shard.size // max(1, sizes.get(lang, 0)))) if shares else 1
-                yield table([lang], [None], 0, np.zeros(1, np.int64), share - 1)
-                for found, count, length in shard.phrases(share, lengths):
-                    yield table([lang] * len(found), found, length, count, share - 1)
-            give_back()
-
-        for batch in batches:
-            for size, groups in _by_language(batch):
-                if read and read + size > SHARD_BYTES:
-                    yield from finished()
-                    read = 0
-                for lang, texts in groups:
-                    if lang not in shards:
-                        shards[lang] = Shard(tables and tables.get(lang, Known([])))
-                    shards[lang].add(texts)
-                read += size
-        yield from finished()
-
-    def table(langs: list, found: list, length: int, count: np.ndarray, missed: int) -> pa.RecordBatch:
-        n = len(found)
+        for shards in _shards(batches, lambda lang: Shard()):
+            while shards:
+                lang, shard = shards.popitem()
+                yield table([lang], [None], 0, np.array([shard.many]))
+                words, spelled = shard.words(), [w.decode("utf-8", "surrogatepass") for w in shard.numbers]
+                del shard
+                for at, count, length in repeated(words, lengths):
+                    for i in range(0, len(at), 1 << 16):
+                        columns = [map(spelled.__getitem__, words[at[i:i + (1 << 16)] + k].tolist()) for k in range(length)]
+                        found = [" ".join(x) for x in zip(*columns)]
+                        yield table([lang] * len(found), found, length, count[i:i + (1 << 16)])
+
+    def table(langs: list, found: list, length: int, count: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(found, pa.string()), pa.array(np.full(n, length, np.int32)), pa.array(count.astype(np.int64)),
-             pa.array(np.full(n, missed, np.int64))], names=["lang", "phrase", "words", "count", "missed"])
+            [pa.array(langs, pa.string()), pa.array(found, pa.string()), pa.array(np.full(len(found), length, np.int32)), pa.array(count.astype(np.int64))],
+            names=["lang", "phrase", "words", "count"])
 
-    return rows.mapInArrow(run, "lang string, phrase string, words int, count long, missed long")
+    return rows.mapInArrow(run, "lang string, phrase string, words int, count long")
 
 
 class Known:
-    """Candidates of one language: each phrase is its first words and one word more."""
-
-    def __init__(self, phrases: list[tuple[int, str, int]]):
-        """(words, phrase, number) of every candidate; all that a phrase starts with are among them."""
-        own = {p.encode("utf-8", "surrogatepass"): i for n, p, i in phrases if n == 1}
-        self.words, self.spelled = own, {i: p for n, p, i in phrases if n == 1}
-        of = {p: i for _, p, i in phrases}
-        self.levels = []
-        for length in range(2, LONGEST + 1):
-            keys, numbers = [], []
-            for n, p, i in phrases:
-                if n == length:
-                    head, _, last = p.rpartition(" ")
-                    keys.append(of[head] << 32 | of[last])
-                    numbers.append(i)
-            order = np.argsort(np.array(keys, np.int64))
-            self.levels.append((np.array(keys, np.int64)[order], np.array(numbers, np.int64)[order]))
-
-    def extended(self, of: np.ndarray, last: np.ndarray, level: int) -> np.ndarray:
-        """Numbers of candidates that are a candidate and one word more; -1 for what is none."""
-        keys, own = self.levels[level]
-        if not len(keys):
-            return np.full(len(of), -1, np.int64)
-        key = of << 32 | last
-        where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        return np.where(keys[where] == key, own[where], -1)
-
-    def count(self, texts: list[str], counts: np.ndarray) -> int:
-        """Adds the occurrences in the texts; how many words they have."""
-        found, places = words_of(texts)
-        if not found:
-            return 0
-        numbers = np.array([*(self.words.get(w, -1) for w in found), -1], np.int64)
-        words = np.append(numbers[places], -1)
-        at = np.flatnonzero(words >= 0)
-        of = words[at]
-        counts += np.bincount(of, minlength=len(counts))
-        for length in range(1, LONGEST):
-            inside = at + length < len(words)
-            at, of = at[inside], of[inside]
-            last = words[at + length]
-            at, of, last = at[last >= 0], of[last >= 0], last[last >= 0]
-            of = self.extended(of, last, length - 1)
-            at, of = at[of >= 0], of[of >= 0]
-            if not len(at):
-                break
-            counts += np.bincount(of, minlength=len(counts))
-        return int((places >= 0).sum())
-
-
-class Candidates:
-    """All candidates; their tables are built once per worker."""
-
-    def __init__(self, rows: list[tuple[str, int, str]]):
-        self.rows = rows
+    """The frequent words of all languages, numbered in order, and the frequent pairs of their numbers, if they are known."""
+
+    def __init__(self, rows: list[tuple[str, str]], pairs: np.ndarray | None = None):
+        self.rows, self.pairs = rows, pairs
 
     @cached_property
-    def tables(self) -> dict[str, Known]:
-        own: dict[str, list[tuple[int, str, int]]] = {}
-        for i, (lang, n, p) in enumerate(self.rows):
-            own.setdefault(lang, []).append((n, p, i))
-        return {lang: Known(found) for lang, found in own.items()}
+    def numbers(self) -> dict[str, dict[bytes, int]]:
+        own: dict[str, dict[bytes, int]] = {}
+        for i, (lang, word) in enumerate(self.rows):
+            own.setdefault(lang, {})[word.encode("utf-8", "surrogatepass")] = i
+        return own
 
 
-def counted(rows: DataFrame, shared: Broadcast) -> DataFrame:
-    """(lang, phrase, f): occurrences of the candidates in all ``rows``; without a phrase, of all words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only("bpe")
-        tables, every = shared.value.tables, shared.value.rows
-        counts, totals = np.zeros(len(every), np.int64), {}
-        for batch in batches:
-            for _, groups in _by_language(batch):
-                for lang, texts in groups:
-                    known = tables.get(lang) or Known([])
-                    totals[lang] = totals.get(lang, 0) + known.count(texts, counts)
-        seen = np.flatnonzero(counts).tolist()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*(every[i][0] for i in seen), *totals], pa.string()), pa.array([*(every[i][2] for i in seen), *[None] * len(totals)], pa.string()),
-             pa.array([*counts[seen].tolist(), *totals.values()], pa.int64())], names=["lang", "phrase", "f"])
+# A phrase of numbered words: the first and second, the third and fourth, the fifth; -1 for none.
+KEYS = ("head", "middle", "last")
 
-    return rows.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
+def numbered_counts(rows: DataFrame, shared: Broadcast, lengths: range) -> DataFrame:
+    """(head, middle, last, count) of every phrase of known words, and known pairs, of every shard of ``rows`` (lang, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for shards in _shards(batches, lambda lang: Shard(known.numbers.get(lang, {}))):
+            # numbers tell the languages apart
+            words = np.concatenate([shard.words() for shard in shards.values()]) if shards else np.full(LONGEST, -1, np.int32)
+            shards.clear()
+            for at, count, length in repeated(words, lengths, known.pairs):
+                for i in range(0, len(at), 1 << 16):
+                    own = at[i:i + (1 << 16)]
+                    w = [words[own + k] if k < length else np.full(len(own), -1, np.int32) for k in range(LONGEST)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_packed(w[0], w[1])), pa.array(_packed(w[2], w[3])), pa.array(w[4]), pa.array(count[i:i + (1 << 16)].astype(np.int64))],
+                        names=[*KEYS, "count"])
+
+    return rows.mapInArrow(run, "head long, middle long, last int, count long")
+
+
+def spelled(found: DataFrame, shared: Broadcast) -> DataFrame:
+    """(lang, phrase, words, f) of (head, middle, last, f)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = shared.value.rows
+        for batch in batches:
+            head, middle, last = (batch.column(i).to_numpy() for i in range(3))
+            pairs = [(x >> 32, x.astype(np.int32)) for x in (head, middle)]
+            numbers = list(zip(*(x.tolist() for pair in pairs for x in pair), last.tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([every[n[0]][0] for n in numbers], pa.string()), pa.array([" ".join(every[i][1] for i in n if i >= 0) for n in numbers], pa.string()),
+                 pa.array([sum(i >= 0 for i in n) for n in numbers], pa.int32()), batch.column(3)], names=["lang", "phrase", "words", "f"])
 
-def _united(local: DataFrame, support: int) -> DataFrame:
-    """(lang, words, phrase) of what may occur ``support`` times by the counts of all shards."""
-    missed = local.where("phrase IS NULL").groupBy("lang").agg(F.sum("missed").alias("most"))  # one row per language
-    bounds = local.where("phrase IS NOT NULL").groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum(F.col("count") - F.col("missed")).alias("above"))
-    return bounds.join(missed, "lang").where(F.col("above") + F.col("most") >= support).select("lang", "words", "phrase")
+    return found.mapInArrow(run, "lang string, phrase string, words int, f long")
 
 
-def _shared(candidates: DataFrame) -> Broadcast | None:
-    """The candidates for every task, if they are few enough."""
-    many, size = candidates.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
-    if many > BROADCAST_PHRASES or size > BROADCAST_BYTES:
-        return None
-    return candidates.sparkSession.sparkContext.broadcast(Candidates([tuple(r) for r in candidates.collect()]))
+def _frequent(local: DataFrame, keys: tuple[str, ...], support: int) -> DataFrame:
+    return local.groupBy(*keys).agg(F.sum("count").alias("f")).where(F.col("f") >= support)
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
@@ -289,25 +246,27 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    sizes = {r.lang: r.size or 0 for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
-    total = sum(sizes.values())
-    # shards that are much smaller than they may be have low shares and many candidates; neighbours go together
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # a phrase is reported once by each shard, so small neighbours go together
     near = rows.coalesce(max(1, -(-total // SHARD_BYTES)))
-    short = written(spark, lambda: _united(written(spark, lambda: mined(near, sizes, support, range(1, 3))), support))
-    known = _shared(short)
-    long = written(spark, lambda: _united(written(spark, lambda: mined(near, sizes, support, range(3, LONGEST + 1), known)), support))
-    candidates = short.unionByName(long)
-    shared = _shared(candidates)
-    # a task reports each candidate it has seen, so there are no more tasks than the cluster runs or the text needs
-    whole = rows.coalesce(max(spark.sparkContext.defaultParallelism, -(-total // COUNT_BYTES)))
-    if shared is not None:
-        exact = counted(whole, shared)
-    else:
-        every = mined(near, sizes, support, range(1, LONGEST + 1), shares=False).where("phrase IS NOT NULL")
-        exact = every.groupBy("lang", "phrase").agg(F.sum("count").alias("f")).join(candidates, ["lang", "phrase"], "left_semi").unionByName(
-            counted(whole, spark.sparkContext.broadcast(Candidates([]))))
-    words = F.when(F.col("phrase").isNull(), 0).otherwise(F.size(F.split("phrase", " ")))
-    return written(spark, lambda: exact.where((F.col("f") >= support) | F.col("phrase").isNull()).select("lang", "phrase", words.alias("words"), "f"))
+    key = ("lang", "phrase", "words")
+
+    def all_of(lengths: range) -> DataFrame:
+        counts = spelled_counts(near, lengths).groupBy(*key).agg(F.sum("count").alias("f"))
+        return written(spark, lambda: counts.where((F.col("f") >= support) | F.col("phrase").isNull()))
+
+    words = all_of(range(1, 2))
+    frequent = words.where("phrase IS NOT NULL").select("lang", "phrase")
+    many, size = frequent.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
+    if many > BROADCAST_PHRASES or size > BROADCAST_BYTES:
+        return all_of(range(1, LONGEST + 1))
+    own = sorted(map(tuple, frequent.collect()))
+    shared = spark.sparkContext.broadcast(Known(own))
+    pairs = written(spark, lambda: _frequent(numbered_counts(near, shared, range(2, 3)), KEYS, support))
+    codes = np.sort(pairs.select("head").toArrow()["head"].to_numpy()) if pairs.count() <= BROADCAST_PAIRS else None
+    shared = spark.sparkContext.broadcast(Known(own, codes))
+    longer = written(spark, lambda: _frequent(numbered_counts(near, shared, range(3, LONGEST + 1)), KEYS, support))
+    return written(spark, lambda: words.unionByName(spelled(pairs.unionByName(longer), shared)))
 
 
 def _part(first: Column, count: Column) -> Column:

@@ -51,6 +51,45 @@ def test_made_up_texts(spark, monkeypatch, shard, held):
         assert got == brute(rows, support, most)
 
 
+@pytest.mark.parametrize("shard", [1 << 25, 300])
+def test_steps_hold_frequent_phrases_only(spark, monkeypatch, shard):
+    """What is frequent only by a small part's share of the support is kept in no step, however small the part."""
+    kept, written = [], phrases.written
+
+    def counted(spark, make):
+        out = written(spark, make)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(phrases, "SHARD_BYTES", shard)
+    monkeypatch.setattr(phrases, "written", counted)
+    docs = spark.createDataFrame(made_up(), "lang string, text string").repartition(6)
+    found = phrases.frequent_phrases(docs, 12).count()
+    assert max(kept) == found
+    assert sum(kept) <= 3 * found
+
+
+def test_more_pairs_than_every_task_is_given(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "BROADCAST_PAIRS", 0)
+    rows = made_up()
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    assert sorted(map(tuple, phrases.collocations(docs, 2000, 12).collect())) == brute(rows, 12, 2000)
+
+
+def test_what_a_task_reports_does_not_depend_on_the_size_of_the_table(spark):
+    """Five times the shards, of the same words, report five times the rows: no share of the support comes in."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(250)]
+    shared = spark.sparkContext.broadcast(phrases.Known([("en", w) for w in sorted(words)]))
+
+    def reported(n):
+        docs = spark.createDataFrame(spark.sparkContext.parallelize([("en", t) for t in texts[:n]], n // 10), "lang string, text string")
+        return phrases.numbered_counts(docs, shared, range(2, phrases.LONGEST + 1)).count()
+
+    assert 4.9 < reported(250) / reported(50) < 5.1
+
+
 def test_empty(spark):
     assert phrases.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
 
