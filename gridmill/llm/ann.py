@@ -2,8 +2,9 @@
 
 Every vector is in the list of its nearest centroid. Within the lists a query probes, vectors are
 compared in a rotated space, a block of columns at a time. A partial distance estimates the whole
-one; where a test says that it is too large for the query's k nearest of the list, the candidate is
-given up. What is left is scored exactly on the original vectors.
+one; where a test says that it is too large for the query's k nearest, the candidate is given up.
+How far these are at most is known beforehand from a sample of the rows in the same lists. What is
+left is scored exactly on the original vectors.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ from pyspark.sql import functions as F
 from gridmill.llm.steps import written
 from gridmill.llm.vectors import ROOM, distinct_ids, first_copies, matrix, sample, unit, usable
 
-SAMPLE = 1 << 13  # vectors from which centroids are learned, at most
+SAMPLE = 1 << 13  # vectors from which centroids are learned, and that bound distances, at most
 MOST_LISTS = 1 << 11
 ROUNDS = 8
 PROBED = 0.75  # share of the lists that a query probes; vectors in clear clusters need far less
 LEAST_PROBES = 8
 COLUMNS = 16  # in a block
 SLACK = 2.1  # of the test: larger gives up fewer candidates
+ROUNDING = 1e-9  # of squared distances of unit vectors, at most
+SPAN = 1 << 18  # pairs that are tested at a time: their distances stay in a core's cache
 MANY, PAIRS = 1 / 16, 1 << 16  # share of pairs left from which on they are taken one by one; so many at a time
 LIST_ROWS, QUERY_ROWS = 1 << 14, 1 << 11  # a task's share of a list and of its queries
 
@@ -49,42 +52,62 @@ def rotation(size: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def scan(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, row) pairs that the tests leave: among them nearly surely each query's k nearest rows."""
+def bounds(queries: np.ndarray, asked: np.ndarray, known: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Squared distance of unit vectors that each query's k-th nearest row does not exceed: that of its k-th nearest
+    among the ``known`` rows, which stand in the lists ``at``; only lists that the query asks count. Infinite if
+    these hold too few."""
+    found = np.full(len(queries), np.inf)
+    if len(known) < k:
+        return found
+    step = max(1, ROOM // len(known))
+    for start in range(0, len(queries), step):
+        near = 2 - 2 * queries[start:start + step] @ known.T
+        near[~asked[start:start + step][:, at]] = np.inf
+        found[start:start + step] = np.partition(near, k - 1, axis=1)[:, k - 1]
+    return np.maximum(found, 0) + ROUNDING
+
+
+def scan(queries: np.ndarray, rows: np.ndarray, k: int, limit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) pairs that the tests leave: among them nearly surely each query's k nearest rows, as far as
+    their squared distance as unit vectors is at most the query's ``limit``."""
     turn = rotation(rows.shape[1])
     a, b = unit(queries) @ turn, unit(rows) @ turn
-    size, k = rows.shape[1], min(k, len(rows))
+    limit = np.full(len(a), np.inf) if limit is None else limit
     out_q, out_r = [], []
-    step = max(1, ROOM // len(rows))
+    step = max(1, SPAN // len(rows))
     for start in range(0, len(a), step):
-        q = a[start:start + step]
-        for qi, ri in _left(q, b, k):
+        for qi, ri in _left(a[start:start + step], b, k, limit[start:start + step]):
             out_q.append(qi + start)
             out_r.append(ri)
     return np.concatenate([np.zeros(0, np.int64), *out_q]), np.concatenate([np.zeros(0, np.int64), *out_r])
 
 
-def _left(q: np.ndarray, b: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _left(q: np.ndarray, b: np.ndarray, k: int, limit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The pairs that no test gives up. While many are left a block of columns is a product of matrices over
     all pairs; once few are, it is taken pair by pair."""
     size = b.shape[1]
 
     def block(first: int) -> tuple[int, np.ndarray]:
+        # partial distances as one product: q.q + b.b - 2 q.b
         d = min(first + COLUMNS, size)
-        return d, (q[:, first:d] ** 2).sum(1)[:, None] + (b[:, first:d] ** 2).sum(1)[None, :] - 2 * q[:, first:d] @ b[:, first:d].T
+        x, y = q[:, first:d], b[:, first:d]
+        left = np.column_stack([-2 * x, (x ** 2).sum(1), np.ones(len(x))])
+        return d, left @ np.column_stack([y, np.ones(len(y)), (y ** 2).sum(1)]).T
 
-    def passes(partial: np.ndarray, bound: np.ndarray, d: int) -> np.ndarray:
-        return partial * (size / d) <= bound * (1 + SLACK / math.sqrt(d)) ** 2 if d < size else partial <= bound
+    def most(bound: np.ndarray, d: int) -> np.ndarray:
+        return bound * (1 + SLACK / math.sqrt(d)) ** 2 * (d / size) if d < size else bound
 
     d, part = block(0)
-    # whole distances of the k that look nearest so far bound the k-th distance from above
-    near = np.argpartition(part, k - 1, axis=1)[:, :k]
-    limit = ((q[:, None, :] - b[near]) ** 2).sum(axis=2).max(axis=1) + 1e-9
-    alive = passes(part, limit[:, None], d)
+    # where nothing bounds the k-th distance, whole distances of the k that look nearest so far do
+    open_, limit = np.flatnonzero(np.isinf(limit)), limit.copy()
+    if len(open_) and k < len(b):
+        near = np.argpartition(part[open_], k - 1, axis=1)[:, :k]
+        limit[open_] = ((q[open_, None, :] - b[near]) ** 2).sum(axis=2).max(axis=1) + ROUNDING
+    alive = part <= most(limit, d)[:, None]
     while d < size and np.count_nonzero(alive) > MANY * alive.size:
         d, more = block(d)
         part += more
-        alive &= passes(part, limit[:, None], d)
+        alive &= part <= most(limit, d)[:, None]
     every = np.nonzero(alive)
     for i in range(0, len(every[0]), PAIRS):
         qi, ri = every[0][i:i + PAIRS], every[1][i:i + PAIRS]
@@ -93,7 +116,7 @@ def _left(q: np.ndarray, b: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np
             columns = slice(at, min(at + COLUMNS, size))
             kept = kept + ((q[qi, columns] - b[ri, columns]) ** 2).sum(axis=1)
             at = columns.stop
-            left = passes(kept, limit[qi], at)
+            left = kept <= most(limit[qi], at)
             qi, ri, kept = qi[left], ri[left], kept[left]
         yield qi, ri
 
@@ -132,21 +155,29 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec
     for number, n, ids in index.groupBy("list").agg(F.count("*"), F.countDistinct("id")).collect():
         sizes[number], held_ids[number] = n, ids
     probes = min(len(lists), max(LEAST_PROBES, math.ceil(probed * len(lists))))
+    # lists as the index has them: a query finds the rows that bound its distances
+    some = index.orderBy(F.xxhash64("id"), "id").limit(min(SAMPLE, max(1, ROOM // lists.shape[1]))).select("v", "list").toArrow()
+    known, at = unit(matrix(some.column("v"))), some.column("list").to_numpy()
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            order = np.argsort(-(unit(matrix(batch.column("v"))) @ lists.T), axis=1, kind="stable")
+            own = unit(matrix(batch.column("v")))
+            order = np.argsort(-(own @ lists.T), axis=1, kind="stable")
             # further lists where the first ones hold too few ids
             enough = (np.cumsum(held_ids[order], axis=1) - held_ids[order]) < 8 * k + 2
             enough[:, :probes] = True
             enough &= held_ids[order] > 0
-            q, at = np.nonzero(enough)
+            q, nth = np.nonzero(enough)
+            asks = np.zeros(enough.shape, bool)
+            asks[q, order[q, nth]] = True
+            limit = bounds(own, asks, known, at, k + 1)  # the query may be one of them
             rows = batch.take(pa.array(q))
-            yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("v"), pa.array(order[q, at].astype(np.int32))], names=["id", "v", "list"])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("id"), rows.column("v"), pa.array(order[q, nth].astype(np.int32)), pa.array(limit[q])], names=["id", "v", "list", "limit"])
 
-    asked = written(spark, lambda: index.where(is_query).select("id", "v").mapInArrow(probe, f"id long, v {kind}, list int"))
+    asked = written(spark, lambda: index.where(is_query).select("id", "v").mapInArrow(probe, f"id long, v {kind}, list int, limit double"))
     # long lists, and lists with many queries, are cut so that each pair of parts fits a task
     shares = {number: (max(1, -(-int(sizes[number]) // LIST_ROWS)), max(1, -(-n // QUERY_ROWS)))
               for number, n in asked.groupBy("list").count().collect()}
@@ -154,7 +185,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec
 
     def parts(table: DataFrame, own: str, other: str) -> DataFrame:
         each = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other)
-        return table.join(F.broadcast(cuts), "list").select("id", "v", "list", F.pmod(F.xxhash64("id"), own).cast("int").alias(own), each)
+        return table.join(F.broadcast(cuts), "list").select(*table.columns, F.pmod(F.xxhash64("id"), own).cast("int").alias(own), each)
 
     keys = ["list", "row_parts", "query_parts"]
 
@@ -165,7 +196,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec
             ids, v = held.column("id").to_numpy(), matrix(held.column("v"))
             some = first_copies(ids, v, k + 1)
             ids, v = ids[some], v[some]
-            qi, ri = scan(q, v, k + 1)
+            qi, ri = scan(q, v, k + 1, asking.column("limit").to_numpy())
             other = q_ids[qi] != ids[ri]
             qi, ri = qi[other], ri[other]
             score = np.concatenate([np.zeros(0), *(cosine(q[qi[i:i + 65536]], v[ri[i:i + 65536]]) for i in range(0, len(qi), 65536))])
