@@ -94,15 +94,25 @@ def _scan(f: np.ndarray, width: int = 64) -> np.ndarray:
     return block.T.ravel()[:n]
 
 
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Symbol of every code point without look-ahead; does a piece start at a symbol, by the function up to it."""
+    _, _, values, begins = _automaton()
+    # class -> symbol: letters, numbers and others keep their number, white space moves up
+    symbols = kinds().copy()
+    symbols[symbols == BLANK] = S_BLANK
+    symbols[0x20] = S_SPACE
+    return symbols, begins[values[:, FRESH]].ravel()
+
+
 def piece_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Indexes at which pieces start; ``ends`` are those of the separators, one after each text."""
-    of_symbol, _, values, begins = _automaton()
-    # class -> symbol: letters, numbers and others keep their number, white space moves up
-    symbols = kinds()[points]
-    blank = symbols == BLANK
-    symbols[blank] = np.where(points[blank] == 0x20, S_SPACE, S_BLANK)
+    of_symbol, begins = _automaton()[0], _tables()[1]
+    symbols = _tables()[0][points]
     symbols[ends] = S_END
-    quotes = np.flatnonzero((points == 0x27) & (symbols == OTHER))
+    at = np.flatnonzero((symbols == S_SPACE) | (symbols == S_BLANK))
+    quotes = np.flatnonzero(points == 0x27)
+    quotes = quotes[symbols[quotes] == OTHER]
     if len(quotes):
         padded = np.concatenate([points[:], np.zeros(2, np.uint32)])
         padded[ends] = 0
@@ -113,13 +123,10 @@ def piece_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
             pair |= (one == ord(a)) & (two == ord(b))
         symbols[quotes[short]] = S_QUOTE1
         symbols[quotes[pair]] = S_QUOTE2
-    at = np.flatnonzero(blank)
-    at = at[symbols[at] != S_END]
     symbols[at[symbols[at + 1] < S_SPACE]] += S_LAST_SPACE - S_SPACE
-    states = values[_scan(of_symbol[symbols]), FRESH]
-    before = np.empty_like(states)
-    before[0], before[1:] = FRESH, states[:-1]
-    return np.flatnonzero(begins[before, symbols])
+    before = np.empty(len(symbols), np.uint16)
+    before[0], before[1:] = of_symbol[S_END], _scan(of_symbol[symbols])[:-1]  # the end of a text leads to FRESH
+    return np.flatnonzero(begins[before * np.uint16(10) + symbols])
 
 
 # --- pieces of many texts -------------------------------------------------------------------------
@@ -139,29 +146,42 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, rising(FACTOR), rising(pow(FACTOR, -1, 2**64))
 
 
+WORDS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)  # odd: of a slice's first and last bytes and its length
+
+
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(number of the equal slice, index of a first slice of each number), exactly.
 
-    Slices are told apart by a hash from prefix sums and their length; then each is compared with
-    the first of its number, and if any differed the bytes themselves would decide.
+    Slices are told apart by a hash of their first and last eight bytes and their length, and where these
+    are not all, of the whole slice from prefix sums. Then each is compared with the first of its number,
+    and if any differed the bytes themselves would decide.
     """
     import pandas as pd
 
-    size = 1 << max(16, int(len(data) + 1).bit_length())
-    codes, up, down = _powers(size)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(codes[data] * up[: len(data)], out=total[1:])
     lengths = ends - starts
-    keys = (total[ends] - total[starts]) * down[starts]
-    keys ^= lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    padded = np.append(data, np.zeros(8, np.uint8))
+    eight = np.ndarray(len(data) + 1, np.uint64, padded, strides=(1,))  # the eight bytes from each position
+    masks = np.frombuffer(np.tri(9, 8, -1, np.uint8) * np.uint8(255), np.uint64)
+    low = eight[starts] & masks[np.minimum(lengths, 8)]
+    high = np.where(lengths > 8, eight[np.maximum(ends - 8, 0)], np.uint64(0))
+    a, b, c = map(np.uint64, WORDS)
+    keys = low * a + high * b + lengths.astype(np.uint64) * c
+    long = np.flatnonzero(lengths > 16)
+    own = data[runs(starts[long], lengths[long])]  # their bytes end to end
+    stop = np.cumsum(lengths[long])
+    start = stop - lengths[long]
+    if len(long):
+        codes, up, down = _powers(1 << max(16, int(len(own) + 1).bit_length()))
+        total = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(codes[own] * up[: len(own)], out=total[1:])
+        keys[long] += (total[stop] - total[start]) * down[start]
     number, _ = pd.factorize(keys)
     first = np.zeros(int(number.max()) + 1 if len(number) else 0, np.int64)
     first[number[::-1]] = np.arange(len(number))[::-1]
     model = first[number]
-    same = bool((lengths[model] == lengths).all())
-    if same:
-        here, there = runs(starts, lengths), runs(starts[model], lengths)
-        same = bool((data[here] == data[there]).all())
+    same = all(bool((x[model] == x).all()) for x in (lengths, low, high))
+    if same and len(long):
+        same = bool((own == data[runs(starts[model[long]], lengths[long])]).all())
     if not same:
         raw = data.tobytes()
         number, _ = pd.factorize(np.array([raw[a:b] for a, b in zip(starts, ends)], object))
@@ -196,7 +216,10 @@ class Cache:
             out[i] = x
         if len(self.known) + len(found) > self.most // 2:
             self.older, self.known = self.known, {}
-        self.known.update((p, x) for p, x in zip(asked, found) if len(p) <= 64)
+        self.known.update(zip(asked, found))
+        for p in asked:
+            if len(p) > 64:
+                self.known.pop(p, None)
         return out
 
 
@@ -228,10 +251,10 @@ def _pieces(joined: str, points: np.ndarray, starts: np.ndarray, skip: np.ndarra
     data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
     at = np.append(starts, len(points))
     if len(data) != len(points):
-        width = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
-        at = np.concatenate([[0], np.cumsum(width)])[at]
+        at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))[at]  # where a code point's bytes start
     counts = np.zeros(len(starts), np.int64)
-    real = ~np.isin(starts, skip, assume_unique=True)
+    real = np.ones(len(starts), bool)
+    real[np.searchsorted(starts, skip)] = False  # a separator is a piece
     begin, end = at[:-1][real], at[1:][real]
     if not len(begin):
         return np.zeros(0, np.uint32), counts
