@@ -3,9 +3,9 @@
 Texts are cut into pieces without a regular expression. Each code point becomes a symbol (its class,
 with up to two code points of look-ahead folded in); each symbol is a transition function over the
 eight states of a small automaton; composing functions is associative, so the state at every code
-point comes from a blocked prefix scan over table look-ups. The pieces are hashed from prefix sums,
-each distinct piece is merged once and kept in a bounded cache, and the ids of all pieces are then
-gathered by index. Offsets of ids are kept, so that any range of ids can be traced to its bytes.
+point comes from a blocked prefix scan over table look-ups. The pieces are hashed by their first and
+last bytes, long ones from prefix sums, each distinct piece is merged once and kept in a bounded cache,
+and the ids of all pieces are then gathered by index. Offsets of ids are kept, so that any range of ids can be traced to its bytes.
 """
 
 from __future__ import annotations
@@ -149,6 +149,19 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 WORDS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)  # odd: of a slice's first and last bytes and its length
 
 
+def edges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first eight bytes, last eight if there are more, a hash of both and the length) of slices, zeros after
+    shorter ones. With its length, the first two are all of a slice of at most 16 bytes."""
+    lengths = ends - starts
+    padded = np.append(data, np.zeros(8, np.uint8))
+    eight = np.ndarray(len(data) + 1, np.uint64, padded, strides=(1,))  # the eight bytes from each position
+    masks = np.frombuffer(np.tri(9, 8, -1, np.uint8) * np.uint8(255), np.uint64)
+    low = eight[starts] & masks[np.minimum(lengths, 8)]
+    high = np.where(lengths > 8, eight[np.maximum(ends - 8, 0)], np.uint64(0))
+    a, b, c = map(np.uint64, WORDS)
+    return low, high, low * a + high * b + lengths.astype(np.uint64) * c
+
+
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(number of the equal slice, index of a first slice of each number), exactly.
 
@@ -159,13 +172,7 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     import pandas as pd
 
     lengths = ends - starts
-    padded = np.append(data, np.zeros(8, np.uint8))
-    eight = np.ndarray(len(data) + 1, np.uint64, padded, strides=(1,))  # the eight bytes from each position
-    masks = np.frombuffer(np.tri(9, 8, -1, np.uint8) * np.uint8(255), np.uint64)
-    low = eight[starts] & masks[np.minimum(lengths, 8)]
-    high = np.where(lengths > 8, eight[np.maximum(ends - 8, 0)], np.uint64(0))
-    a, b, c = map(np.uint64, WORDS)
-    keys = low * a + high * b + lengths.astype(np.uint64) * c
+    low, high, keys = edges(data, starts, ends)
     long = np.flatnonzero(lengths > 16)
     own = data[runs(starts[long], lengths[long])]  # their bytes end to end
     stop = np.cumsum(lengths[long])
@@ -194,15 +201,21 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
 Encoder = Callable[[list[bytes]], list[bytes]]
 
 
+SLOTS, INLINE = 1 << 19, 8  # slots: a power of two
+
+
 class Cache:
     """Ids of pieces, kept up to a number of pieces; ``encode`` gets the unknown ones.
 
     Two halves: when the newer one is full it becomes the older one, and pieces met again move back.
-    So frequent pieces stay whatever passes by.
+    So frequent pieces stay whatever passes by. Short pieces met lately also stand in slots of arrays, where
+    all slices of a text are looked up at once.
     """
 
     def __init__(self, encode: Encoder, most: int = 1 << 18):
         self.encode, self.most, self.known, self.older = encode, most, {}, {}
+        # lately met pieces of at most 16 bytes and INLINE ids, one in a slot: (first bytes, last bytes, length, ids, number of them)
+        self.slots = [np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int64), np.zeros((SLOTS, INLINE), np.uint32), np.zeros(SLOTS, np.int64)]
 
     def ids(self, pieces: list[bytes]) -> list[bytes]:
         out = list(map(self.known.get, pieces))
@@ -222,6 +235,29 @@ class Cache:
                 self.known.pop(p, None)
         return out
 
+    def of_slices(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of distinct slices end to end, how many each has)."""
+        low, high, lengths, inline, counts = self.slots
+        first, last, keys = edges(data, starts, ends)
+        size, slot = ends - starts, (keys >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+        met = (low[slot] == first) & (high[slot] == last) & (lengths[slot] == size)
+        there, new = np.flatnonzero(met), np.flatnonzero(~met)
+        raw = data.tobytes()
+        found = self.ids([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+        sizes = counts[slot]
+        sizes[new] = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        at = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.uint32)
+        out[runs(at[there], sizes[there])] = inline[slot[there]][np.arange(INLINE) < sizes[there, None]]
+        out[runs(at[new], sizes[new])] = np.frombuffer(b"".join(found), "<u4")
+        kept = new[(size[new] <= 16) & (size[new] > 0) & (sizes[new] <= INLINE)]
+        kept = kept[np.unique(slot[kept], return_index=True)[1]]
+        own = np.zeros((len(kept), INLINE), np.uint32)
+        own[np.arange(INLINE) < sizes[kept, None]] = out[runs(at[kept], sizes[kept])]
+        for table, x in zip(self.slots, (first[kept], last[kept], size[kept], own, sizes[kept])):
+            table[slot[kept]] = x
+        return out, sizes
+
 
 def encode_texts(texts: list[str], cache: Cache) -> list[np.ndarray]:
     """Ids (uint32) of each text."""
@@ -259,10 +295,7 @@ def _pieces(joined: str, points: np.ndarray, starts: np.ndarray, skip: np.ndarra
     if not len(begin):
         return np.zeros(0, np.uint32), counts
     number, first = distinct(data, begin, end)
-    raw = data.tobytes()
-    found = cache.ids([raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())])
-    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    flat = np.frombuffer(b"".join(found), "<u4")
+    flat, sizes = cache.of_slices(data, begin[first], end[first])
     each = sizes[number]
     counts[real] = each
     return flat[runs((np.cumsum(sizes) - sizes)[number], each)], counts

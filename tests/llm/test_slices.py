@@ -61,3 +61,33 @@ def test_cache_keeps_no_long_pieces():
     for _ in range(2):
         assert [int.from_bytes(x, "little") for x in cache.ids(pieces)] == [2, 64, 65, 65]
     assert asked == [pieces, pieces[2:]] and set(cache.known) == set(pieces[:2])
+
+
+@pytest.mark.parametrize("words", [bpe.WORDS, (0, 0, 0)])
+def test_ids_of_slices_lately_met(monkeypatch, words):
+    """The ids of slices are those of the encoder, whether their slots hold them, others or nothing."""
+    monkeypatch.setattr(bpe, "WORDS", words)
+    monkeypatch.setattr(bpe, "SLOTS", 16)
+
+    def encode(pieces):
+        return [np.frombuffer(p[::-1] + p, np.uint8)[: len(p) + len(p) % 2].astype("<u4").tobytes() for p in pieces]
+
+    cache, rng = bpe.Cache(encode, most=40), random.Random(6)
+    for _ in range(60):
+        parts = [b"the", b"\0" * 5, b"x" * 17, b"y" * 70, *{bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(1, 19))) for _ in range(8)}]
+        ends = np.cumsum([len(p) for p in parts])
+        ids, sizes = cache.of_slices(np.frombuffer(b"".join(parts), np.uint8), ends - [len(p) for p in parts], ends)
+        want = [np.frombuffer(x, "<u4").tolist() for x in encode(parts)]
+        assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    for _ in range(3):  # after the first time nothing is asked for, if both have slots of their own
+        got = [cache.of_slices(np.frombuffer(b"one two", np.uint8), np.array([a]), np.array([b]))[0].tolist() for a, b in ((0, 3), (3, 7))]
+        assert got == [np.frombuffer(x, "<u4").tolist() for x in encode([b"one", b" two"])]
+
+
+def test_slots_spare_the_dictionary():
+    cache = bpe.Cache(lambda pieces: [np.array([len(p)], "<u4").tobytes() for p in pieces])
+    data, starts, ends = np.frombuffer(b"some words", np.uint8), np.array([0, 4]), np.array([4, 10])
+    first = cache.of_slices(data, starts, ends)
+    cache.known, cache.older, cache.encode = {}, {}, lambda pieces: [b"" for _ in pieces]
+    again = cache.of_slices(data, starts, ends)
+    assert [x.tolist() for x in first] == [x.tolist() for x in again] == [[4, 6], [1, 1]]
